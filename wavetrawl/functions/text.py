@@ -61,23 +61,28 @@ def _code_point_text(number: str) -> str:
         ELSE '�' END"""
 
 
-def decode_references_sql(text: str) -> str:
-    """SQL for ``text`` with named and numeric character references replaced by what they stand for."""
-    pieces = f"regexp_extract_all({text}, '&#?[0-9a-zA-Z]+;|[^&]+|&', 0)"
-    hexadecimal = let("bigint(conv(regexp_extract(piece, '([0-9a-fA-F]+);$', 1), 16, 10))", _code_point_text("$it"))
-    decimal = let("bigint(regexp_extract(piece, '([0-9]+);$', 1))", _code_point_text("$it"))
+def decode_references_sql(text: str, loose: bool = False) -> str:
+    """SQL for ``text`` with named and numeric character references replaced by what they stand for.
+
+    ``loose`` also accepts references without a closing semicolon, as is right in text but not in URLs.
+    """
+    pieces = f"regexp_extract_all({text}, '&#?[0-9a-zA-Z]+;?|[^&]+|&', 0)"
+    hexadecimal = let("bigint(conv(regexp_extract(piece, '([0-9a-fA-F]+);?$', 1), 16, 10))", _code_point_text("$it"))
+    decimal = let("bigint(regexp_extract(piece, '([0-9]+);?$', 1))", _code_point_text("$it"))
     separators = f"{literal(chr(0x1E))}, {literal(chr(0x1F))}"
-    named = f"try_element_at(str_to_map({literal(_NAMED)}, {separators}), piece)"
+    key = "concat(trim(TRAILING ';' FROM piece), ';')"
+    named = f"try_element_at(str_to_map({literal(_NAMED)}, {separators}), {key})"
+    untouched = "NOT startswith(piece, '&')" + ("" if loose else " OR NOT endswith(piece, ';')")
     return f"""CASE WHEN contains({text}, '&') THEN array_join(transform({pieces}, piece -> CASE
-        WHEN NOT startswith(piece, '&') OR NOT endswith(piece, ';') THEN piece
-        WHEN piece RLIKE '^&#[xX][0-9a-fA-F]{{1,6}};$' THEN {hexadecimal}
-        WHEN piece RLIKE '^&#[0-9]{{1,7}};$' THEN {decimal}
+        WHEN {untouched} THEN piece
+        WHEN piece RLIKE '^&#[xX][0-9a-fA-F]{{1,6}};?$' THEN {hexadecimal}
+        WHEN piece RLIKE '^&#[0-9]{{1,7}};?$' THEN {decimal}
         ELSE coalesce({named}, piece) END), '') ELSE {text} END"""
 
 
-def decode_references(text: str) -> Column:
+def decode_references(text: str, loose: bool = False) -> Column:
     """A text column (or SQL expression) with its character references decoded."""
-    return F.expr(decode_references_sql(text))
+    return F.expr(decode_references_sql(text, loose))
 
 
 def tag_name_sql(tag: str) -> str:

@@ -38,7 +38,7 @@ def _squeezed(text: str) -> str:
 
 
 def _plain(markup: str) -> str:
-    return _squeezed(decode_references_sql(f"regexp_replace({markup}, '<[^>]*>', '')"))
+    return let(f"regexp_replace({markup}, '<[^>]*>', '')", _squeezed(decode_references_sql("$it", loose=True)))
 
 
 def _blocks(html: str) -> str:

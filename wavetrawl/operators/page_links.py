@@ -97,7 +97,7 @@ def _linking_tags(segments: str) -> str:
 def _surroundings(before: str, after: str) -> str:
     """The nearest texts on both sides, trimmed, joined and cut."""
     parts = f"filter(array({before}, {after}), t -> length(t) > 0)"
-    joined = f"array_join(transform({parts}, t -> {trim_sql(decode_references_sql('t'))}), ' ')"
+    joined = f"array_join(transform({parts}, t -> {trim_sql(decode_references_sql('t', loose=True))}), ' ')"
     return f"substring({trim_sql(joined)}, 1, {DESCRIPTION_LENGTH})"
 
 
