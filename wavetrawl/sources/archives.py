@@ -162,6 +162,7 @@ def read_archives(spark: SparkSession, paths: list[str], rec_type: str | None =
     """Archive files as crawl records; ``rec_type`` keeps one type and skips the bodies of the others."""
     # Workers need not have this package installed for the reader that runs there.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(CrawlArchives)
     reader = spark.read.format(FORMAT).option("paths", "\n".join(paths))
     if rec_type is not None:

@@ -25,13 +25,9 @@ def write_jsonl(rows: DataFrame, path: str) -> None:
 def read_jsonl_with_rejects(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines where a broken line becomes a row with ``_corrupt_record`` instead of an error."""
     wide = T.StructType([*schema.fields, T.StructField(_REJECT, T.StringType())])
-    return (
-        spark.read.schema(wide)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _REJECT)
-        .option("ignoreCorruptFiles", "true")
-        .json(path)
-    )
+    lines = spark.read.option("ignoreCorruptFiles", "true").text(path).filter(F.trim("value") != "")
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _REJECT}
+    return lines.select(F.from_json("value", wide, options).alias("row")).select("row.*")
 
 
 def compact_jsonl(
@@ -44,12 +40,13 @@ def compact_jsonl(
 ) -> DataFrame:
     """Pack many JSON-lines files into about one Parquet file per ``files_per_group`` inputs.
 
-    Broken lines go to ``rejects`` if that is given and never stop the job. Returns the packed table.
+    Neighbouring inputs are joined without a shuffle. Broken lines go to ``rejects`` if that is given and
+    never stop the job. Returns the packed table.
     """
+    groups = max(1, -(-len(spark.read.text(path).inputFiles()) // files_per_group))
     read = read_jsonl_with_rejects(spark, path, schema)
-    groups = max(1, -(-len(read.inputFiles()) // files_per_group))
     sound = read.filter(F.col(_REJECT).isNull()).select(*schema.names)
-    sound.repartition(groups).write.mode("overwrite").parquet(out)
+    sound.coalesce(groups).write.mode("overwrite").parquet(out)
     if rejects is not None:
         read.filter(F.col(_REJECT).isNotNull()).select(_REJECT).write.mode("overwrite").text(rejects)
     return spark.read.schema(schema).parquet(out)
@@ -66,7 +63,8 @@ def publish(links: DataFrame, path: str, without: tuple[str, ...] = ("license",)
 
 def read_language_counts(spark: SparkSession, path: str) -> DataFrame:
     """Language counts from CSV. Tags are case-sensitive texts: "NO" and "no" are two languages."""
-    return spark.read.schema(schemas.LANGUAGE_COUNTS).csv(path, header=True, nullValue="\x00", emptyValue="")
+    counts = spark.read.schema(schemas.LANGUAGE_COUNTS).csv(path, header=True)
+    return counts.withColumn("language", F.coalesce("language", F.lit("")))
 
 
 def union_links(page_links: DataFrame, feed_links: DataFrame) -> DataFrame:
