@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from importlib.resources import files
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wavetrawl.functions.text import or_empty
 from wavetrawl.functions.urls import url_host
 
 # The rule table is read whole on every executor, so its size is checked before it is broadcast. The
@@ -46,11 +47,6 @@ def suffix_rules(suffixes: DataFrame) -> DataFrame:
     )
 
 
-def _last_labels(labels: Column, n: Column | int) -> Column:
-    count = n if isinstance(n, Column) else F.lit(n)
-    return F.array_join(F.slice(labels, -count, count), ".")
-
-
 def with_registered_domain(
     links: DataFrame, url: str = "audio_url", suffixes: DataFrame | None = None, out: str = "domain"
 ) -> DataFrame:
@@ -67,9 +63,10 @@ def with_registered_domain(
         rules = suffix_rules(suffixes)
         size, depth = rules.agg(F.count("*"), F.max("depth")).first()
     small = size <= MAX_BROADCAST_RULES
-    host, labels = f"__{out}_host", f"__{out}_labels"
-    hosts = links.withColumn(host, F.coalesce(url_host(F.col(url)), F.lit("")))
-    hosts = hosts.withColumn(labels, F.split(F.col(host), r"\."))
+    name = f"__{out}_host"
+    host = F.col(name)
+    label_count = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+    hosts = links.withColumn(name, or_empty(url_host(F.col(url))))
     ends, exceptions = [], []
     for d in range(1, (depth or 0) + 1):
         level = rules.filter(F.col("depth") == d).select(
@@ -78,14 +75,16 @@ def with_registered_domain(
             F.col("below").alias(f"__below{d}"),
             F.col("exception").alias(f"__exception{d}"),
         )
-        tail = F.when(F.size(labels) >= d, F.lower(_last_labels(F.col(labels), d)))
+        # A host with fewer labels than the rule stays whole here and cannot equal its key.
+        tail = F.lower(F.substring_index(host, ".", -d))
         hosts = hosts.join(F.broadcast(level) if small else level, tail == F.col(f"__key{d}"), "left")
         ends.append(F.when(F.col(f"__exact{d}"), F.lit(d)))
-        ends.append(F.when(F.col(f"__below{d}") & (F.size(labels) > d), F.lit(d + 1)))
+        ends.append(F.when(F.col(f"__below{d}") & (label_count > d), F.lit(d + 1)))
         exceptions.append(F.when(F.col(f"__exception{d}"), F.lit(d - 1)))
-    longest = F.coalesce(*exceptions[::-1], F.greatest(*ends, F.lit(0))) if ends else F.lit(0)
-    is_address = F.col(host).rlike(r"^(\d{1,3}\.){3}\d{1,3}$") | F.col(host).startswith("[")
-    domain = F.when(is_address, F.col(host)).otherwise(
-        _last_labels(F.col(labels), F.least(longest + 1, F.size(labels)))
-    )
+    suffix_labels = F.coalesce(*exceptions[::-1], F.greatest(*ends, F.lit(0))) if ends else F.lit(0)
+    by_labels = [
+        F.when(suffix_labels == n, F.substring_index(host, ".", -(n + 1))) for n in range((depth or 0) + 2)
+    ]
+    is_address = host.rlike(r"^(\d{1,3}\.){3}\d{1,3}$") | host.startswith("[")
+    domain = F.when(is_address, host).otherwise(F.coalesce(*by_labels))
     return hosts.select(*[F.col(f"`{c}`") for c in links.columns], domain.alias(out))

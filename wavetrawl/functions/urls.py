@@ -142,14 +142,12 @@ def mentions_audio_sql(text: str) -> str:
     return f"{text} RLIKE {literal('(?i)' + _EXTENSION)}"
 
 
+_HOST = r"^\s*(?:(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//)?(?:[^/?#]*@)?(\[[^\]]*\]|[^/?#:]*)"
+
+
 def url_host(url: Column) -> Column:
     """Host of a URL, also of one without scheme; no user, port or trailing dots."""
-    netloc = F.regexp_extract(F.trim(url), r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?(?://)?([^/?#]*)", 1)
-    bare = F.regexp_replace(netloc, r"^.*@", "")
-    ported = F.when(bare.startswith("["), F.regexp_extract(bare, r"^(\[[^\]]*\])", 1)).otherwise(
-        F.substring_index(bare, ":", 1)
-    )
-    return F.regexp_replace(ported, r"[.。．｡]+$", "")
+    return F.rtrim(F.regexp_extract(url, _HOST, 1), F.lit(" .\u3002\uff0e\uff61"))
 
 
 # Marks in the content type, then path suffixes, that tell an audio item's format.

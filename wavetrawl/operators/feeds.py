@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavetrawl.functions.text import is_truthy, or_empty, trim
-from wavetrawl.functions.urls import is_feed_audio_url
+from wavetrawl.functions.urls import AUDIO_EXTENSIONS, is_feed_audio_url
 
 _MEDIA = "`media:content`: array<struct<_url: string>>"
 _ITEM = (
@@ -34,6 +34,16 @@ def feed_records(records: DataFrame, payload: str = "payload") -> DataFrame:
     return records.filter(is_feed(F.col("content_type"), F.col(payload).cast("string")))
 
 
+def may_hold_audio_items(payload: Column) -> Column:
+    """Whether a feed can have audio links: it names an extension or writes characters as references.
+
+    Most feeds of a crawl are news without audio; this spares them the XML reader.
+    """
+    named = payload.rlike(rf"\.(?:{'|'.join(AUDIO_EXTENSIONS)})[\"']")
+    referenced = payload.rlike(r"""url\s*=\s*(?:"[^"]*&|'[^']*&)""")
+    return named | referenced
+
+
 def parse_feeds(feeds: DataFrame, payload: str = "payload") -> DataFrame:
     """Add ``outcome``, ``feed_language`` and ``items`` to feeds whose payload is text.
 

@@ -60,30 +60,22 @@ def rank_within(rows: DataFrame, group: str, order: list[str], out: str = "rank"
 
     A window by group would put a hot group into one task. Here rows are range-partitioned by group and
     order, so a large group spreads over many partitions; ranks are counted inside each piece and shifted
-    by the sizes of the group's earlier pieces. Only groups at the edge of a partition can have several
-    pieces, so the shifts are at most a few rows per partition.
+    by the sizes of the group's earlier pieces. Only the first group of a partition can go on from an
+    earlier one, so there is at most one shift per partition and the broadcast stays that small.
     """
     placed = _placed(rows.filter(F.col(group).isNotNull()), [group, *order], "ranked")
-    edges = placed.groupBy(_PART).agg(F.min(group).alias("low"), F.max(group).alias("high"))
-    edge_groups = edges.select(F.explode(F.array("low", "high")).alias(group)).distinct()
-    pieces = (
-        placed.join(F.broadcast(edge_groups), group, "left_semi")
-        .groupBy(group, _PART)
+    by_piece = Window.partitionBy(group).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (
+        placed.groupBy(_PART, group)
         .agg(F.count("*").alias("n"))
-        .collect()
+        .withColumn("__before", F.sum("n").over(by_piece))
+        .filter("__before IS NOT NULL")
+        .drop("n")
     )
-    shifts, running = [], {}
-    for piece in sorted(pieces, key=lambda p: p[_PART]):
-        before = running.get(piece[group], 0)
-        if before:
-            shifts.append((piece[_PART], piece[group], before))
-        running[piece[group]] = before + piece["n"]
-    group_type = placed.schema[group].dataType.simpleString()
-    shift_rows = rows.sparkSession.createDataFrame(shifts, f"{_PART} bigint, {group} {group_type}, __before bigint")
     within = F.row_number().over(Window.partitionBy(_PART, group).orderBy(_PLACE))
     return (
         placed.withColumn("__within", within.cast("bigint"))
-        .join(F.broadcast(shift_rows), [_PART, group], "left")
+        .join(F.broadcast(shifts), [_PART, group], "left")
         .withColumn(out, F.col("__within") + F.coalesce("__before", F.lit(0)))
         .select(*[f"`{c}`" for c in rows.columns], out)
     )

@@ -104,7 +104,9 @@ def _surroundings(before: str, after: str) -> str:
 def _ancestry(markup: str) -> str:
     """For each linking tag in order: the license it inherits and the outermost audio tag around it.
 
-    A fold over the tags with the stack of open elements. A closing tag closes everything up to the
+    A fold over the tags with the open elements as state. Their names are one text, which is cheap to
+    grow and cut however deep unclosed tags pile up; ``marks`` holds only the few elements that bring a
+    license or are audio, with their place in that text. A closing tag closes everything up to the
     nearest open tag of its name; without one it is ignored.
     """
     linking = ", ".join(f"'{name}'" for name in ("audio", *LINKING_TAGS))
@@ -115,30 +117,39 @@ def _ancestry(markup: str) -> str:
         'closes', startswith(tag, '</'),
         'alone', endswith(tag, '/>'),
         'license', if(contains(lower(tag), 'licen') AND NOT startswith(tag, '</'), {own_license}, NULL)))"""
-    start = """from_json('{"names":[],"marks":[],"seen":0,"found":[]}',
-        'names array<string>, marks array<struct<license:string,audio:int>>, seen int,
+    start = f"""from_json('{{"open":"","marks":[],"seen":0,"found":[]}}',
+        'open string, marks array<struct<place:int,license:string,audio:int>>, seen int,
          found array<struct<license:string,audio:int>>')"""
     mark = """named_struct(
+        'place', length(state.open),
         'license', coalesce(tag.license, try_element_at(state.marks, -1).license),
         'audio', coalesce(try_element_at(state.marks, -1).audio, if(tag.name = 'audio', state.seen, NULL)))"""
     links = f"tag.name IN ({linking})"
     pushes = f"NOT tag.alone AND tag.name NOT IN ({void})"
-    opened = let(
+    grown = f"if({pushes}, concat(state.open, '{_BREAK}', tag.name, '{_BREAK}'), state.open)"
+    plain = f"""named_struct('open', {grown}, 'marks', state.marks, 'seen', state.seen, 'found', state.found)"""
+    marked = let(
         mark,
         f"""named_struct(
-        'names', if({pushes}, concat(state.names, array(tag.name)), state.names),
-        'marks', if({pushes}, concat(state.marks, array($it)), state.marks),
+        'open', {grown},
+        'marks', if({pushes} AND (tag.license IS NOT NULL OR tag.name = 'audio'),
+            concat(state.marks, array($it)), state.marks),
         'seen', if({links}, state.seen + 1, state.seen),
-        'found', if({links}, concat(state.found, array($it)), state.found))""",
+        'found', if({links}, concat(state.found, array(named_struct('license', $it.license, 'audio', $it.audio))),
+            state.found))""",
     )
+    delimited = f"concat('{_BREAK}', tag.name, '{_BREAK}')"
+    inside = f"substring_index(state.open, {delimited}, -1)"
     closed = let(
-        "size(state.names) - int(array_position(reverse(state.names), tag.name))",
+        f"left(state.open, length(state.open) - length({inside}) - length(tag.name) - 2)",
         """named_struct(
-        'names', slice(state.names, 1, $it), 'marks', slice(state.marks, 1, $it),
+        'open', $it,
+        'marks', if(size(state.marks) = 0, state.marks, filter(state.marks, m -> m.place < length($it))),
         'seen', state.seen, 'found', state.found)""",
     )
-    step = f"""CASE WHEN NOT tag.closes THEN {opened}
-        WHEN array_contains(state.names, tag.name) THEN {closed} ELSE state END"""
+    step = f"""CASE WHEN NOT tag.closes AND NOT {links} AND tag.license IS NULL THEN {plain}
+        WHEN NOT tag.closes THEN {marked}
+        WHEN contains(state.open, {delimited}) THEN {closed} ELSE state END"""
     return f"aggregate({events}, {start}, (state, tag) -> {step}, state -> state.found)"
 
 

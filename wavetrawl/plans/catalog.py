@@ -13,7 +13,7 @@ from wavetrawl.functions.language import JAPANESE_TAGS
 from wavetrawl.functions.text import is_truthy, or_empty, trim
 from wavetrawl.functions.urls import audio_format, is_feed_audio_url, is_page_audio_url, is_valid_url, resolve_url
 from wavetrawl.operators import audio, dedup, enrich, feeds, ordering, page_links, records, stats
-from wavetrawl.plans import fixtures
+from wavetrawl.plans import fixtures, routes
 from wavetrawl.session import scratch_path
 from wavetrawl.sources import archives, manifests, snapshots, tables
 from wavetrawl.streaming.incremental import collect_new_links
@@ -30,8 +30,7 @@ def query(function: Query) -> Query:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given = {"pages": fixtures.spread(fixtures.load(spark, sf_dir, "pages"))}
-    return spark.sql(fixtures.PAGES.replace("FROM pages", "FROM {pages}"), **given)
+    return fixtures.derive(spark, sf_dir, fixtures.PAGES)
 
 
 def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,12 +43,11 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parsed_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given = fixtures.spread(fixtures.derive(spark, sf_dir, fixtures.FEEDS))
-    return feeds.parse_feeds(feeds.feed_records(given))
+    return feeds.parse_feeds(feeds.feed_records(fixtures.derive(spark, sf_dir, fixtures.FEEDS)))
 
 
 def _feed_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feeds.feed_audio_links(feeds.feed_items(_parsed_feeds(spark, sf_dir)))
+    return routes.links_of_feeds(fixtures.derive(spark, sf_dir, fixtures.FEEDS))
 
 
 # Snapshots and archives
@@ -244,7 +242,7 @@ def repeated_blocks(spark, sf_dir):
 
 @query
 def detect_language(spark, sf_dir):
-    docs = fixtures.spread(fixtures.derive(spark, sf_dir, fixtures.DOCUMENTS))
+    docs = fixtures.derive(spark, sf_dir, fixtures.DOCUMENTS)
     return enrich.with_language(docs).select("doc_id", "detected")
 
 
@@ -264,6 +262,21 @@ def good_pages(spark, sf_dir):
     return enrich.good_pages(_pages(spark, sf_dir), _quality_model(spark, sf_dir), language="en")
 
 
+# Whole routes
+
+
+@query
+def page_route(spark, sf_dir):
+    """Records to links: HTML responses, decoded, in the wanted language, scored, mined."""
+    found = routes.page_links_of_records(_records(spark, sf_dir), _quality_model(spark, sf_dir), "en")
+    return found.select("url", "title", "quality", "audio_url", "description", "license")
+
+
+@query
+def feed_route(spark, sf_dir):
+    return routes.feed_links_of_records(_records(spark, sf_dir))
+
+
 # Links of pages
 
 
@@ -311,7 +324,7 @@ def link_license(spark, sf_dir):
 
 @query
 def feed_items(spark, sf_dir):
-    return _feed_links(spark, sf_dir).drop("item_pos")
+    return _feed_links(spark, sf_dir)
 
 
 @query
@@ -330,8 +343,7 @@ def clean_feed_text(spark, sf_dir):
 def all_links(spark, sf_dir):
     found = page_links.extract_audio_links(_pages(spark, sf_dir), keep=["url"])
     from_pages = found.select("audio_url", "description", "license", F.col("url").alias("page_url"))
-    from_feeds = _feed_links(spark, sf_dir).drop("item_pos")
-    return tables.union_links(from_pages, from_feeds).select(
+    return tables.union_links(from_pages, _feed_links(spark, sf_dir)).select(
         "link_source", "audio_url", "description", "license", "title", "language", "page_url"
     )
 

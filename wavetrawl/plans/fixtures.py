@@ -130,7 +130,11 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Run one of the texts above over the given tables."""
-    used = {name: load(spark, sf_dir, name) for name in TABLES if f"FROM {name}" in text or f"JOIN {name}" in text}
+    used = {
+        name: spread(load(spark, sf_dir, name)) if f"FROM {name}" in text else load(spark, sf_dir, name)
+        for name in TABLES
+        if f"FROM {name}" in text or f"JOIN {name}" in text
+    }
     for name in used:
         text = text.replace(f"FROM {name}", f"FROM {{{name}}}").replace(f"JOIN {name}", f"JOIN {{{name}}} AS {name}")
     return spark.sql(text, **used)

@@ -186,6 +186,7 @@ SQL["feed_items"] = f"""
 SELECT 'https://feeds.example.org/' || k AS page_url,
   'https://a.example.com/' || k || CASE kind WHEN 0 THEN '.mp3' ELSE '.m4a' END AS audio_url, {_ITEM_TEXTS}
 FROM ({_FEED_ITEMS}) WHERE kind IN (0, 1)"""
+SQL["feed_route"] = SQL["feed_items"]
 SQL["clean_feed_text"] = f"""
 SELECT k AS feed_id, cast(item_pos AS bigint) AS item_pos, {_ITEM_TEXTS} FROM ({_FEED_ITEMS})"""
 SQL["feed_rejects"] = f"""
