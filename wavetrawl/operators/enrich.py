@@ -18,6 +18,8 @@ from wavetrawl.functions.text import (
     tag_attributes_sql,
     trim_sql,
 )
+from wavetrawl.operators.columns import with_once
+from wavetrawl.operators.ordering import materialise
 from wavetrawl.operators.skew import drop_frequent
 
 # Elements whose content is never main text, and elements that start a new block.
@@ -68,12 +70,16 @@ def text_blocks(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
 def main_text(pages: DataFrame, out: str = "text") -> DataFrame:
     """Add the main text of each page, one block a line; empty if there is none. A map, no shuffle."""
-    return pages.withColumn(out, F.expr(f"array_join({_blocks('html')}, '\\n')"))
+    return with_once(pages, out, f"array_join({_blocks('html')}, '\\n')")
 
 
 def drop_repeated_blocks(blocks: DataFrame, max_times: int = 2) -> DataFrame:
-    """Drop the blocks that occur more than ``max_times`` times in the whole corpus."""
-    hashed = blocks.withColumn("block_hash", F.unhex(F.md5("block")))
+    """Drop the blocks that occur more than ``max_times`` times in the whole corpus.
+
+    The blocks are written to scratch first: they are read for the counts (only the hash column) and
+    again for the result, and the pages must not be cut up each time.
+    """
+    hashed = materialise(blocks.withColumn("block_hash", F.unhex(F.md5("block"))), "blocks")
     return drop_frequent(hashed, "block_hash", max_times).drop("block_hash")
 
 
@@ -87,12 +93,12 @@ def titles(pages: DataFrame, out: str = "title") -> DataFrame:
     title = _plain(f"regexp_extract(html, {literal(r'(?is)<title\b[^>]*>(.*?)</title\s*>')}, 1)")
     choices = (f"if(contains(html, 'og:title'), {_squeezed(og)}, NULL)", heading, title)
     found = ", ".join(let(choice, "if($it <> '', $it, NULL)") for choice in choices)
-    return pages.withColumn(out, F.expr(f"coalesce({found}, '')"))
+    return with_once(pages, out, f"coalesce({found}, '')")
 
 
 def with_language(texts: DataFrame, text: str = "text", out: str = "detected") -> DataFrame:
     """Add the detected language of a text, NULL if none is recognised."""
-    return texts.withColumn(out, language_of(text))
+    return with_once(texts, out, language_of(text))
 
 
 def fit_quality_model(labelled: DataFrame, text: str = "text", label: str = "quality") -> PipelineModel:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from wavetrawl.functions.language import has_lang_attribute
 from wavetrawl.functions.text import or_empty
+from wavetrawl.operators.columns import with_once
 
 # Charsets tried in this order on bytes that are not UTF-8 and that declare none that fits.
 FALLBACK_CHARSETS = ("iso2022_jp", "shift_jis", "euc_jp", "cp1252")
@@ -73,7 +74,7 @@ def decoded(payload: Column) -> Column:
 
 def decode_pages(records: DataFrame) -> DataFrame:
     """Add ``html`` to records and drop those whose payload cannot be decoded."""
-    return records.withColumn("html", decoded(F.col("payload"))).filter(F.col("html").isNotNull()).drop("payload")
+    return with_once(records, "html", decoded(F.col("payload"))).filter(F.col("html").isNotNull()).drop("payload")
 
 
 def pages_in_language(pages: DataFrame, language: str = "ja") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wavetrawl.functions.language import has_lang_attribute
+from wavetrawl.operators.columns import with_once
 from wavetrawl.operators import enrich, feeds, page_links, records
 
 
@@ -38,4 +39,4 @@ def links_of_feeds(given: DataFrame) -> DataFrame:
 def feed_links_of_records(crawl: DataFrame) -> DataFrame:
     """Feed route: feeds among the responses, decoded and read."""
     responses = feeds.feed_records(crawl.filter(F.col("rec_type") == "response"))
-    return links_of_feeds(responses.withColumn("payload", records.decoded(F.col("payload"))))
+    return links_of_feeds(with_once(responses, "payload", records.decoded(F.col("payload"))))

@@ -7,6 +7,7 @@ systems, so local, HDFS and object-store paths all work and no archive is ever h
 from __future__ import annotations
 
 import gzip
+import io
 import sys
 import zlib
 from collections.abc import Iterator
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
 
 FORMAT = "crawl_archive"
+BROKEN = "broken"
 _SCHEMA = "archive string, pos bigint, rec_type string, target_uri string, content_type string, payload binary"
 _BATCH_BYTES = 16 << 20
 _BATCH_ROWS = 2048
@@ -65,32 +67,40 @@ def _body(headers: dict[str, str], body: bytes) -> bytes:
 
 
 def read_records(stream: BinaryIO, archive: str, rec_type: str | None = None) -> Iterator[tuple]:
-    """The records of one uncompressed archive stream. Bodies of unwanted types are skipped unread.
+    """The records of one uncompressed archive stream; those of unwanted types are passed over.
 
-    A stream that ends or breaks in the middle of a record yields the records before it.
+    A stream that is cut or damaged yields the records before the damage and then one of type ``broken``,
+    so that the loss can be seen. Input/output errors are not damage: they fail the task, which Spark
+    then runs again.
     """
     pos = -1
-    while True:
-        try:
+    try:
+        while True:
             line = stream.readline()
             while line and not line.strip():
                 line = stream.readline()
-            if not line.startswith(b"WARC/"):
+            if not line:
                 return
             pos += 1
+            if not line.startswith(b"WARC/"):
+                raise ValueError("no record header")
             fields = _headers(_header_block(stream))
-            block = stream.read(int(fields.get("content-length", "0")))
-        except (EOFError, OSError, ValueError, zlib.error):
-            return
-        kind = fields.get("warc-type")
-        if rec_type is not None and kind != rec_type:
-            continue
-        http, payload = {}, block
-        if block.startswith(b"HTTP/"):
-            head, _, payload = block.partition(b"\r\n\r\n")
-            http = _headers(head.partition(b"\r\n")[2])
-            payload = _body(http, payload)
-        yield archive, pos, kind, fields.get("warc-target-uri"), http.get("content-type"), payload
+            size = int(fields.get("content-length", "0"))
+            block = stream.read(size)
+            if len(block) < size:
+                raise EOFError
+            kind = fields.get("warc-type")
+            if rec_type is not None and kind != rec_type:
+                continue
+            http, payload = {}, block
+            if block.startswith(b"HTTP/"):
+                head, _, payload = block.partition(b"\r\n\r\n")
+                http = _headers(head.partition(b"\r\n")[2])
+                payload = _body(http, payload)
+            yield archive, pos, kind, fields.get("warc-target-uri"), http.get("content-type"), payload
+    except (EOFError, ValueError, gzip.BadGzipFile, zlib.error):
+        if rec_type in (None, BROKEN):
+            yield archive, pos, BROKEN, None, None, b""
 
 
 class _ArchiveFile(InputPartition):
@@ -132,7 +142,7 @@ class _ArchiveReader(DataSourceReader):
         files, inner = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
         rows, size = [], 0
         with files.open_input_stream(inner, compression=None) as raw:
-            stream = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw
+            stream = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else io.BufferedReader(raw)
             for row in read_records(stream, path, self.rec_type):
                 rows.append(row)
                 size += len(row[-1])
@@ -159,7 +169,7 @@ class CrawlArchives(DataSource):
 
 
 def read_archives(spark: SparkSession, paths: list[str], rec_type: str | None = None) -> DataFrame:
-    """Archive files as crawl records; ``rec_type`` keeps one type and skips the bodies of the others."""
+    """Archive files as crawl records; ``rec_type`` keeps one type. A filter on it is pushed down as well."""
     # Workers need not have this package installed for the reader that runs there.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
