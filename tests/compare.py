@@ -41,6 +41,16 @@ def expected(con: duckdb.DuckDBPyConnection, sql: str) -> tuple[list[str], list]
     return columns, cursor.fetchall()
 
 
+_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+def type_difference(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> dict:
+    """Columns whose types differ, as ``{name: (spark, duckdb)}``."""
+    here = {name: _TYPES.get(kind, kind) for name, kind in spark_df.dtypes}
+    there = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {name: (kind, there.get(name)) for name, kind in here.items() if kind != there.get(name)}
+
+
 def difference(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None if both sides agree, else what differs."""
     columns, rows = expected(con, sql)

@@ -15,7 +15,9 @@ def duck(small):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, small, duck, name):
-    assert compare.difference(QUERIES[name](spark, small), duck, SQL[name]) is None
+    result = QUERIES[name](spark, small)
+    assert compare.type_difference(result, duck, SQL[name]) == {}
+    assert compare.difference(result, duck, SQL[name]) is None
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
