@@ -4,7 +4,7 @@ from urllib.parse import urljoin, urlparse
 import pytest
 from pyspark.sql import functions as F
 
-from wavetrawl.functions.domains import with_registered_domain
+from wavetrawl.functions.domains import bundled_suffixes, with_registered_domain
 from wavetrawl.functions.language import base_language, has_lang_attribute, language_of
 from wavetrawl.functions.text import decode_references, header_text, squeeze, trim
 from wavetrawl.functions.urls import is_feed_audio_url, is_page_audio_url, resolve_url, url_host
@@ -150,3 +150,9 @@ def test_japanese_by_script(spark):
     texts = [("これは日本語の文章です。", "ja"), ("这是中文文章。", None), ("the end of it", "en"), ("", None)]
     df = spark.createDataFrame(texts, "t string, e string")
     assert df.filter(~language_of("t").eqNullSafe(F.col("e"))).collect() == []
+
+
+def test_bundled_rules_equal_the_same_rules_given(spark):
+    df = spark.createDataFrame(list(DOMAINS.items()), "audio_url string, expected string")
+    given = with_registered_domain(df, suffixes=bundled_suffixes(spark))
+    assert given.filter("NOT domain <=> expected").collect() == []

@@ -24,6 +24,19 @@ def bundled_suffixes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(rule,) for rule in _bundled_list()], "suffix string")
 
 
+_RULES = "rule_key string, exact boolean, below boolean, exception boolean, depth int"
+
+
+def _bundled_rules(spark: SparkSession) -> tuple[DataFrame, int, int]:
+    """The bundled list in the form of :func:`suffix_rules`, its size and its deepest rule."""
+    kinds: dict[str, set[str]] = {}
+    for rule in _bundled_list():
+        kind = "exception" if rule.startswith("!") else "below" if rule.startswith("*.") else "exact"
+        kinds.setdefault(rule.lstrip("!*."), set()).add(kind)
+    rows = [(k, "exact" in v, "below" in v, "exception" in v, k.count(".") + 1) for k, v in kinds.items()]
+    return spark.createDataFrame(rows, _RULES), len(rows), max(row[-1] for row in rows)
+
+
 def suffix_rules(suffixes: DataFrame) -> DataFrame:
     """One row per rule key: ``rule_key, depth, exact, below, exception``.
 
@@ -57,8 +70,7 @@ def with_registered_domain(
     joined without the broadcast hint. Hosts under no rule keep their last label, addresses stay whole.
     """
     if suffixes is None:
-        rules = suffix_rules(bundled_suffixes(links.sparkSession))
-        size, depth = len(_bundled_list()), max(rule.lstrip("!*.").count(".") + 1 for rule in _bundled_list())
+        rules, size, depth = _bundled_rules(links.sparkSession)
     else:
         rules = suffix_rules(suffixes)
         size, depth = rules.agg(F.count("*"), F.max("depth")).first()

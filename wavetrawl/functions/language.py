@@ -31,11 +31,18 @@ def has_lang_attribute(html: Column, language: str) -> Column:
     return html.rlike(rf"""(?i)<html[^>]*lang=["']?{re.escape(language)}["']?""")
 
 
+_KANA = "ぁ-ゖァ-ヺ"
+
+
 def is_japanese(text: Column, min_kana: float = 0.1) -> Column:
-    """Whether at least this share of the letters is kana, which Japanese prose always mixes in."""
-    kana = F.regexp_count(text, F.lit("[ぁ-ゖァ-ヺ]"))
-    letters = F.regexp_count(text, F.lit(r"\p{L}"))
-    return F.coalesce((letters > 0) & (kana >= letters * F.lit(min_kana)), F.lit(False))
+    """Whether at least this share of the letters is kana, which Japanese prose always mixes in.
+
+    Texts without any kana, most of a crawl, are settled by the first test.
+    """
+    kana = F.length(F.regexp_replace(text, f"[^{_KANA}]+", ""))
+    letters = F.length(F.regexp_replace(text, r"\P{L}+", ""))
+    enough = F.when(text.rlike(f"[{_KANA}]"), kana >= letters * F.lit(min_kana))
+    return F.coalesce(enough, F.lit(False))
 
 
 def language_of(text: str, stop_words: dict[str, list[str]] | None = None) -> Column:

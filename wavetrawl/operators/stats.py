@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from wavetrawl.functions.domains import with_registered_domain
 from wavetrawl.functions.language import base_language
+from wavetrawl.functions.urls import url_host
 
 
-def counts_with_share(rows: DataFrame, key: str) -> DataFrame:
-    """``key, n, pct``: rows per key and their share of all rows, in percent.
+def counts_with_share(rows: DataFrame, key: str, weight: str | None = None) -> DataFrame:
+    """``key, n, pct``: rows per key (or their summed ``weight``) and the share of all, in percent.
 
     The total comes from a scalar subquery over the counts, not from a window over all keys, which would
     bring every key into one task.
     """
-    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
+    counts = rows.groupBy(key).agg((F.sum(weight) if weight else F.count("*")).alias("n"))
     total = counts.agg(F.sum("n").alias("total")).scalar()
     return counts.withColumn("pct", F.col("n").cast("double") / total * F.lit(100.0))
 
@@ -25,16 +26,20 @@ def top_k(counts: DataFrame, key: str, k: int) -> DataFrame:
     return counts.orderBy(F.desc("n"), F.asc(key)).limit(k)
 
 
-def with_domain_only(links: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
-    """Links with their registered domain; those without URL or domain are left out."""
-    located = with_registered_domain(links.filter(F.col("audio_url").isNotNull()), suffixes=suffixes)
-    return located.filter(F.col("domain") != "")
+def host_counts(links: DataFrame) -> DataFrame:
+    """Links per host, ``host, n``; links without URL are left out."""
+    hosts = links.filter(F.col("audio_url").isNotNull()).select(url_host(F.col("audio_url")).alias("host"))
+    return hosts.groupBy("host").agg(F.count("*").alias("n"))
 
 
 def top_domains(links: DataFrame, k: int = 20, suffixes: DataFrame | None = None) -> DataFrame:
-    """Registered domains with most links: ``domain, n, pct``; the share is of all domains, not of the top."""
-    domains = with_domain_only(links.select("audio_url"), suffixes).select("domain")
-    return top_k(counts_with_share(domains, "domain"), "domain", k)
+    """Registered domains with most links: ``domain, n, pct``; the share is of all domains, not of the top.
+
+    Links are counted per host first, so domains are looked up once per host and not once per link.
+    Links without a domain count neither for a domain nor for the total.
+    """
+    located = with_registered_domain(host_counts(links), url="host", suffixes=suffixes)
+    return top_k(counts_with_share(located.filter(F.col("domain") != ""), "domain", "n"), "domain", k)
 
 
 def top_languages(links: DataFrame, k: int = 15) -> DataFrame:

@@ -248,7 +248,7 @@ def detect_language(spark, sf_dir):
 
 def _quality_model(spark: SparkSession, sf_dir: str):
     labels = fixtures.load(spark, sf_dir, "labels").select("doc_id", "quality")
-    return enrich.fit_quality_model(fixtures.load(spark, sf_dir, "documents").join(labels, "doc_id"))
+    return enrich.fit_quality_model(fixtures.spread(fixtures.load(spark, sf_dir, "documents")).join(labels, "doc_id"))
 
 
 @query
@@ -366,20 +366,20 @@ _REFERENCES = {
 }
 
 
-def _references(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _built_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = ", ".join(f"struct('{kind}' AS kind, {ref} AS ref)" for kind, ref in _REFERENCES.items())
-    pages = fixtures.load(spark, sf_dir, "pages").selectExpr("page_id", "url", "cast(page_id AS string) AS n")
+    pages = fixtures.spread(fixtures.load(spark, sf_dir, "pages")).selectExpr("page_id", "url", "cast(page_id AS string) AS n")
     return pages.selectExpr("page_id", "url", f"inline(array({kinds}))")
 
 
 @query
 def resolve_urls(spark, sf_dir):
-    return _references(spark, sf_dir).select("page_id", "kind", resolve_url("url", "ref").alias("resolved"))
+    return _built_references(spark, sf_dir).select("page_id", "kind", resolve_url("url", "ref").alias("resolved"))
 
 
 @query
 def valid_urls(spark, sf_dir):
-    return _references(spark, sf_dir).select("page_id", "kind", is_valid_url("ref").alias("valid"))
+    return _built_references(spark, sf_dir).select("page_id", "kind", is_valid_url("ref").alias("valid"))
 
 
 @query
