@@ -151,12 +151,15 @@ def spread(rows: DataFrame) -> DataFrame:
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Waveform samples from events: ``recording_id, channel, t, value``; one recording is mono."""
+    """Waveform samples from events: ``recording_id, channel, t, value``; one recording is mono.
+
+    Values are whole numbers, so that sums do not depend on their order.
+    """
     second = "unix_date(cast(ts AS date)) * 86400L + hour(ts) * 3600 + minute(ts) * 60 + cast(second(ts) AS bigint)"
     channel = "CASE WHEN event_type = 'signup' THEN 0 ELSE cast(user_id % 2 AS int) END"
     return spark.sql(
         f"""SELECT event_type AS recording_id, {channel} AS channel,
-              {second} - (SELECT min({second}) FROM {{events}}) AS t, value FROM {{events}}""",
+              {second} - (SELECT min({second}) FROM {{events}}) AS t, round(value * 100) AS value FROM {{events}}""",
         events=load(spark, sf_dir, "events"),
     )
 

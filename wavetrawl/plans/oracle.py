@@ -280,8 +280,8 @@ FROM {_L} WHERE {_FILLED} GROUP BY 1"""
 
 _SAMPLES = """
 SELECT event_type AS recording_id, CASE WHEN event_type = 'signup' THEN 0 ELSE cast(user_id % 2 AS int) END AS channel,
-  cast(floor(epoch(ts)) AS bigint) - (SELECT cast(floor(epoch(min(ts))) AS bigint) FROM events) AS t, value FROM events"""
-SQL["downmix"] = f"SELECT recording_id, t, round(avg(value), 6) AS value FROM ({_SAMPLES}) GROUP BY 1, 2"
+  cast(floor(epoch(ts)) AS bigint) - (SELECT cast(floor(epoch(min(ts))) AS bigint) FROM events) AS t, round(value * 100) AS value FROM events"""
+SQL["downmix"] = f"SELECT recording_id, t, avg(value) AS value FROM ({_SAMPLES}) GROUP BY 1, 2"
 _POINTS = f"SELECT recording_id, channel, t, avg(value) AS value FROM ({_SAMPLES}) GROUP BY 1, 2, 3"
 _GRID = f"""
 SELECT recording_id, channel, unnest(generate_series(
@@ -289,11 +289,11 @@ SELECT recording_id, channel, unnest(generate_series(
 FROM ({_POINTS}) GROUP BY 1, 2"""
 SQL["resample_series"] = f"""
 WITH points AS ({_POINTS}), grid AS ({_GRID})
-SELECT recording_id, channel, t // 3600 * 3600 AS t, round(avg(value), 6) AS value, 'mean' AS method
+SELECT recording_id, channel, t // 3600 * 3600 AS t, avg(value) AS value, 'mean' AS method
 FROM ({_SAMPLES}) GROUP BY 1, 2, 3
 UNION ALL
 SELECT g.recording_id, g.channel, g.t,
-  round(CASE WHEN a.t = b.t THEN a.value ELSE a.value + (b.value - a.value) * (g.t - a.t) / (b.t - a.t) END, 6), 'linear'
+  CASE WHEN a.t = b.t THEN a.value ELSE a.value + (b.value - a.value) * (g.t - a.t) / (b.t - a.t) END, 'linear'
 FROM grid g
 ASOF JOIN points a ON g.recording_id = a.recording_id AND g.channel = a.channel AND g.t >= a.t
 ASOF JOIN points b ON g.recording_id = b.recording_id AND g.channel = b.channel AND g.t <= b.t"""
