@@ -90,10 +90,9 @@ def test_empty_reference_on_an_audio_page(spark):
 
 
 def test_disguised_extensions_pass_the_page_filter(spark):
-    assert [u for u, *_ in links(spark, "<a href='x.m&#112;3'></a><a href='y.m\np3'></a>")] == [
-        "http://h.com/p/x.mp3",
-        "http://h.com/p/y.mp3",
-    ]
+    for ref in ("x.m&#112;3", "x.m\np3", "x&#46;&#x4D;P&#51;", "x&#x2E;\t&#10;m\r\np3", "x.&#0109;p3"):
+        assert [u.lower() for u, *_ in links(spark, f"<a href='{ref}'></a>")] == ["http://h.com/p/x.mp3"], ref
+    assert links(spark, "<a href='x.mp&#038;3'>." + "\n" * 100_000 + "</a>") == []
 
 
 def test_dedup_in_the_row_equals_the_aggregate(spark):

@@ -8,6 +8,9 @@ map over pages without any shuffle, and no page's HTML ever crosses the network.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +23,7 @@ from wavetrawl.functions.text import (
     tag_name_sql,
     trim_sql,
 )
-from wavetrawl.functions.urls import is_page_audio_url_sql, mentions_audio_sql, resolve_url_sql
+from wavetrawl.functions.urls import AUDIO_EXTENSIONS, is_page_audio_url_sql, mentions_audio_sql, resolve_url_sql
 
 # One token: script and style whole, comments, tags, declarations, runs of text, a lone "<".
 TOKEN = (
@@ -40,8 +43,25 @@ _LINK_TAG = rf"(?i)<(?:audio|{'|'.join(LINKING_TAGS)})(?=[\s/>])[^>]*>"
 # Tags that matter for what encloses what.
 _NESTING_TAG = rf"(?i)</?(?!(?:{'|'.join(t for t in VOID_TAGS if t not in LINKING_TAGS)})[\s/>])[a-z][^>]*>"
 
-# Attributes whose written form may differ from their value inside an extension.
-_DISGUISED = r"""(?i)\b(?:href|src)\b[^>]*(?:&(?:#|period;|Tab;|NewLine;)|[\t\r\n])"""
+_LINE_GAP = r"[\t\r\n]*+"
+_REFERENCE_GAP = r"(?:[\t\r\n]++|&#0*+(?:9|10|13);|&#[xX]0*+[9aAdD];)*+"
+
+
+def _extension(written: Callable[[str], str], gap: str) -> str:
+    endings = (gap.join(map(written, extension)) for extension in AUDIO_EXTENSIONS)
+    return f"{written('.')}{gap}(?:{'|'.join(endings)})"
+
+
+def _character_or_reference(char: str) -> str:
+    forms = sorted({char, char.upper()})
+    numeric = [f"&#0*+{ord(c)};|&#[xX]0*+(?i:{ord(c):x});" for c in forms]
+    return f"(?:{'|'.join([*map(re.escape, forms), *numeric])})"
+
+
+# An extension broken by tabs or line ends, and one with numeric references as well: both vanish when a
+# reference is read and resolved. The repeats are possessive, so long runs cost no stack.
+_BROKEN_EXTENSION = "(?i)" + _extension(re.escape, _LINE_GAP)
+_DISGUISED_EXTENSION = "(?=[.&])" + _extension(_character_or_reference, _REFERENCE_GAP)
 
 DESCRIPTION_LENGTH = 100
 _BREAK = "\x01"
@@ -200,10 +220,11 @@ def may_hold_audio(html: str = "html", url: str = "url") -> Column:
     """Whether a page can have audio links at all; never false for one that has.
 
     True for a page that names an audio extension, for one whose own URL is audio (an empty reference
-    then points to it), and for references written with character references or line breaks.
+    then points to it), and for one that writes an extension with character references or line breaks.
     """
-    disguised = f"{html} RLIKE {literal(_DISGUISED)}"
-    return F.expr(f"{mentions_audio_sql(html)} OR {is_page_audio_url_sql(url)} OR {disguised}")
+    disguised = f"contains({html}, '&#') AND {html} RLIKE {literal(_DISGUISED_EXTENSION)}"
+    plain = f"{html} RLIKE {literal(_BROKEN_EXTENSION)}"
+    return F.expr(f"{plain} OR {is_page_audio_url_sql(url)} OR ({disguised})")
 
 
 def link_candidates(pages: DataFrame, url: str = "url", keep: list[str] | None = None) -> DataFrame:
