@@ -78,14 +78,16 @@ def _merged_path(base_path: str, ref_path: str) -> str:
     return f"coalesce(nullif(array_join({let(segments, closed)}, '/'), ''), '/')"
 
 
-def join_url_sql(base: str, ref: str) -> str:
+def join_url_sql(base: str, ref: str, base_parts: str | None = None) -> str:
     """SQL for ``ref`` seen from ``base``, by the rules browsers and crawlers use for links.
 
+    ``base_parts`` may name the base already split, where many references share it.
+
     A reference with its own host keeps its dot segments; empty inner segments vanish only from joined
     relative paths; surplus ``..`` is ignored. NULL where either side has a broken host.
     """
     parts = let(
-        f"named_struct('b', {split_url_sql(base)}, 'r', {split_url_sql(ref)})",
+        f"named_struct('b', {base_parts or split_url_sql(base)}, 'r', {split_url_sql(ref)})",
         """named_struct(
             'scheme', coalesce(nullif($it.r.scheme, ''), $it.b.scheme),
             'b', $it.b,
@@ -112,9 +114,9 @@ def join_url(base: str, ref: str) -> Column:
     return F.expr(join_url_sql(base, ref))
 
 
-def resolve_url_sql(base: str, ref: str) -> str:
+def resolve_url_sql(base: str, ref: str, base_parts: str | None = None) -> str:
     absolute = f"(startswith({ref}, 'http://') OR startswith({ref}, 'https://'))"
-    candidate = f"CASE WHEN {absolute} THEN {ref} ELSE {join_url_sql(base, ref)} END"
+    candidate = f"CASE WHEN {absolute} THEN {ref} ELSE {join_url_sql(base, ref, base_parts)} END"
     return let(candidate, f"CASE WHEN {is_valid_url_sql('$it')} THEN $it END")
 
 

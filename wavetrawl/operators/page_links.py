@@ -23,7 +23,7 @@ from wavetrawl.functions.text import (
     tag_name_sql,
     trim_sql,
 )
-from wavetrawl.functions.urls import AUDIO_EXTENSIONS, is_page_audio_url_sql, mentions_audio_sql, resolve_url_sql
+from wavetrawl.functions.urls import AUDIO_EXTENSIONS, is_page_audio_url_sql, mentions_audio_sql, resolve_url_sql, split_url_sql
 
 # One token: script and style whole, comments, tags, declarations, runs of text, a lone "<".
 TOKEN = (
@@ -41,7 +41,7 @@ VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link",
 _LINK_TAG = rf"(?i)<(?:audio|{'|'.join(LINKING_TAGS)})(?=[\s/>])[^>]*>"
 
 # Tags that matter for what encloses what.
-_NESTING_TAG = rf"(?i)</?(?!(?:{'|'.join(t for t in VOID_TAGS if t not in LINKING_TAGS)})[\s/>])[a-z][^>]*>"
+_NESTING_TAG = rf"(?i)</?(?!(?:{'|'.join(t for t in VOID_TAGS if t not in LINKING_TAGS)})[\s/>])([a-z][^\s/>]*)[^>]*>"
 
 _LINE_GAP = r"[\t\r\n]*+"
 _REFERENCE_GAP = r"(?:[\t\r\n]++|&#0*+(?:9|10|13);|&#[xX]0*+[9aAdD];)*+"
@@ -132,11 +132,12 @@ def _ancestry(markup: str) -> str:
     linking = ", ".join(f"'{name}'" for name in ("audio", *LINKING_TAGS))
     void = ", ".join(f"'{name}'" for name in VOID_TAGS)
     own_license = attribute_sql(tag_attributes_sql("tag"), "license", "data-license", "data-licence")
-    events = f"""transform(regexp_extract_all({markup}, {literal(_NESTING_TAG)}, 0), tag -> named_struct(
-        'name', {tag_name_sql('tag')},
+    tags, names = (f"regexp_extract_all({markup}, {literal(_NESTING_TAG)}, {group})" for group in (0, 1))
+    events = f"""zip_with({tags}, {names}, (tag, name) -> named_struct(
+        'name', lower(name),
         'closes', startswith(tag, '</'),
         'alone', endswith(tag, '/>'),
-        'license', if(contains(lower(tag), 'licen') AND NOT startswith(tag, '</'), {own_license}, NULL)))"""
+        'license', if(tag RLIKE '(?i)licen' AND NOT startswith(tag, '</'), {own_license}, NULL)))"""
     start = f"""from_json('{{"open":"","marks":[],"seen":0,"found":[]}}',
         'open string, marks array<struct<place:int,license:string,audio:int>>, seen int,
          found array<struct<license:string,audio:int>>')"""
@@ -249,22 +250,23 @@ def _link_rows(pages: DataFrame, url: str, keep: list[str] | None, firsts_only:
     cut = (
         pages.withColumn("__url", or_empty(F.col(url)))
         .filter(may_hold_audio("html", "__url"))
-        .selectExpr(*kept, "__url", f"{_visible_markup('html')} AS __markup")
-        .selectExpr(*kept, "__url", "__markup", f"{_segments('__markup')} AS __segments")
+        .selectExpr(*kept, "__url", f"{split_url_sql('__url')} AS __base", f"{_visible_markup('html')} AS __markup")
+        .selectExpr(*kept, "__url", "__base", "__markup", f"{_segments('__markup')} AS __segments")
     )
     needs_ancestry = f"__markup RLIKE {literal(r'(?i)licen|<source[ \t\r\n/>]')}"
     read = cut.selectExpr(
         *kept,
         "__url",
+        "__base",
         f"if({needs_ancestry}, {_ancestry('__markup')}, NULL) AS __ancestry",
         f"{_read_tags(_linking_tags('__segments'), '__url')} AS __tags",
     )
     rest = ", ".join(f"'{name}', link.{name}" for name in _LINK_FIELDS)
     links = f"""filter(
         transform({_references('__tags', '__ancestry')}, link -> named_struct(
-            'audio_url', {resolve_url_sql('__url', 'link.ref')}, {rest})),
+            'audio_url', {resolve_url_sql('__url', 'link.ref', '__base')}, {rest})),
         link -> coalesce({is_page_audio_url_sql('link.audio_url')}, false))"""
-    found = read.selectExpr(*kept, f"{f'array_sort({links})' if firsts_only else links} AS __links")
+    found = read.selectExpr(*kept, f"{f'sort_array({links})' if firsts_only else links} AS __links")
     if firsts_only:
         repeats = "i > 0 AND get(__links, i - 1).audio_url = link.audio_url"
         found = found.selectExpr(*kept, f"filter(__links, (link, i) -> NOT ({repeats})) AS __links")
