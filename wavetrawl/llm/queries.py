@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wavetrawl.llm import simhash
+from wavetrawl.llm import bpe, quality, simhash, tokens
 from wavetrawl.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,24 @@ def query(function):
 @query
 def op1_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+@query
+def op8_quality_gam(spark, sf_dir):
+    return quality.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op7_bpe_round_trip(spark, sf_dir):
+    return bpe.digests(read_table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query
+def op10_token_files(spark, sf_dir):
+    return tokens.token_index(read_table(spark, sf_dir, "documents"), vocabulary(), end_id=0)
