@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wavetrawl.llm import bpe, quality, simhash, tokens
+from wavetrawl.llm import bpe, quality, rules, simhash, tokens
 from wavetrawl.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,10 @@ def op7_bpe_round_trip(spark, sf_dir):
 @query
 def op10_token_files(spark, sf_dir):
     return tokens.token_index(read_table(spark, sf_dir, "documents"), vocabulary(), end_id=0)
+
+
+@query
+def op5_quality_rules(spark, sf_dir):
+    return rules.apply_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
