@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wavetrawl.llm import bpe, quality, rules, simhash, tokens
+from wavetrawl.llm import bpe, quality, rules, simhash, tokens, toxicity
 from wavetrawl.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,8 @@ def op5_quality_rules(spark, sf_dir):
     return rules.apply_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op3_toxic_segments(spark, sf_dir):
+    return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
