@@ -28,6 +28,7 @@ PRICE = 0.25
 PRIOR_TOKENS = 50.0
 LEAST_DOCUMENTS = 3
 SIGNIFICANT = 3.5
+LEAST_ODDS = 1.5
 STEMS = (7, 6, 5, 4)
 MAX_EXPECTED = 0.05
 
@@ -64,6 +65,11 @@ def segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
     return [(float(high - low), begin, end) for low, high, begin, end, _ in found]
 
 
+def damped(evidence):
+    """Evidence on a logarithmic scale: long toxic texts must not flatten the curve for short ones."""
+    return np.log1p(np.maximum(evidence, 0.0))
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     words: dict[str, float]
@@ -105,7 +111,7 @@ class ToxicityModel:
         return self.rate * score - self.log_k - float(np.log(max(n, 1)))
 
     def probability(self, text: str | None) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * self.evidence(text) + self.offset, -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(self.slope * damped(self.evidence(text)) + self.offset, -30, 30))))
 
 
 def _decay_rate(scores: np.ndarray, weights: np.ndarray) -> float:
@@ -158,7 +164,7 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """Fit on at most ``max_rows`` labelled documents outside the held-out fold; ``rows`` has ``ID`` and ``TEXT``.
 
-    Three quarters of them give the counts, the rest the calibration. Null ids and labels are left out. Without
+    The distinct texts of three quarters of them give the counts, the rest the calibration. Null ids and labels are left out. Without
     labelled documents of both kinds every text gets the same low score.
     """
     marks = labels.select(F.col("doc_id").alias(ID), F.col(label).cast("int").alias("label")).dropna().distinct()
@@ -167,8 +173,8 @@ def fit_toxicity(
     marks = spark.createDataFrame(marks.toPandas(), f"{ID} bigint, label int")  # bounded by max_rows
     known = rows.join(F.broadcast(marks), ID)
     calibrates = F.pmod(F.xxhash64(ID, F.lit("calibration")), F.lit(4)) == 0
-    counted = known.filter(~calibrates)
-    sizes = marks.filter(~calibrates).agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
+    counted = materialise(known.filter(~calibrates).select(TEXT, "label").distinct(), "toxicity-training")
+    sizes = counted.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
     toxic, other = (float(x or 0) for x in sizes)
     if not toxic or not other:
         return ToxicityModel({}, {}, 1.0, 0.0, 0.0, -5.0)
@@ -182,7 +188,7 @@ def fit_toxicity(
         counts.filter(F.col("toxic") + F.col("other") >= LEAST_DOCUMENTS)
         .withColumn("odds", odds)
         .withColumn("z", odds / F.sqrt(1 / a + 1 / b))
-        .filter(F.abs("z") > SIGNIFICANT)
+        .filter((F.abs("z") > SIGNIFICANT) & (F.abs("odds") > LEAST_ODDS))
     )
     top = weighed.orderBy(F.abs("z").desc(), "kind", "term").limit(MAX_TERMS).toPandas()
     top["score"] = top["odds"] - PRICE  # tokens without a significant difference cost the price alone
@@ -206,7 +212,7 @@ def fit_toxicity(
         return ToxicityModel(words, stems, rate, 0.0, 0.5, -3.0)
     # Of the law exp(-exp(-(x - log K))), the mean is log K plus Euler's constant.
     log_k = float(np.median(x[y == 0])) + float(np.log(np.log(2)))
-    slope, offset = _logistic(x - log_k, y)
+    slope, offset = _logistic(damped(x - log_k), y)
     return ToxicityModel(words, stems, rate, log_k, max(slope, 0.0), offset)
 
 
