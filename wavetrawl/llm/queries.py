@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wavetrawl.llm import bpe, quality, rules, simhash, tokens, toxicity
+from wavetrawl.llm import bpe, decontaminate, quality, rules, simhash, tokens, toxicity
 from wavetrawl.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,10 @@ def op5_quality_rules(spark, sf_dir):
 @query
 def op3_toxic_segments(spark, sf_dir):
     return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_benchmark_leaks(spark, sf_dir):
+    return decontaminate.benchmark_matches(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
