@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wavetrawl.llm import bpe, decontaminate, quality, rules, simhash, tokens, toxicity
+from wavetrawl.llm import bpe, decontaminate, fixity, katz, lines, quality, rules, simhash, tokens, toxicity
 from wavetrawl.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +62,31 @@ def op2_benchmark_leaks(spark, sf_dir):
     return decontaminate.benchmark_matches(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     )
+
+
+@query
+def op6_line_dedup(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs)
+
+
+@query
+def op4_katz_scores(spark, sf_dir):
+    return katz.score_texts(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_warc_fixity(spark, sf_dir):
+    left, right = fixity.write_replicas(read_table(spark, sf_dir, "pages"))
+    page = F.regexp_extract("record", r"^urn:page:(-?\d+)$", 1).cast("bigint")
+    return fixity.audit(left, right).select(page.alias("page_id"), "status", "left_payload", "right_payload")
+
+
+SQL["op9_warc_fixity"] = """
+    WITH marked AS (SELECT page_id, coalesce(html, '') AS html, substr(md5(CAST(page_id AS VARCHAR)), 1, 2) AS mark FROM pages)
+    SELECT page_id,
+        CASE mark WHEN '00' THEN 'altered' WHEN '01' THEN 'missing' ELSE 'extra' END AS status,
+        CASE mark WHEN '02' THEN NULL ELSE sha256(html) END AS left_payload,
+        CASE mark WHEN '00' THEN sha256('X' || substr(html, 2)) WHEN '02' THEN sha256(html) END AS right_payload
+    FROM marked WHERE mark IN ('00', '01', '02')
+"""
