@@ -49,6 +49,17 @@ def _from_planes(raw: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(octets.T).view("<u8").ravel(), dtype=np.uint64)
 
 
+def _by_byte(values: np.ndarray) -> bytes:
+    """Numbers byte position by byte position: the high bytes of small ones compress to nothing."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _from_bytes(raw: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    octets = np.frombuffer(raw, dtype=np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(octets.T).view(kind).ravel()
+
+
 def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """A hash per pair of hashes."""
     value = (left ^ (left >> np.uint64(29))) * _ODD + right
@@ -75,7 +86,7 @@ def _read_chunks(docs: DataFrame, folds: int, held_out: int) -> DataFrame:
             return pd.DataFrame({
                 "chunk": [number], "ids": [list(ids)], "held_out": [list(held)],
                 "lengths": [np.array(lengths, dtype=np.int64).tobytes()],
-                "tokens": [place[np.concatenate(tokens)].tobytes()], "words": [hashes[order].tobytes()],
+                "tokens": [_by_byte(place[np.concatenate(tokens)])], "words": [hashes[order].tobytes()],
             })
 
         for batch in batches:
@@ -112,7 +123,7 @@ class _Chunk:
     def of(cls, row) -> _Chunk:
         return cls(
             list(row["ids"]), np.array(row["held_out"], dtype=bool), np.frombuffer(row["lengths"], dtype=np.int64),
-            np.frombuffer(row["tokens"], dtype=np.uint32).astype(np.int64), np.frombuffer(row["words"], dtype=np.uint64),
+            _from_bytes(row["tokens"], "<u4").astype(np.int64), np.frombuffer(row["words"], dtype=np.uint64),
         )
 
     @property
@@ -140,7 +151,7 @@ def _asked(chunk: int, level: int, hashes: np.ndarray, counts: np.ndarray, parts
     bounds = _bounds(hashes, parts)
     for part, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
         if a < b:
-            yield level, part, chunk, _planes(hashes[a:b]), counts[a:b].astype(np.int64).tobytes()
+            yield level, part, chunk, _planes(hashes[a:b]), _by_byte(counts[a:b].astype(np.int64))
 
 
 def _bounds(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -167,7 +178,7 @@ def _count_tables(chunks: DataFrame, parts: int) -> DataFrame:
     def answer(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("chunk")
         keys = [_from_planes(raw) for raw in group["keys"]]
-        counts = np.concatenate([np.frombuffer(raw, dtype=np.int64) for raw in group["counts"]])
+        counts = np.concatenate([_from_bytes(raw, "<i8") for raw in group["counts"]])
         every = np.concatenate(keys)
         distinct, first, inverse = np.unique(every, return_index=True, return_inverse=True)
         total = np.zeros(len(distinct), dtype=np.int64)
@@ -179,7 +190,7 @@ def _count_tables(chunks: DataFrame, parts: int) -> DataFrame:
         rows, at = [], 0
         for chunk, own in zip(group["chunk"], keys):
             to = at + len(own)
-            rows.append((chunk, total[inverse[at:to]].tobytes(), np.packbits(owned[at:to]).tobytes(), [] if at else facts))
+            rows.append((chunk, _by_byte(total[inverse[at:to]]), np.packbits(owned[at:to]).tobytes(), [] if at else facts))
             at = to
         result = pd.DataFrame(rows, columns=["chunk", "counts", "owned", "facts"])
         result.insert(0, "part", group["part"].iloc[0])
@@ -260,7 +271,7 @@ class _Words:
 def _answers_of(rows: pd.DataFrame, level: int) -> tuple[np.ndarray, np.ndarray]:
     """A chunk's counts of one order in its own order, and which of them it answers for."""
     rows = rows[rows["level"] == level].sort_values("part")
-    counts = [np.frombuffer(raw, dtype=np.int64) for raw in rows["counts"]]
+    counts = [_from_bytes(raw, "<i8") for raw in rows["counts"]]
     owned = [np.unpackbits(np.frombuffer(raw, dtype=np.uint8), count=len(c)) for raw, c in zip(rows["owned"], counts)]
     empty = [np.zeros(0, dtype=np.int64)]
     return np.concatenate(counts or empty), np.concatenate(owned or empty).astype(bool)
@@ -290,20 +301,28 @@ def _first_scores(chunks: DataFrame, answers: DataFrame, words: _Words, pairs: L
             seen, np.log10(np.maximum(pairs.discounted(count), 1e-300) / np.maximum(word_count[before], 1)), np.log10(share[word])
         )
         score = np.log10(share[chunk.tokens[first]]) + np.bincount(doc[later], part_score[place], docs)
-        # What waits: the history's weight of unseen pairs (odd numbers) and its scale of seen ones (even numbers).
-        waiting, times = np.unique(doc[later] * (2 * size) + 2 * before[place] + ~seen[place], return_counts=True)
-        history_known = word_count[(waiting // 2) % size] > 0
-        waiting, times = waiting[history_known], times[history_known]
-        facts = np.stack([chunk.lengths.astype(float), known, base, score], axis=1)
-        rows = [(0, row["chunk"], -1, chunk.ids, chunk.held_out.tolist(), facts.tobytes(), waiting.astype(np.int64).tobytes(), times.astype(np.int32).tobytes())]
         mine = owned & seen
         kept = np.bincount(before[mine], pairs.discounted(count)[mine] / word_count[before[mine]], size)
         lower = np.bincount(before[mine], share[word[mine]], size)
-        bounds = _bounds(chunk.words, parts)
+        # Where the discounts seen here alone leave at least one extra count's share, the scale is one.
+        loss = np.bincount(before[seen], (count - pairs.discounted(count))[seen], size)
+        open_scale = loss < word_count / (word_count + 1)
+        # What waits: a known history's weight of unseen pairs (odd numbers), its scale of seen ones (even numbers).
+        waits = (word_count[before] > 0) & (~seen | open_scale[before])
+        asked = np.flatnonzero((kept > 0) | (np.bincount(before[waits], minlength=size) > 0))
+        number = np.zeros(size, dtype=np.int64)
+        number[asked] = np.arange(len(asked))
+        at = waits[place]
+        codes = doc[later][at] * (2 * len(asked)) + 2 * number[before[place[at]]] + ~seen[place[at]]
+        waiting, times = np.unique(codes, return_counts=True)
+        facts = np.stack([chunk.lengths.astype(float), known, base, score], axis=1)
+        rows = [(0, row["chunk"], -1, chunk.ids, chunk.held_out.tolist(), facts.tobytes(), _planes(waiting.astype(np.uint64)), _by_byte(times.astype(np.int32)))]
+        words_asked = chunk.words[asked]
+        bounds = _bounds(words_asked, parts)
         for part, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
             if a < b:
-                sums = np.stack([kept[a:b], lower[a:b], word_count[a:b].astype(float)], axis=1)
-                rows.append((1, row["chunk"], part, [], [], _planes(chunk.words[a:b]), sums.tobytes(), b""))
+                sums = np.stack([x[asked[a:b]] for x in (kept, lower, word_count.astype(float))])
+                rows.append((1, row["chunk"], part, [], [], _planes(words_asked[a:b]), sums.tobytes(), b""))
         return pd.DataFrame(rows, columns=["kind", "chunk", "part", "ids", "held_out", "a", "b", "c"])
 
     answers = answers.select("level", "part", "chunk", "counts", "owned")
@@ -322,7 +341,7 @@ def backoff_weights(kept: np.ndarray, lower: np.ndarray, count: np.ndarray) -> t
 def _context_tables(pending: DataFrame) -> DataFrame:
     def answer(group: pd.DataFrame) -> pd.DataFrame:
         keys = [_from_planes(raw) for raw in group["a"]]
-        sums = np.concatenate([np.frombuffer(raw, dtype=float).reshape(-1, 3) for raw in group["b"]])
+        sums = np.concatenate([np.frombuffer(raw, dtype=float).reshape(3, -1).T for raw in group["b"]])
         distinct, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         kept, lower = (np.bincount(inverse, sums[:, i], len(distinct)) for i in (0, 1))
         weight, scale = backoff_weights(kept, lower, sums[first, 2])
@@ -350,7 +369,6 @@ def score_texts(
     parts = max(16, int(tokens // PARTITION_ENTRIES) + 1)
     answers = _count_tables(chunks, parts)
     levels = _levels(answers)
-    small = [0] * LARGEST_DISCOUNTED
     row = answers.filter("level = 1 AND size(facts) > 0").agg(
         *[F.sum(F.element_at("facts", i + 3)).alias(f"n{i}") for i in range(LARGEST_DISCOUNTED)]
     ).first()
@@ -362,8 +380,9 @@ def score_texts(
     def finish(key, first: pd.DataFrame, logs: pd.DataFrame) -> pd.DataFrame:
         row = first.iloc[0]
         facts = np.frombuffer(row["a"], dtype=float).reshape(-1, 4)
-        waiting, times = np.frombuffer(row["b"], dtype=np.int64), np.frombuffer(row["c"], dtype=np.int32)
-        table = np.concatenate([np.frombuffer(raw, dtype=float) for raw in logs.sort_values("part")["logs"]])
+        waiting, times = _from_planes(row["b"]).astype(np.int64), _from_bytes(row["c"], "<i4")
+        parts = [np.frombuffer(raw, dtype=float) for raw in logs.sort_values("part")["logs"]]
+        table = np.concatenate(parts or [np.zeros(1)])
         score = facts[:, 3] + np.bincount(waiting // len(table), times * table[waiting % len(table)], len(facts))
         return pd.DataFrame({
             "doc_id": pd.array([None if i is None or pd.isna(i) else int(i) for i in row["ids"]], dtype="Int64"),
