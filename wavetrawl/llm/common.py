@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from wavetrawl.operators.ordering import materialise
 
-__all__ = ["ID", "TEXT", "fold", "id_and_text", "materialise", "read_table", "text_key"]
+__all__ = ["ID", "TEXT", "compact", "fold", "id_and_text", "materialise", "read_table", "text_key"]
+
+# Rows of a small table that one task may write.
+ROWS_PER_TASK = 200_000
 
 ID, TEXT = "__id", "__text"
 
@@ -26,6 +29,12 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(quoted(id_col).alias(ID), F.coalesce(quoted(text_col), F.lit("")).alias(TEXT))
 
 
+def compact(rows: DataFrame, at_most: int) -> DataFrame:
+    """Fewer tasks for a table known to have ``at_most`` so many rows; it never has more rows per task than
+    ``ROWS_PER_TASK`` by that, nor more tasks than before."""
+    return rows.coalesce(at_most // ROWS_PER_TASK + 1)
+
+
 def fold(id_column: Column, folds: int) -> Column:
     """The id's fold: crc32 of its decimal digits, modulo ``folds`` (a null id: of the empty text)."""
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % F.lit(folds)

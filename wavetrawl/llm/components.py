@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavetrawl.llm.common import materialise
+from wavetrawl.llm.common import compact, materialise
 
 MAX_ROUNDS = 64
 
@@ -30,20 +30,21 @@ def connected_components(links: DataFrame, left: str, right: str) -> DataFrame:
     now = materialise(ends.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "links")
     before = _mark(now)
     for _ in range(MAX_ROUNDS):
-        if not before[0]:
+        size = before[0]
+        if not size:
             break
         both = now.select("v", "u").union(now.select("u", "v"))
-        low = materialise(both.groupBy("v").agg(F.least("v", F.min("u")).alias("low")), "low")
-        large = materialise(
-            both.join(low, "v").filter("u > v").select(F.col("u").alias("v"), F.col("low").alias("u")).distinct(),
-            "large",
-        )
-        root = materialise(large.groupBy("v").agg(F.min("u").alias("low")), "root")
+        low = compact(both.groupBy("v").agg(F.least("v", F.min("u")).alias("low")), 2 * size)
+        low = materialise(low, "low")
+        large = both.join(low, "v").filter("u > v").select(F.col("u").alias("v"), F.col("low").alias("u"))
+        large = materialise(compact(large, size), "large")
+        root = materialise(compact(large.groupBy("v").agg(F.min("u").alias("low")), size), "root")
         rest = large.join(root, "v").filter("u <> low").select(F.col("u").alias("v"), F.col("low").alias("u"))
-        now = materialise(rest.union(root.select("v", F.col("low").alias("u"))).distinct(), "links")
+        now = compact(rest.union(root.select("v", F.col("low").alias("u"))).distinct(), 2 * size)
+        now = materialise(now, "links")
         after = _mark(now)
         if after == before:
-            return now.select(F.col("v").alias("node"), F.col("u").alias("root"))
+            break
         before = after
     else:
         raise RuntimeError("components did not settle")
