@@ -28,7 +28,7 @@ def base_language(tag: Column) -> Column:
 
 def has_lang_attribute(html: Column, language: str) -> Column:
     """Whether the ``html`` tag's language attribute starts with ``language``."""
-    return html.rlike(rf"""(?i)<html[^>]*lang=["']?{re.escape(language)}["']?""")
+    return html.rlike(rf"""(?i)<html[^>]*lang=["']?{re.escape(language)}""")
 
 
 _KANA = "ぁ-ゖァ-ヺ"

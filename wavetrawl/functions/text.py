@@ -67,16 +67,17 @@ def decode_references_sql(text: str, loose: bool = False) -> str:
     ``loose`` also accepts references without a closing semicolon, as is right in text but not in URLs.
     """
     pieces = f"regexp_extract_all({text}, '&#?[0-9a-zA-Z]+;?|[^&]+|&', 0)"
-    hexadecimal = let("bigint(conv(regexp_extract(piece, '([0-9a-fA-F]+);?$', 1), 16, 10))", _code_point_text("$it"))
-    decimal = let("bigint(regexp_extract(piece, '([0-9]+);?$', 1))", _code_point_text("$it"))
+    hexadecimal = let("bigint(conv(regexp_extract(piece, '([0-9a-fA-F]{1,6});?$', 1), 16, 10))", _code_point_text("$it"))
+    decimal = let("bigint(regexp_extract(piece, '([0-9]{1,7});?$', 1))", _code_point_text("$it"))
     separators = f"{literal(chr(0x1E))}, {literal(chr(0x1F))}"
     key = "concat(trim(TRAILING ';' FROM piece), ';')"
     named = f"try_element_at(str_to_map({literal(_NAMED)}, {separators}), {key})"
     untouched = "NOT startswith(piece, '&')" + ("" if loose else " OR NOT endswith(piece, ';')")
     return f"""CASE WHEN contains({text}, '&') THEN array_join(transform({pieces}, piece -> CASE
         WHEN {untouched} THEN piece
-        WHEN piece RLIKE '^&#[xX][0-9a-fA-F]{{1,6}};?$' THEN {hexadecimal}
-        WHEN piece RLIKE '^&#[0-9]{{1,7}};?$' THEN {decimal}
+        WHEN piece RLIKE '^&#[xX]0*[0-9a-fA-F]{{1,6}};?$' THEN {hexadecimal}
+        WHEN piece RLIKE '^&#0*[0-9]{{1,7}};?$' THEN {decimal}
+        WHEN piece RLIKE '^&#([xX][0-9a-fA-F]+|[0-9]+);?$' THEN '�'
         ELSE coalesce({named}, piece) END), '') ELSE {text} END"""
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import re
 from collections.abc import Iterator
 
@@ -19,7 +20,13 @@ FALLBACK_CHARSETS = ("iso2022_jp", "shift_jis", "euc_jp", "cp1252")
 
 _KANA = re.compile("[ぁ-ゖァ-ヺ]")
 _DECLARED = re.compile(rb"""(?i)(?:charset|encoding)\s*=\s*["']?\s*([a-z0-9_.:-]+)""")
-_DECLARATION_SPAN = 2048
+# The charsets that web pages declare, by Python's names. Codecs that are no text charsets, and
+# those that cannot be declared in ASCII mark-up, are not among them.
+_WEB_CHARSETS = {
+    "ascii", "utf-8", "shift_jis", "cp932", "euc_jp", "iso2022_jp", "gb2312", "gbk", "gb18030", "big5", "big5hkscs",
+    "euc_kr", "cp949", "koi8-r", "koi8-u", "mac-roman", "mac-cyrillic", "cp866", "tis-620", "cp874",
+    *(f"iso8859-{part}" for part in range(1, 17)), *(f"cp125{page}" for page in range(9)),
+}
 
 
 def html_responses(records: DataFrame) -> DataFrame:
@@ -37,16 +44,18 @@ def _decode_other(raw: bytes | None) -> str | None:
     """
     if raw is None:
         return None
-    declared = _DECLARED.search(raw[:_DECLARATION_SPAN])
+    declared = _DECLARED.search(raw)
     if declared:
         try:
-            return raw.decode(declared.group(1).decode("ascii"))
-        except (LookupError, UnicodeDecodeError):
+            charset = codecs.lookup(declared.group(1).decode("ascii")).name
+            if charset in _WEB_CHARSETS:
+                return raw.decode(charset)
+        except (LookupError, ValueError):
             pass
     for charset in FALLBACK_CHARSETS:
         try:
             text = raw.decode(charset)
-        except UnicodeDecodeError:
+        except ValueError:
             continue
         if charset == "cp1252" or _KANA.search(text):
             return text

@@ -73,12 +73,22 @@ def path_list_urls(selected: DataFrame, prefix: str = DATA_PREFIX) -> DataFrame:
 def read_path_lists(spark: SparkSession, paths: str | list[str], prefix: str = DATA_PREFIX) -> DataFrame:
     """Archive path lists (plain or gzip, one path a line) as ``snapshot_id, url``.
 
-    Blank lines are dropped, paths are joined to the prefix. The snapshot is the last ``YYYY-WW`` in the
-    name of the file or its folders.
+    Blank lines are dropped, paths are joined to the prefix. The snapshot is named by a folder
+    ``snapshot_id=YYYY-WW``, else by ``CC-MAIN-YYYY-WW`` in the path, else by a file ``YYYY-WW.txt``, plain or gzip.
+    Other parts of a file's name, which writers make up, are not looked at; a file that names none is an error.
     """
+    named = [
+        F.nullif(F.regexp_extract("file", pattern, 1), F.lit(""))
+        for pattern in (
+            r"/snapshot_id=([0-9]{4}-[0-9]{2})/",
+            r"CC-MAIN-([0-9]{4}-[0-9]{2})(?![0-9])",
+            r"/([0-9]{4}-[0-9]{2})[.]txt(?:[.]gz)?$",
+        )
+    ]
+    unnamed = F.raise_error(F.concat(F.lit("no snapshot in the path of "), F.col("file")))
     lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
     return lines.filter(F.col("value") != "").select(
-        F.regexp_extract("file", r"^.*(?<![0-9])([0-9]{4}-[0-9]{2})(?![0-9])", 1).alias("snapshot_id"),
+        F.coalesce(*named, unnamed.cast("string")).alias("snapshot_id"),
         join_url(f"'{prefix}'", "value").alias("url"),
     )
 
