@@ -25,7 +25,7 @@ from wavetrawl.llm.common import quoted
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 # Documents whose new words are merged together.
-BATCH = 8_192
+BATCH = 4_096
 
 _END = -1
 _NO_RANK = np.iinfo(np.int32).max

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable
 import numpy as np
 
 # Chunks remembered between batches; beyond it those that the latest batch did not hold are forgotten.
-MAX_REMEMBERED = 1_000_000
+MAX_REMEMBERED = 400_000
 
 _DOUBTFUL = re.compile(r" (?=\s|\Z)")
 

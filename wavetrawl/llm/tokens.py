@@ -35,7 +35,7 @@ SHARD_BYTES = 4 << 20
 SHARD_DOCS = 20_000
 
 # Documents encoded together.
-BATCH = 8_192
+BATCH = 4_096
 
 _JOINED = 1 << 16
 
