@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -77,7 +78,7 @@ class PairIndexBpe:
         self._encoder = ChunkEncoder(self._encode_chunks, self.special)
         self._digits = [str(i) for i in range(size)]
 
-    def encode(self, texts) -> list[np.ndarray]:
+    def encode(self, texts) -> Iterator[np.ndarray]:
         return self._encoder.encode(texts)
 
     def decode(self, ids) -> str:
@@ -189,7 +190,7 @@ def encode(text: Column, path: str) -> Column:
 
     @F.pandas_udf("array<int>")
     def ids(texts: pd.Series) -> pd.Series:
-        return pd.Series([x.astype(np.int32) for x in _bpe(path).encode(texts.fillna(""))], dtype=object)
+        return pd.Series([x.astype(np.int32) for x in _bpe(path).encode(texts.fillna("").tolist())], dtype=object)
 
     return ids(text)
 
@@ -214,7 +215,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     def both(texts: pd.Series) -> pd.DataFrame:
         bpe, rows = _bpe(path), []
         for at in range(0, len(texts), BATCH):
-            for array in bpe.encode(texts.iloc[at : at + BATCH].fillna("")):
+            for array in bpe.encode(texts.iloc[at : at + BATCH].fillna("").tolist()):
                 ids = array.tolist()
                 decoded = bpe.decode(ids).encode("utf-8")
                 digits = bpe.digits(ids).encode()

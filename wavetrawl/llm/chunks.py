@@ -8,12 +8,16 @@ ids be put together again. Texts with a space before white space, or that hold a
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterator, Sequence
+from itertools import filterfalse
 
 import numpy as np
 
-# Chunks remembered between batches; beyond it those that the latest batch did not hold are forgotten.
-MAX_REMEMBERED = 400_000
+# Chunks remembered between batches, half of them in the newer of two tables. When that one is full it becomes the
+# older one, whose chunks are forgotten unless they occur again.
+MAX_REMEMBERED = 800_000
+# Longer chunks are not remembered.
+_LONG = 256
 
 _DOUBTFUL = re.compile(r" (?=\s|\Z)")
 
@@ -23,33 +27,38 @@ ID_TYPE = np.dtype("<u4")
 class ChunkEncoder:
     """Encodes batches of texts. ``encode_new`` gives the ids, as bytes of ``ID_TYPE``, of chunks not seen lately."""
 
-    def __init__(self, encode_new: Callable[[list[str]], list[bytes]], special: Iterable[str]):
+    def __init__(self, encode_new: Callable[[list[str]], list[bytes]], special: Sequence[str]):
         self._encode_new = encode_new
         self._special = tuple(special)
         self._known: dict[str, bytes] = {}  # by the chunk without its leading space
+        self._older: dict[str, bytes] = {}
 
-    def _whole(self, text: str) -> bool:
-        return bool(_DOUBTFUL.search(text)) or any(mark in text for mark in self._special)
+    def _cut(self, text: str) -> list[str]:
+        whole = _DOUBTFUL.search(text) or any(mark in text for mark in self._special)
+        return [text] if whole else text.split(" ")
 
-    def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
-        known, starts, rests, seen = self._known, [], [], set()
+    def encode(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
+        """The ids of each text. Texts are cut twice, as their chunks would take many times their room."""
+        known, older = self._known, self._older
+        missing: set[str] = set()
+        first: dict[str, bytes] = {}
         for text in texts:
-            start, *rest = [text] if self._whole(text) else text.split(" ")
-            starts.append(start)
-            rests.append(rest)
-            seen.update(rest)
-        new = list(seen.difference(known))
-        first = list(dict.fromkeys(starts))
+            start, *rest = self._cut(text)
+            first[start] = b""
+            missing.update(filterfalse(known.__contains__, rest))
+        again = missing.intersection(older)
+        known.update((chunk, older[chunk]) for chunk in again)
+        new = list(missing.difference(again))
         ids = self._encode_new([*map(" ".__add__, new), *first])
         known.update(zip(new, ids))
-        at_start = dict(zip(first, ids[len(new) :]))
-        joined = [
-            at_start[start] + b"".join(map(known.__getitem__, rest)) for start, rest in zip(starts, rests)
-        ]
-        if len(known) > MAX_REMEMBERED:
-            kept = list(seen)[:MAX_REMEMBERED]
-            self._known = {chunk: known[chunk] for chunk in kept if len(chunk) < 256}
-        return [np.frombuffer(x, dtype=ID_TYPE) for x in joined]
+        first = dict(zip(first, ids[len(new) :]))
+        del ids, missing, new
+        for text in texts:
+            start, *rest = self._cut(text)
+            yield np.frombuffer(first[start] + b"".join(map(known.__getitem__, rest)), dtype=ID_TYPE)
+        if len(known) > MAX_REMEMBERED // 2:
+            self._older = {chunk: part for chunk, part in known.items() if len(chunk) < _LONG}
+            self._known = {}
 
 
 def slices(ids: np.ndarray, counts: np.ndarray) -> list[bytes]:

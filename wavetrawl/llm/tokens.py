@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import accumulate
@@ -35,7 +36,7 @@ SHARD_BYTES = 4 << 20
 SHARD_DOCS = 20_000
 
 # Documents encoded together.
-BATCH = 4_096
+BATCH = 1_024
 
 _JOINED = 1 << 16
 
@@ -61,7 +62,7 @@ class LibraryEncoder:
             self._bytes[i] = len(token)
         self._chunks = ChunkEncoder(self._encode_chunks, self._special)
 
-    def encode(self, texts) -> list[np.ndarray]:
+    def encode(self, texts) -> Iterator[np.ndarray]:
         return self._chunks.encode(texts)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
@@ -97,7 +98,7 @@ def _serialized(path: str, texts: pd.Series, end_id: int):
     """Each text's ids and the end id."""
     end = np.array([end_id], dtype=ID_TYPE)
     for at in range(0, len(texts), BATCH):
-        for ids in _encoder(path).encode(texts.iloc[at : at + BATCH]):
+        for ids in _encoder(path).encode(texts.iloc[at : at + BATCH].tolist()):
             yield np.concatenate([ids, end])
 
 
@@ -166,9 +167,11 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0) -
     def compress(batches):
         compressor = dictionary.compressor()
         for batch in batches:
-            arrays = list(_serialized(vocabulary, batch[TEXT], end_id))
-            frames = [compressor.compress(array.tobytes()) for array in arrays]
-            yield pd.DataFrame({"id": batch[ID].astype("Int64"), "n_tokens": [len(x) for x in arrays], "frame": frames})
+            counts, frames = [], []
+            for array in _serialized(vocabulary, batch[TEXT], end_id):
+                counts.append(len(array))
+                frames.append(compressor.compress(array.tobytes()))
+            yield pd.DataFrame({"id": batch[ID].astype("Int64"), "n_tokens": counts, "frame": frames})
 
     docs.mapInPandas(compress, "id bigint, n_tokens bigint, frame binary").write.parquet(f"{path}/frames")
     frames = spark.read.parquet(f"{path}/frames")
