@@ -44,6 +44,23 @@ def test_an_archive_without_links_counts_as_done(spark, tmp_path):
     assert jobs.mine_feeds(spark, archives, str(tmp_path / "out")).count() == 0
 
 
+def test_a_damaged_archive_is_noted_and_stays_pending(spark, small, tmp_path):
+    urls = [row.url for row in _archives(spark, small).collect()]
+    whole = urls[0].removeprefix("file:")
+    with open(whole, "rb") as file:
+        content = file.read()
+    cut = tmp_path / "cut.warc.gz"
+    cut.write_bytes(content[: len(content) // 2])
+    out = str(tmp_path / "out")
+    archives = spark.createDataFrame([(str(cut),), *((url,) for url in urls[1:])], "url string")
+    assert jobs.mine_feeds(spark, archives, out, group=1).count() == len(urls) - 1
+    assert [row.archive for row in spark.read.json(f"{out}/errors").collect()] == ["cut.warc.gz"]
+    assert [row.archive for row in jobs.pending_paths(spark, archives, out).collect()] == ["cut.warc.gz"]
+    cut.write_bytes(content)
+    assert [row.archive for row in jobs.mine_feeds(spark, archives, out).collect()] == ["cut.warc.gz"]
+    assert jobs.pending_paths(spark, archives, out).count() == 0
+
+
 def test_download_plan(spark):
     rows = [(1, "http://a/1", "ja", None), (2, "http://a/1", "ja", "t"), (3, "http://a/0", "ja_JP", "t"), (4, "http://b/1", "en", "t"), (5, "", "ja", "t"), (6, None, "ja", "t")]
     links = spark.createDataFrame(rows, "link_pos int, audio_url string, language string, title string")

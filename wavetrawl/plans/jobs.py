@@ -1,4 +1,8 @@
-"""Runs over lists of archives: what is pending is read, mined and written, one output per archive."""
+"""Runs over lists of archives: what is pending is read, mined and written, one output per archive.
+
+A run works through groups of archives and notes each group when its links are written, so one that is ended
+loses at most the group it was in. Damaged archives are noted under ``errors`` and not under ``done``.
+"""
 
 from __future__ import annotations
 
@@ -6,13 +10,16 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wavetrawl.operators.ordering import first_in_order
 from wavetrawl.plans import routes
 from wavetrawl.sources import snapshots
-from wavetrawl.sources.archives import read_archives
+from wavetrawl.sources.archives import BROKEN, read_archives
+
+# Archives that are read and noted together.
+GROUP = 1_000
 
 _KEEP = ("archive", "pos")
 
@@ -39,37 +46,55 @@ def _run(
     mine: Callable[[DataFrame], DataFrame],
     max_files: int | None,
     overwrite: bool,
+    group: int,
 ) -> DataFrame:
     """Mine the pending archives into ``out/links`` and note them in ``out/done``.
 
     Links are written to one folder per archive, which a run replaces as a whole. The note comes last, so
-    a run that fails in between is simply repeated. Only file names reach the driver: the file list of a
-    scan lives there in any case.
+    a run that fails in between is simply repeated. A damaged archive gives the links before the damage and a
+    row in ``out/errors``; it stays pending. Only file names reach the driver: the file list of a scan lives
+    there in any case.
     """
     todo = pending_paths(spark, archives, out, max_files, overwrite).select("archive", "url").collect()
-    if todo:
-        links = mine(read_archives(spark, [row.url for row in todo], rec_type="response"))
-        (
-            links.withColumn("archive", F.element_at(F.split("archive", "/"), -1))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("archive")
-            .json(f"{out}/links")
-        )
-    mined = spark.createDataFrame([(row.archive,) for row in todo], "archive string")
-    if todo:
-        mined.write.mode("append").json(f"{out}/done")
-    return mined
+    mined = []
+    for at in range(0, len(todo), group):
+        some = todo[at : at + group]
+        damaged = _mine_group(spark, [row.url for row in some], out, mine)
+        sound = [(row.archive,) for row in some if row.url not in damaged]
+        lost = [(row.archive, row.url) for row in some if row.url in damaged]
+        if lost:
+            spark.createDataFrame(lost, "archive string, url string").write.mode("append").json(f"{out}/errors")
+        if sound:
+            spark.createDataFrame(sound, "archive string").write.mode("append").json(f"{out}/done")
+        mined += sound
+    return spark.createDataFrame(mined, "archive string")
+
+
+def _mine_group(spark: SparkSession, urls: list[str], out: str, mine: Callable[[DataFrame], DataFrame]) -> set[str]:
+    """Write the links of some archives, and give those that are damaged: seen by the same scan."""
+    seen = Observation()
+    broken = F.when(F.col("rec_type") == BROKEN, F.col("archive"))
+    crawl = read_archives(spark, urls, rec_type="response", damage=True)
+    links = mine(crawl.observe(seen, F.collect_set(broken).alias("damaged")))
+    (
+        links.withColumn("archive", F.element_at(F.split("archive", "/"), -1))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("archive")
+        .json(f"{out}/links")
+    )
+    return set(seen.get["damaged"])
 
 
 def mine_feeds(
-    spark: SparkSession, archives: DataFrame, out: str, max_files: int | None = None, overwrite: bool = False
-) -> DataFrame:
+    spark: SparkSession, archives: DataFrame, out: str, max_files: int | None = None, overwrite: bool = False,
+    group: int = GROUP,
+) -> DataFrame:
     """Feed links of the pending archives, with ``archive`` and ``pos`` for a global order.
 
-    Returns the archives that were mined.
+    Returns the archives that were mined whole. ``group`` archives are read and noted together.
     """
-    return _run(spark, archives, out, lambda r: routes.feed_links_of_records(r, _KEEP), max_files, overwrite)
+    return _run(spark, archives, out, lambda r: routes.feed_links_of_records(r, _KEEP), max_files, overwrite, group)
 
 
 def mine_pages(
@@ -80,10 +105,11 @@ def mine_pages(
     language: str = "ja",
     max_files: int | None = None,
     overwrite: bool = False,
+    group: int = GROUP,
 ) -> DataFrame:
     """Page links of the pending archives; otherwise as :func:`mine_feeds`."""
 
     def mine(crawl: DataFrame) -> DataFrame:
         return routes.page_links_of_records(crawl, model, language, _KEEP)
 
-    return _run(spark, archives, out, mine, max_files, overwrite)
+    return _run(spark, archives, out, mine, max_files, overwrite, group)

@@ -66,11 +66,13 @@ def _body(headers: dict[str, str], body: bytes) -> bytes:
     return body
 
 
-def read_records(stream: BinaryIO, archive: str, rec_type: str | None = None) -> Iterator[tuple]:
+def read_records(
+    stream: BinaryIO, archive: str, rec_type: str | None = None, damage: bool = False
+) -> Iterator[tuple]:
     """The records of one uncompressed archive stream; those of unwanted types are passed over.
 
     A stream that is cut or damaged yields the records before the damage and then one of type ``broken``,
-    so that the loss can be seen. Input/output errors are not damage: they fail the task, which Spark
+    so that the loss can be seen; with a ``rec_type`` that row comes only if ``damage`` is set. Input/output errors are not damage: they fail the task, which Spark
     then runs again.
     """
     pos = -1
@@ -99,7 +101,7 @@ def read_records(stream: BinaryIO, archive: str, rec_type: str | None = None) ->
                 payload = _body(http, payload)
             yield archive, pos, kind, fields.get("warc-target-uri"), http.get("content-type"), payload
     except (EOFError, ValueError, gzip.BadGzipFile, zlib.error):
-        if rec_type in (None, BROKEN):
+        if damage or rec_type in (None, BROKEN):
             yield archive, pos, BROKEN, None, None, b""
 
 
@@ -110,9 +112,10 @@ class _ArchiveFile(InputPartition):
 
 
 class _ArchiveReader(DataSourceReader):
-    def __init__(self, paths: list[str], rec_type: str | None):
+    def __init__(self, paths: list[str], rec_type: str | None, damage: bool):
         self.paths = paths
         self.rec_type = rec_type
+        self.damage = damage
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for condition in filters:
@@ -143,7 +146,7 @@ class _ArchiveReader(DataSourceReader):
         rows, size = [], 0
         with files.open_input_stream(inner, compression=None) as raw:
             stream = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else io.BufferedReader(raw)
-            for row in read_records(stream, path, self.rec_type):
+            for row in read_records(stream, path, self.rec_type, self.damage):
                 rows.append(row)
                 size += len(row[-1])
                 if size >= _BATCH_BYTES or len(rows) >= _BATCH_ROWS:
@@ -154,7 +157,7 @@ class _ArchiveReader(DataSourceReader):
 
 
 class CrawlArchives(DataSource):
-    """``spark.read.format("crawl_archive")`` with options ``paths`` (one a line) and ``rec_type``."""
+    """``spark.read.format("crawl_archive")`` with options ``paths`` (one a line), ``rec_type`` and ``damage``."""
 
     @classmethod
     def name(cls) -> str:
@@ -165,16 +168,21 @@ class CrawlArchives(DataSource):
 
     def reader(self, schema) -> DataSourceReader:
         paths = [p for p in self.options.get("paths", self.options.get("path", "")).splitlines() if p]
-        return _ArchiveReader(paths, self.options.get("rec_type"))
+        return _ArchiveReader(paths, self.options.get("rec_type"), self.options.get("damage") == "true")
 
 
-def read_archives(spark: SparkSession, paths: list[str], rec_type: str | None = None) -> DataFrame:
-    """Archive files as crawl records; ``rec_type`` keeps one type. A filter on it is pushed down as well."""
+def read_archives(
+    spark: SparkSession, paths: list[str], rec_type: str | None = None, damage: bool = False
+) -> DataFrame:
+    """Archive files as crawl records; ``rec_type`` keeps one type. A filter on it is pushed down as well.
+
+    ``damage`` adds the ``broken`` row of each damaged archive to the records of that type.
+    """
     # Workers need not have this package installed for the reader that runs there.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(CrawlArchives)
     reader = spark.read.format(FORMAT).option("paths", "\n".join(paths))
     if rec_type is not None:
-        reader = reader.option("rec_type", rec_type)
+        reader = reader.option("rec_type", rec_type).option("damage", "true" if damage else "false")
     return reader.load()
