@@ -18,6 +18,12 @@ def test_snapshot_comes_from_its_folder_not_from_file_names(spark, tmp_path):
     assert sorted(row["snapshot_id"] for row in rows) == ["2019-18", "2020-05"]
 
 
+def test_paths_are_joined_to_object_store_prefixes(spark, tmp_path):
+    (tmp_path / "2020-05.txt").write_text("crawl-data/b.gz\ns3a://other/c.gz\n")
+    rows = read_path_lists(spark, str(tmp_path), "s3a://bucket/").collect()
+    assert sorted(row["url"] for row in rows) == ["s3a://bucket/crawl-data/b.gz", "s3a://other/c.gz"]
+
+
 def test_odd_declared_charsets_do_not_end_the_job(spark):
     late = b"<html>" + b" " * 3000 + b'<meta charset="koi8-r">' + "привет".encode("koi8-r")
     rows = [

@@ -81,21 +81,23 @@ def rank_within(rows: DataFrame, group: str, order: list[str], out: str = "rank"
     )
 
 
+def _with_host(links: DataFrame) -> DataFrame:
+    return links.withColumn("host", F.lower(url_host(F.col("audio_url")))).filter("host <> ''")
+
+
 def fetch_plan(links: DataFrame, delay: float = 1.0, tie: str = "link_pos") -> DataFrame:
     """Earliest start second of each download if a host serves one request per ``delay`` seconds.
 
     Adds ``host, slot, start_second``; the largest start of a host plus one delay bounds its finish.
     """
-    hosted = links.withColumn("host", F.lower(url_host(F.col("audio_url")))).filter("host <> ''")
-    ranked = rank_within(hosted, "host", ["audio_url", tie], "slot")
+    ranked = rank_within(_with_host(links), "host", ["audio_url", tie], "slot")
     return ranked.withColumn("start_second", (F.col("slot") - 1) * F.lit(float(delay)))
 
 
-def host_bounds(plan: DataFrame, delay: float = 1.0) -> DataFrame:
-    """Requests and finish bound per host of a fetch plan."""
-    return plan.groupBy("host").agg(
-        F.count("*").alias("requests"), (F.max("start_second") + F.lit(float(delay))).alias("finish_second")
-    )
+def host_bounds(links: DataFrame, delay: float = 1.0) -> DataFrame:
+    """Requests and finish bound per host: a count, as the bound does not depend on the order of the requests."""
+    counts = _with_host(links).groupBy("host").agg(F.count("*").alias("requests"))
+    return counts.withColumn("finish_second", F.col("requests") * F.lit(float(delay)))
 
 
 def first_in_order(rows: DataFrame, order: list[str], n: int | None) -> DataFrame:

@@ -467,7 +467,7 @@ def fetch_plan(spark, sf_dir):
 @query
 def fetch_bounds(spark, sf_dir):
     links = _links(spark, sf_dir).filter(is_truthy(F.col("audio_url")))
-    return ordering.host_bounds(ordering.fetch_plan(links.select("audio_url", "link_pos")))
+    return ordering.host_bounds(links.select("audio_url"))
 
 
 # Audio as tables

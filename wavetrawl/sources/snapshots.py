@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavetrawl import schemas
@@ -70,6 +70,12 @@ def path_list_urls(selected: DataFrame, prefix: str = DATA_PREFIX) -> DataFrame:
     return selected.select("snapshot_id").distinct().withColumn("url", url)
 
 
+def _below(prefix: str, path: Column) -> Column:
+    """A path under a prefix of any scheme, object stores included; what names its own scheme stays as it is."""
+    relative = F.concat(F.lit(prefix.rstrip("/") + "/"), F.ltrim(path, F.lit("/")))
+    return F.when(path.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:/"), path).otherwise(relative)
+
+
 def read_path_lists(spark: SparkSession, paths: str | list[str], prefix: str = DATA_PREFIX) -> DataFrame:
     """Archive path lists (plain or gzip, one path a line) as ``snapshot_id, url``.
 
@@ -89,7 +95,7 @@ def read_path_lists(spark: SparkSession, paths: str | list[str], prefix: str = D
     lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
     return lines.filter(F.col("value") != "").select(
         F.coalesce(*named, unnamed.cast("string")).alias("snapshot_id"),
-        join_url(f"'{prefix}'", "value").alias("url"),
+        _below(prefix, F.col("value")).alias("url"),
     )
 
 
@@ -98,7 +104,7 @@ def split_path_lists(lists: DataFrame, prefix: str = DATA_PREFIX) -> DataFrame:
     return (
         lists.select("snapshot_id", F.explode(F.split("body", "\n")).alias("value"))
         .filter(F.col("value") != "")
-        .select("snapshot_id", join_url(f"'{prefix}'", "value").alias("url"))
+        .select("snapshot_id", _below(prefix, F.col("value")).alias("url"))
     )
 
 
