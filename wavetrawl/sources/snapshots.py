@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wavetrawl import schemas
-from wavetrawl.functions.urls import join_url
 
 # Where the public crawl keeps its data, and the first year with weekly snapshots.
 DATA_PREFIX = "https://data.commoncrawl.org"
@@ -65,7 +64,7 @@ def select_snapshots(snapshots: DataFrame, start: str, end: str) -> DataFrame:
 def path_list_urls(selected: DataFrame, prefix: str = DATA_PREFIX) -> DataFrame:
     """The path-list URL of each selected snapshot, one row per snapshot: ``snapshot_id, url``."""
     url = F.concat(
-        join_url(f"'{prefix}'", "'crawl-data/CC-MAIN'"), F.lit("-"), F.col("snapshot_id"), F.lit("/warc.paths.gz")
+        _below(prefix, F.lit("crawl-data/CC-MAIN")), F.lit("-"), F.col("snapshot_id"), F.lit("/warc.paths.gz")
     )
     return selected.select("snapshot_id").distinct().withColumn("url", url)
 
