@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavetrawl.llm import bpe, decontaminate, fixity, katz, lines, quality, rules, simhash, tokens, toxicity
+from wavetrawl.llm import (
+    bpe,
+    decontaminate,
+    fixity,
+    katz,
+    lines,
+    negatives,
+    personal,
+    quality,
+    resampling,
+    rules,
+    simhash,
+    tokens,
+    toxicity,
+)
 from wavetrawl.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +104,43 @@ SQL["op9_warc_fixity"] = """
         CASE mark WHEN '00' THEN sha256('X' || substr(html, 2)) WHEN '02' THEN sha256(html) END AS right_payload
     FROM marked WHERE mark IN ('00', '01', '02')
 """
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+SQL["op11_hard_negatives"] = """
+    WITH v AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+      FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+        CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    p AS (
+      SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+    SELECT p.anchor_id, positive_id,
+      CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+      other_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+      AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) <= 10
+"""
+
+
+@query
+def op12_importance_resampling(spark, sf_dir):
+    documents, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return resampling.draw(resampling.importance(documents, benchmark)).drop("n_words")
+
+
+@query
+def op13_personal_data(spark, sf_dir):
+    found = personal.find_personal_data(read_table(spark, sf_dir, "documents"))
+    return found.withColumn("base_sha256", F.sha2(F.col("base").cast("binary"), 256)).drop("base")
