@@ -1,7 +1,11 @@
+import random
+import time
+
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
+from wavetrawl.operators import page_links
 from wavetrawl.operators.dedup import first_per_page_url
 from wavetrawl.operators.page_links import extract_audio_links, link_candidates, page_tokens
 
@@ -51,6 +55,16 @@ CASES = {
         "<div><audio>a</div>b<source src=x.mp3>c<a href=y.mp3>",
         [("x.mp3", "b c", ""), ("y.mp3", "c", "")],
     ),
+    "quoted greater-than": (
+        '<p>a<a title="" data-x="1 > 0" href="x.mp3">b</a><img alt=\'<a href="y.mp3">\'>',
+        [("x.mp3", "a b", "")],
+    ),
+    "quoted brackets are kept": ('a<a title="5 > 4 &amp;gt; <3" href=x.mp3>', [("x.mp3", "5 > 4 &gt; <3", "")]),
+    "comment mark in a value": ('a<a title="<!-- t" href=x.mp3>b</a><!-- <a href=y.mp3> -->', [("x.mp3", "<!-- t", "")]),
+    "quote outside a value": ("a<a title=it's href=x.mp3>b don't</a>", [("x.mp3", "it's", "")]),
+    "quote that is not closed": ('a<a href=x.mp3 title="t>b</a> c', [("x.mp3", '"t', "")]),
+    "named references": ("a<a href='x&period;mp3' title='&lbrack;t&rsqb; &copy'>", [("x.mp3", "[t] &copy", "")]),
+    "old names without semicolon": ("&copy &alpha &hearts;<a href=x.mp3>", [("x.mp3", "© &alpha ♥", "")]),
     "similar tag names": ("<abbr href=x.mp3><audiox src=x.mp3><linked href=x.mp3>", []),
 }
 
@@ -116,6 +130,68 @@ def test_long_pages_do_not_overflow(spark):
     assert links(spark, html) == [("http://h.com/p/x.mp3", "y", "L")]
 
 
+def brute_licenses(tags):
+    """For each link in order, the license it inherits: a plain stack."""
+    stack, found = [], []
+    for name, closes, own in tags:
+        if closes:
+            if name in [n for n, _ in stack]:
+                while stack.pop()[0] != name:
+                    pass
+            continue
+        here = own if own is not None else next((x for _, x in reversed(stack) if x is not None), None)
+        if name == "a":
+            found.append(here or "")
+        if name != "img":
+            stack.append((name, own))
+    return found
+
+
+@pytest.mark.parametrize("per_fold, length", [(256, 1024), (3, 4), (5, 40)])
+def test_licenses_like_a_plain_stack(spark, monkeypatch, per_fold, length):
+    monkeypatch.setattr(page_links, "_TAGS_PER_FOLD", per_fold)
+    monkeypatch.setattr(page_links, "_OPEN_LENGTH", length)
+    rng = random.Random(6)
+    pages, want = [], {}
+    for page in range(40):
+        names = ("a", "p", "div", "b", "img") if page % 2 else ("a", "u1", "u2", "u3", "u4", "u5", "div")
+        tags = [
+            (rng.choice(names), rng.random() < (0.5 if page % 3 else 0.25), rng.choice([None, None, None, f"L{i}"]))
+            for i in range(rng.randint(0, 120))
+        ]
+        html = "<p>.mp3" + "".join(
+            f"</{n}>" if closes else f"<{n} href=x{i}.mp3" + (f" license={own}" if own else "") + ">"
+            for i, (n, closes, own) in enumerate(tags)
+        )
+        pages.append((page, URL, html))
+        want[page] = brute_licenses([("p", False, None), *tags])
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rows = link_candidates(df).orderBy("page_id", "first").collect()
+    got = {page: [row.license for row in rows if row.page_id == page] for page in want}
+    assert got == want
+
+
+def test_many_links_take_linear_time(spark):
+    def seconds(n, item, end):
+        html = "<div license=L>" + "".join(item.format(i=i) for i in range(n)) + end * n
+        df = spark.createDataFrame([(1, URL, html)], "page_id long, url string, html string").coalesce(1)
+        start = time.perf_counter()
+        assert extract_audio_links(df).filter("license <> ''").count() == n
+        return time.perf_counter() - start
+
+    for item, end in (("t <a href=x{i}.mp3>y</a>", ""), ("<p license=M>t <a href=x{i}.mp3>y</a>", "</p>")):
+        seconds(500, item, end)
+        short, long = seconds(4_000, item, end), seconds(16_000, item, end)
+        assert long < 4 * 2.3 * max(short, 1), (short, long)
+
+
+def test_a_long_quoted_value_is_read_in_one_go(spark):
+    html = "a<a title='" + "> < " * 250_000 + "' href=x.mp3>b</a>" + '<a title="' * 2000
+    start = time.perf_counter()
+    assert [u for u, *_ in links(spark, html)] == ["http://h.com/p/x.mp3"]
+    assert time.perf_counter() - start < 20
+
+
 def test_no_shuffle_and_no_python(spark, small):
     plan = plan_of(extract_audio_links(spark.read.parquet(f"{small}/pages.parquet")))
     assert "Exchange" not in plan and "Python" not in plan and "ArrowEval" not in plan

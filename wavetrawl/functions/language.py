@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,8 +28,14 @@ def base_language(tag: Column) -> Column:
 
 
 def has_lang_attribute(html: Column, language: str) -> Column:
-    """Whether the ``html`` tag's language attribute starts with ``language``."""
-    return html.rlike(rf"""(?i)<html[^>]*lang=["']?{re.escape(language)}""")
+    """Whether an ``html`` tag names the language: "lang=" with a value that starts with it, quoted or not.
+
+    So ``xml:lang`` counts as well, and "ja" finds "ja-JP". Letter case does not matter, blanks around "=" are not read.
+    """
+    tags = F.regexp_extract_all(html, F.lit("(?i)<html[^>]*"), F.lit(0))
+    values = F.flatten(F.transform(tags, lambda tag: F.slice(F.split(F.lower(tag), "lang="), 2, 1 << 30)))
+    starts = [mark + language.lower() for mark in ("", '"', "'")]
+    return F.exists(values, lambda value: reduce(or_, [value.startswith(start) for start in starts]))
 
 
 _KANA = "ぁ-ゖァ-ヺ"

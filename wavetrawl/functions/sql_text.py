@@ -6,6 +6,7 @@ and reaches the analyzer in one call instead of thousands.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import count
 
 _names = count()
@@ -23,3 +24,12 @@ def let(value: str, body: str) -> str:
     """
     name = f"it{next(_names)}"
     return f"transform(array({value}), {name} -> {body.replace('$it', name)})[0]"
+
+
+def bind(value: str, body: Callable[[str], str]) -> str:
+    """``body`` of a name for ``value``, which is worked out once.
+
+    As :func:`let`, but only the value is copied; ``let`` copies the result with all it holds.
+    """
+    name = f"it{next(_names)}"
+    return f"aggregate(array(0), {value}, ({name}, {name}_) -> {name}, {name} -> {body(name)})"

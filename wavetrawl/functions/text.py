@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,8 +12,24 @@ from wavetrawl.functions.sql_text import let, literal
 # The characters that count as white space when a text is trimmed: all Unicode white space.
 WHITE_SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
-# Named references as "&name;<US>character<RS>...": one literal that Spark folds into a map once.
-_NAMED = "\x1e".join(f"&{name};\x1f{chr(code)}" for name, code in sorted(name2codepoint.items())) + "\x1e&apos;\x1f'"
+# A tag from "<" and its first letter on. A value in quotes may hold ">"; a quote that is not closed, or that does not
+# follow "=", is a character like any other. All repeats are possessive, so a tag of any length is read in one go.
+TAG = r"""</?[a-zA-Z](?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>"""
+
+# A page cut into tokens: script and style whole, comments, tags, declarations, runs of text, a lone "<".
+TOKEN = rf"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|{TAG}|<[!?][^>]*>|[^<]+|<"
+
+# A value in quotes with "<" or ">" in it, or anything that may look like one from the outside.
+_QUOTED_BRACKET = r"""=\s*+(?:"[^"<>]*+[<>]|'[^'<>]*+[<>])"""
+_TAG_START = "^</?[a-zA-Z]"
+_WHOLE_ELEMENT = r"(?is)^<(?:script\b.*</script\s*>|style\b.*</style\s*>)$"
+
+# Named references as "&name;<US>character<RS>...": one literal that Spark folds into a map once. All names of the
+# standard library's table, with and without semicolon as the standard has them. A map is searched from its start, so
+# the names in common use come first.
+_COMMON = ("amp", "nbsp", "quot", "lt", "gt", "apos")
+_ORDERED = sorted(html5, key=lambda n: (n.rstrip(";") not in _COMMON, n.rstrip(";") not in name2codepoint, n))
+_NAMED = "\x1e".join(f"&{name}\x1f{html5[name]}" for name in _ORDERED)
 
 # Numeric references 128 to 159 stand for windows-1252 characters.
 _C1_CHARACTERS = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0))
@@ -64,14 +80,14 @@ def _code_point_text(number: str) -> str:
 def decode_references_sql(text: str, loose: bool = False) -> str:
     """SQL for ``text`` with named and numeric character references replaced by what they stand for.
 
-    ``loose`` also accepts references without a closing semicolon, as is right in text but not in URLs.
+    ``loose`` also accepts references without a closing semicolon, as is right in text but not in URLs: numeric ones,
+    and the old names that may lack it.
     """
     pieces = f"regexp_extract_all({text}, '&#?[0-9a-zA-Z]+;?|[^&]+|&', 0)"
     hexadecimal = let("bigint(conv(regexp_extract(piece, '([0-9a-fA-F]{1,6});?$', 1), 16, 10))", _code_point_text("$it"))
     decimal = let("bigint(regexp_extract(piece, '([0-9]{1,7});?$', 1))", _code_point_text("$it"))
     separators = f"{literal(chr(0x1E))}, {literal(chr(0x1F))}"
-    key = "concat(trim(TRAILING ';' FROM piece), ';')"
-    named = f"try_element_at(str_to_map({literal(_NAMED)}, {separators}), {key})"
+    named = f"try_element_at(str_to_map({literal(_NAMED)}, {separators}), piece)"
     untouched = "NOT startswith(piece, '&')" + ("" if loose else " OR NOT endswith(piece, ';')")
     return f"""CASE WHEN contains({text}, '&') THEN array_join(transform({pieces}, piece -> CASE
         WHEN {untouched} THEN piece
@@ -86,6 +102,18 @@ def decode_references(text: str, loose: bool = False) -> Column:
     return F.expr(decode_references_sql(text, loose))
 
 
+def with_plain_tags_sql(html: str) -> str:
+    """SQL for a page whose tags hold no "<" or ">" but their own: those in attribute values become references.
+
+    Reading the attributes decodes them again, and "<[^>]*>" is a whole tag. Pages without such a value, nearly all,
+    are only searched for one.
+    """
+    inside = "replace(replace(substring(token, 2, length(token) - 2), '<', '&lt;'), '>', '&gt;')"
+    plain = f"""array_join(transform(regexp_extract_all({html}, {literal(TOKEN)}, 0), token ->
+        if(token RLIKE '{_TAG_START}' AND NOT token RLIKE {literal(_WHOLE_ELEMENT)}, concat('<', {inside}, '>'), token)), '')"""
+    return f"if({html} RLIKE {literal(_QUOTED_BRACKET)}, {plain}, {html})"
+
+
 def tag_name_sql(tag: str) -> str:
     return f"lower(regexp_extract({tag}, {literal(_TAG_NAME)}, 1))"
 

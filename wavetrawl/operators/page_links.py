@@ -14,23 +14,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavetrawl.functions.sql_text import let, literal
+from wavetrawl.functions.sql_text import bind, let, literal
 from wavetrawl.functions.text import (
+    TOKEN,
     attribute_sql,
     decode_references_sql,
     or_empty,
     tag_attributes_sql,
     tag_name_sql,
     trim_sql,
+    with_plain_tags_sql,
 )
 from wavetrawl.functions.urls import AUDIO_EXTENSIONS, is_page_audio_url_sql, mentions_audio_sql, resolve_url_sql, split_url_sql
 
-# One token: script and style whole, comments, tags, declarations, runs of text, a lone "<".
-TOKEN = (
-    r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
-    r"|</?[a-z][^>]*>|<[!?][^>]*>|[^<]+|<"
-)
-
 # What carries no text and no links.
 _HIDDEN = r"(?is)<(?:script\b.*?</script\s*>|style\b.*?</style\s*>|!--.*?-->|[!?][^>]*>)"
 
@@ -44,7 +40,7 @@ _LINK_TAG = rf"(?i)<(?:audio|{'|'.join(LINKING_TAGS)})(?=[\s/>])[^>]*>"
 _NESTING_TAG = rf"(?i)</?(?!(?:{'|'.join(t for t in VOID_TAGS if t not in LINKING_TAGS)})[\s/>])([a-z][^\s/>]*)[^>]*>"
 
 _LINE_GAP = r"[\t\r\n]*+"
-_REFERENCE_GAP = r"(?:[\t\r\n]++|&#0*+(?:9|10|13);|&#[xX]0*+[9aAdD];)*+"
+_REFERENCE_GAP = r"(?:[\t\r\n]++|&#0*+(?:9|10|13);|&#[xX]0*+[9aAdD];|&Tab;|&NewLine;)*+"
 
 
 def _extension(written: Callable[[str], str], gap: str) -> str:
@@ -55,10 +51,11 @@ def _extension(written: Callable[[str], str], gap: str) -> str:
 def _character_or_reference(char: str) -> str:
     forms = sorted({char, char.upper()})
     numeric = [f"&#0*+{ord(c)};|&#[xX]0*+(?i:{ord(c):x});" for c in forms]
-    return f"(?:{'|'.join([*map(re.escape, forms), *numeric])})"
+    named = ["&period;"] if char == "." else []
+    return f"(?:{'|'.join([*map(re.escape, forms), *numeric, *named])})"
 
 
-# An extension broken by tabs or line ends, and one with numeric references as well: both vanish when a
+# An extension broken by tabs or line ends, and one with character references as well: both vanish when a
 # reference is read and resolved. The repeats are possessive, so long runs cost no stack.
 _BROKEN_EXTENSION = "(?i)" + _extension(re.escape, _LINE_GAP)
 _DISGUISED_EXTENSION = "(?=[.&])" + _extension(_character_or_reference, _REFERENCE_GAP)
@@ -94,8 +91,9 @@ def page_tokens(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
 
 def _visible_markup(html: str) -> str:
-    """The page with scripts, styles, comments and declarations emptied and stray "<" made text."""
-    emptied = f"regexp_replace(replace({html}, '{_BREAK}', ''), {literal(_HIDDEN)}, '<!>')"
+    """The page with scripts, styles, comments and declarations emptied, and "<" and ">" only where tags are."""
+    plain = with_plain_tags_sql(f"replace({html}, '{_BREAK}', '')")
+    emptied = f"regexp_replace({plain}, {literal(_HIDDEN)}, '<!>')"
     return f"regexp_replace({emptied}, '<(?!/?[a-zA-Z]|!)', '&lt;')"
 
 
@@ -121,57 +119,152 @@ def _surroundings(before: str, after: str) -> str:
     return f"substring({trim_sql(joined)}, 1, {DESCRIPTION_LENGTH})"
 
 
-def _ancestry(markup: str) -> str:
-    """For each linking tag in order: the license it inherits and the outermost audio tag around it.
+# Tags that one inner fold goes over, and the length at which the text of open elements is put aside.
+_TAGS_PER_FOLD = 256
+_OPEN_LENGTH = 1024
 
-    A fold over the tags with the open elements as state. Their names are one text, which is cheap to
-    grow and cut however deep unclosed tags pile up; ``marks`` holds only the few elements that bring a
-    license or are audio, with their place in that text. A closing tag closes everything up to the
-    nearest open tag of its name; without one it is ignored.
-    """
-    linking = ", ".join(f"'{name}'" for name in ("audio", *LINKING_TAGS))
+_MARK = "\x02"
+
+
+def _struct(**fields: str) -> str:
+    return f"named_struct({', '.join(f"'{name}', {value}" for name, value in fields.items())})"
+
+
+def _before_last(text: str, delimiter: str) -> str:
+    """The text before the last occurrence of a delimiter that it holds."""
+    return f"left({text}, length({text}) - length(substring_index({text}, {delimiter}, -1)) - length({delimiter}))"
+
+
+def _last_mark(open_text: str, otherwise: str) -> str:
+    """What the innermost marked element of an open text says."""
+    last = f"substring_index(substring_index(substring_index({open_text}, '{_MARK}', -2), '{_MARK}', 1), '{_BREAK}', -1)"
+    return f"if(contains({open_text}, '{_MARK}'), {last}, {otherwise})"
+
+
+def _names(open_text: str) -> str:
+    return f"array_distinct(regexp_extract_all({open_text}, {literal(f'{_BREAK}([^{_BREAK}{_MARK}]+){_BREAK}')}, 1))"
+
+
+def _delimited(name: str) -> str:
+    return f"concat('{_BREAK}', {name}, '{_BREAK}')"
+
+
+def _tag_step() -> str:
+    """The inner fold's step: the state after one tag."""
     void = ", ".join(f"'{name}'" for name in VOID_TAGS)
-    own_license = attribute_sql(tag_attributes_sql("tag"), "license", "data-license", "data-licence")
-    tags, names = (f"regexp_extract_all({markup}, {literal(_NESTING_TAG)}, {group})" for group in (0, 1))
-    events = f"""zip_with({tags}, {names}, (tag, name) -> named_struct(
-        'name', lower(name),
-        'closes', startswith(tag, '</'),
-        'alone', endswith(tag, '/>'),
-        'license', if(tag RLIKE '(?i)licen' AND NOT startswith(tag, '</'), {own_license}, NULL)))"""
-    start = f"""from_json('{{"open":"","marks":[],"seen":0,"found":[]}}',
-        'open string, marks array<struct<place:int,license:string,audio:int>>, seen int,
-         found array<struct<license:string,audio:int>>')"""
-    mark = """named_struct(
-        'place', length(state.open),
-        'license', coalesce(tag.license, try_element_at(state.marks, -1).license),
-        'audio', coalesce(try_element_at(state.marks, -1).audio, if(tag.name = 'audio', state.seen, NULL)))"""
-    links = f"tag.name IN ({linking})"
+    links = f"tag.name IN ({', '.join(f"'{name}'" for name in ('audio', *LINKING_TAGS))})"
     pushes = f"NOT tag.alone AND tag.name NOT IN ({void})"
-    grown = f"if({pushes}, concat(state.open, '{_BREAK}', tag.name, '{_BREAK}'), state.open)"
-    plain = f"""named_struct('open', {grown}, 'marks', state.marks, 'seen', state.seen, 'found', state.found)"""
-    marked = let(
-        mark,
-        f"""named_struct(
-        'open', {grown},
-        'marks', if({pushes} AND (tag.license IS NOT NULL OR tag.name = 'audio'),
-            concat(state.marks, array($it)), state.marks),
-        'seen', if({links}, state.seen + 1, state.seen),
-        'found', if({links}, concat(state.found, array(named_struct('license', $it.license, 'audio', $it.audio))),
-            state.found))""",
+    brings = f"{pushes} AND (tag.license IS NOT NULL OR tag.name = 'audio')"
+    license_tag = "if(tag.license IS NOT NULL, string(tag.place), substring_index(state.here, ',', 1))"
+    audio_link = "substring_index(state.here, ',', -1)"
+    audio_link = f"if({audio_link} = '' AND tag.name = 'audio', string(state.seen), {audio_link})"
+
+    def after(open_text: str, here: str = "state.here", seen: str = "state.seen", found: str = "state.found") -> str:
+        return _struct(open=open_text, here=here, seen=seen, found=found, used="state.used + 1", stopped="false")
+
+    def marked(says: str) -> str:
+        entry = f"concat({_delimited('tag.name')}, if({brings}, concat({says}, '{_MARK}'), ''))"
+        return after(
+            f"if({pushes}, concat(state.open, {entry}), state.open)",
+            f"if({brings}, {says}, state.here)",
+            f"if({links}, state.seen + 1, state.seen)",
+            f"if({links}, concat(state.found, {says}, ';'), state.found)",
+        )
+
+    plain = after(f"if({pushes}, concat(state.open, {_delimited('tag.name')}), state.open)")
+    opened = f"if(NOT {links} AND tag.license IS NULL, {plain}, {bind(f"concat({license_tag}, ',', {audio_link})", marked)})"
+    closed = bind(
+        _before_last("state.open", _delimited("tag.name")), lambda left: after(left, _last_mark(left, "whole.base"))
     )
-    delimited = f"concat('{_BREAK}', tag.name, '{_BREAK}')"
-    inside = f"substring_index(state.open, {delimited}, -1)"
-    closed = let(
-        f"left(state.open, length(state.open) - length({inside}) - length(tag.name) - 2)",
-        """named_struct(
-        'open', $it,
-        'marks', if(size(state.marks) = 0, state.marks, filter(state.marks, m -> m.place < length($it))),
-        'seen', state.seen, 'found', state.found)""",
+    stopped = _struct(
+        open="state.open", here="state.here", seen="state.seen", found="state.found", used="state.used", stopped="true"
     )
-    step = f"""CASE WHEN NOT tag.closes AND NOT {links} AND tag.license IS NULL THEN {plain}
-        WHEN NOT tag.closes THEN {marked}
-        WHEN contains(state.open, {delimited}) THEN {closed} ELSE state END"""
-    return f"aggregate({events}, {start}, (state, tag) -> {step}, state -> state.found)"
+    return f"""CASE WHEN state.stopped THEN state
+        WHEN NOT tag.closes THEN {opened}
+        WHEN contains(state.open, {_delimited("tag.name")}) THEN {closed}
+        WHEN contains(whole.known, {_delimited("tag.name")}) THEN {stopped}
+        ELSE {after("state.open")} END"""
+
+
+def _piece_step(tags: str) -> str:
+    """The outer fold's step: the state after the next few tags."""
+
+    def after(it: str, read: str = "0", **changed: str) -> str:
+        fields = {"open": f"{it}.open", "here": f"{it}.here"} | {c: f"whole.{c}" for c in ("base", "known", "aside")} | changed
+        found = f"concat(whole.found, array({it}.found))"
+        return _struct(**fields, seen=f"{it}.seen", at=f"whole.at + {it}.used + {read}", found=found)
+
+    def put_aside(it: str) -> str:
+        new = f"filter({_names(f'{it}.open')}, name -> NOT contains(whole.known, {_delimited('name')}))"
+        return after(
+            it,
+            open="''",
+            base=f"{it}.here",
+            known=f"concat(whole.known, array_join(transform({new}, name -> {_delimited('name')}), ''))",
+            aside=f"concat(whole.aside, array({_struct(open=f'{it}.open', base='whole.base')}))",
+        )
+
+    def closed_aside(it: str) -> str:
+        name = _delimited(f"get({tags}, whole.at + {it}.used).name")
+        nearest = f"int(array_position(transform(reverse(whole.aside), text -> contains(text.open, {name})), true))"
+
+        def state(at: str) -> str:
+            source, rest = f"element_at(whole.aside, {at})", f"slice(whole.aside, 1, {at} - 1)"
+            names = f"array_distinct(flatten(transform({rest}, text -> {_names('text.open')})))"
+            known = f"array_join(transform({names}, name -> {_delimited('name')}), '')"
+            return bind(
+                _before_last(f"{source}.open", name),
+                lambda left: after(
+                    it, "1", open=left, here=_last_mark(left, f"{source}.base"), base=f"{source}.base", known=known, aside=rest
+                ),
+            )
+
+        return bind(f"size(whole.aside) + 1 - {nearest}", state)
+
+    def gathered(it: str) -> str:
+        return f"""CASE WHEN {it}.stopped THEN {closed_aside(it)}
+            WHEN length({it}.open) > {_OPEN_LENGTH} THEN {put_aside(it)} ELSE {after(it)} END"""
+
+    start = _struct(open="whole.open", here="whole.here", seen="whole.seen", found="''", used="0", stopped="false")
+    some = f"aggregate(slice({tags}, whole.at + 1, {_TAGS_PER_FOLD}), {start}, (state, tag) -> {_tag_step()})"
+    return bind(some, gathered)
+
+
+def _ancestry(markup: str) -> str:
+    """For each linking tag in order: the license it inherits and the outermost audio tag around it.
+
+    A fold over the tags with the open elements as state. Their names are one text; an element that brings a license or
+    is audio has a mark behind its name: the place of the tag that gives the license, and the number of the audio
+    tag. A closing tag closes everything up to the nearest open tag of its name; without one it is ignored.
+
+    The work is in proportion to the tags. Spark copies a fold's state at each step, so the inner fold, over a few tags,
+    has a small one: the text of the latest open elements. The outer one keeps the results and the texts put ``aside``
+    when they grow long, with the names in them (``known``) and what their last mark says (``base``). A tag that
+    closes something put aside stops the inner fold; it closes all that is looked through. That happens once at most
+    for each text put aside, which bounds the steps.
+    """
+    own_license = attribute_sql(tag_attributes_sql("pair.tag"), "license", "data-license", "data-licence")
+    tags, names = (f"regexp_extract_all({markup}, {literal(_NESTING_TAG)}, {group})" for group in (0, 1))
+    read = f"""named_struct(
+        'place', place,
+        'name', lower(pair.name),
+        'closes', startswith(pair.tag, '</'),
+        'alone', endswith(pair.tag, '/>'),
+        'license', if(pair.tag RLIKE '(?i)licen' AND NOT startswith(pair.tag, '</'), {own_license}, NULL))"""
+    pairs = f"zip_with({tags}, {names}, (tag, name) -> named_struct('tag', tag, 'name', name))"
+    events = f"transform({pairs}, (pair, place) -> {read})"
+    start = """from_json('{"open":"","here":",","base":",","known":"","aside":[],"seen":0,"at":0,"found":[]}',
+        'open string, here string, base string, known string, aside array<struct<open:string,base:string>>,
+         seen int, at int, found array<string>')"""
+
+    def folded(it: str) -> str:
+        steps = f"sequence(0, 2 * (size({it}) div {_TAGS_PER_FOLD} + 1))"
+        tag = f"get({it}, int(nullif(substring_index(says, ',', 1), '')))"
+        says = f"named_struct('license', {tag}.license, 'audio', int(nullif(substring_index(says, ',', -1), '')))"
+        found = "filter(split(array_join(whole.found, ''), ';'), says -> says <> '')"
+        return f"aggregate({steps}, {start}, (whole, step) -> {_piece_step(it)}, whole -> transform({found}, says -> {says}))"
+
+    return bind(events, folded)
 
 
 def _read_tags(tags: str, url: str) -> str:
@@ -223,7 +316,7 @@ def may_hold_audio(html: str = "html", url: str = "url") -> Column:
     True for a page that names an audio extension, for one whose own URL is audio (an empty reference
     then points to it), and for one that writes an extension with character references or line breaks.
     """
-    disguised = f"contains({html}, '&#') AND {html} RLIKE {literal(_DISGUISED_EXTENSION)}"
+    disguised = f"{html} RLIKE '&(?:#|period;|Tab;|NewLine;)' AND {html} RLIKE {literal(_DISGUISED_EXTENSION)}"
     plain = f"{html} RLIKE {literal(_BROKEN_EXTENSION)}"
     return F.expr(f"{plain} OR {is_page_audio_url_sql(url)} OR ({disguised})")
 

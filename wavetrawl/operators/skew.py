@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot if it holds more than 1 / HOT_KEYS of all rows; so there are fewer than HOT_KEYS of them.
-HOT_KEYS = 1024
+# A key is hot if it holds more than 1 / HOT_KEYS of all rows; so there are fewer than HOT_KEYS of them, and as hashes of
+# 16 bytes they take a few MB. Other keys are smaller than a task's share, even of a shuffle of tens of thousands of tasks.
+HOT_KEYS = 1 << 16
 
 
 def key_counts(rows: DataFrame, key: str) -> DataFrame:
@@ -18,7 +19,8 @@ def drop_frequent(rows: DataFrame, key: str, max_times: int) -> DataFrame:
     """Drop all rows whose key occurs more than ``max_times`` times.
 
     Hot keys are dropped first, against a broadcast that can hold at most ``HOT_KEYS`` keys whatever the
-    data. After that no key is large enough to unbalance the shuffle for the other repeated keys.
+    data. After that no key is large enough to unbalance the shuffle for the other repeated keys. Keys should be
+    short, such as hashes, and rows light: they are shuffled.
     """
     counts = key_counts(rows, key).filter(F.col(key).isNotNull())
     frequent = counts.filter(F.col("n") > max_times)

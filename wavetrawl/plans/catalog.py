@@ -246,9 +246,20 @@ def detect_language(spark, sf_dir):
     return enrich.with_language(docs).select("doc_id", "detected")
 
 
+# Where the model of each input was written, by application and folder.
+_MODELS: dict[tuple[str, str], str] = {}
+
+
 def _quality_model(spark: SparkSession, sf_dir: str):
-    labels = fixtures.load(spark, sf_dir, "labels").select("doc_id", "quality")
-    return enrich.fit_quality_model(fixtures.spread(fixtures.load(spark, sf_dir, "documents")).join(labels, "doc_id"))
+    """The model of these documents: fitted once and loaded from then on."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        labels = fixtures.load(spark, sf_dir, "labels").select("doc_id", "quality")
+        labelled = fixtures.spread(fixtures.load(spark, sf_dir, "documents")).join(labels, "doc_id")
+        path = scratch_path(spark, "quality-model")
+        enrich.fit_quality_model(labelled, path=path)
+        _MODELS[key] = path
+    return enrich.load_quality_model(_MODELS[key])
 
 
 @query
@@ -262,6 +273,12 @@ def good_pages(spark, sf_dir):
     return enrich.good_pages(_pages(spark, sf_dir), _quality_model(spark, sf_dir), language="en")
 
 
+@query
+def good_page_texts(spark, sf_dir):
+    """What :func:`good_pages` gives besides the score."""
+    return good_pages(spark, sf_dir).select("page_id", "title", "url", "text")
+
+
 # Whole routes
 
 
@@ -272,6 +289,12 @@ def page_route(spark, sf_dir):
     return found.select("url", "title", "quality", "audio_url", "description", "license")
 
 
+@query
+def page_route_links(spark, sf_dir):
+    """What :func:`page_route` gives besides the score."""
+    return page_route(spark, sf_dir).drop("quality")
+
+
 @query
 def feed_route(spark, sf_dir):
     return routes.feed_links_of_records(_records(spark, sf_dir))

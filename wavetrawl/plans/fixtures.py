@@ -24,15 +24,16 @@ SELECT page_id, url, replace(
   concat(CASE page_id % 6
     WHEN 0 THEN concat('<p>Listen <audio title="Episode ', cast(page_id AS string), '" src="/ep/',
       cast(page_id AS string), '.mp3"></audio> now</p>')
-    WHEN 1 THEN concat('<div data-license="CC-BY">Show <audio><source src="a', cast(page_id AS string),
+    WHEN 1 THEN concat('<div title="<b>" data-license="CC-BY">Show <audio><source src="a', cast(page_id AS string),
       '.ogg"><source src="notes.txt"></audio> end</div>')
-    WHEN 2 THEN concat('<p>Get <a href="https://cdn.example.org/f/', cast(page_id AS string),
+    WHEN 2 THEN concat('<p>Get <a data-note="1 > 0" href="https://cdn.example.org/f/', cast(page_id AS string),
       '.MP3?dl=1">the file</a></p>')
     WHEN 3 THEN concat('<p>Twice <a href="//cdn.example.org/x/../', cast(page_id AS string),
       '.wav">one</a> <a href="//cdn.example.org/x/../', cast(page_id AS string), '.wav">two</a></p>')
     WHEN 4 THEN concat('<object data="/no/', cast(page_id AS string), '.mp3"></object><link href="/l/',
       cast(page_id AS string), '.flac">')
-    ELSE '' END, '</article>')) AS html
+    ELSE concat('<p>第', cast(page_id AS string), '回の放送です。</p><p>次回予告</p><div>お楽しみに！</div><p>短い</p>') END,
+    '</article>')) AS html
 FROM pages"""
 
 LINKS = """

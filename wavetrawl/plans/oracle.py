@@ -7,7 +7,6 @@ which link was put into it) and never looks at the derived text.
 from __future__ import annotations
 
 from wavetrawl.functions.language import STOP_WORDS
-from wavetrawl.operators.page_links import TOKEN
 from wavetrawl.plans import fixtures
 
 SQL: dict[str, str] = {}
@@ -76,10 +75,16 @@ SQL["feed_records"] = f"""
 SELECT source, record_id, target_uri FROM {_R}
 WHERE content_type LIKE '%xml%' OR regexp_matches(body, '^\\s*(<\\?xml|<rss|<feed)')""".replace("\\\\", "\\")
 
+# What may stand in a tag: anything but ">", which only a value in quotes may hold.
+_INSIDE = r"(?:[^>=]|=\s*\x22[^\x22]*\x22|=\s*\x27[^\x27]*\x27|=)*"
+_TAG = f"</?[a-zA-Z]{_INSIDE}>"
+_ANY_TOKEN = "|".join(
+    (r"(?is)<script\b.*?</script\s*>", r"<style\b.*?</style\s*>", "<!--.*?-->", _TAG, "<[!?][^>]*>", "[^<]+", "<")
+)
 _TOKENS = f"""
 SELECT page_id, pos - 1 AS pos, tokens[pos] AS token FROM (
   SELECT page_id, tokens, unnest(generate_series(1, len(tokens))) AS pos FROM (
-    SELECT page_id, regexp_extract_all(html, '{TOKEN}') AS tokens FROM {_P}))"""
+    SELECT page_id, regexp_extract_all(html, '{_ANY_TOKEN}') AS tokens FROM {_P}))"""
 SQL["page_tokens"] = f"""
 SELECT page_id, pos, CASE
     WHEN token ILIKE '<script%' THEN 'script' WHEN token ILIKE '<style%' THEN 'style'
@@ -102,7 +107,7 @@ SQL["page_titles"] = rf"""
 SELECT page_id, CASE WHEN len(h) = 1 AND h[1] <> '' THEN h[1] ELSE t END AS title FROM (
   SELECT page_id, {_FLAT.format(_decoded("regexp_extract(html, '<title>([^<]*)</title>', 1)"))} AS t,
     list_transform(regexp_extract_all(html, '(?s)<h1>(.*?)</h1>', 1),
-      lambda x: {_FLAT.format(_decoded("regexp_replace(x, '<[^>]*>', '', 'g')"))}) AS h
+      lambda x: {_FLAT.format(_decoded(f"regexp_replace(x, '{_TAG}', '', 'g')"))}) AS h
   FROM {_P})"""
 
 _GONE = "|".join(
@@ -111,17 +116,26 @@ _GONE = "|".join(
 )
 _BLOCK_CUT = (
     r"(?i)</?(?:address|article|blockquote|body|br|dd|div|dl|dt|figcaption|figure|h[1-6]|head|header|hr|html|li|main"
-    r"|ol|p|pre|section|title|ul)(?:[\s/][^>]*)?>"
+    rf"|ol|p|pre|section|title|ul)(?:[\s/]{_INSIDE})?>"
 )
 _RAW_BLOCKS = rf"""
 SELECT page_id, string_split(regexp_replace(regexp_replace(html, '(?is)<!--.*?-->|{_GONE}', chr(1), 'g'),
   '{_BLOCK_CUT}', chr(1), 'g'), chr(1)) AS raw FROM {_P}"""
-_BLOCKS = rf"""
-SELECT page_id, i, block FROM (
-  SELECT page_id, i, {_FLAT.format(_decoded("regexp_replace(b, '<[^>]*>', '', 'g')"))} AS block,
-    length({_FLAT.format(_decoded("regexp_replace(array_to_string(regexp_extract_all(b, '(?is)<a[^>]*>(.*?)</a>', 1), ''), '<[^>]*>', '', 'g')"))}) AS linked
+_BARE_BLOCK = _FLAT.format(_decoded(f"regexp_replace(b, '{_TAG}', '', 'g')"))
+_LINK_TEXTS = rf"array_to_string(regexp_extract_all(b, '(?is)<a(?:\s{_INSIDE})?>(.*?)</a>', 1), '')"
+_LINKED = _FLAT.format(_decoded(f"regexp_replace({_LINK_TEXTS}, '{_TAG}', '', 'g')"))
+_JUDGED = rf"""
+SELECT *, linked <= length(block) * 0.3 AS clean, linked <= length(block) * 0.3 AND (
+    length(block) + 2 * length(regexp_replace(block, '[^\x{{3040}}-\x{{30ff}}\x{{3400}}-\x{{9fff}}\x{{ac00}}-\x{{d7af}}]', '', 'g')) >= 25
+    OR regexp_matches(block, '[.!?…。．！？][\])"\x27”’»」』）]*$')) AS counts
+FROM (SELECT page_id, i, {_BARE_BLOCK} AS block, length({_LINKED}) AS linked
   FROM (SELECT page_id, unnest(raw) AS b, generate_subscripts(raw, 1) AS i FROM ({_RAW_BLOCKS})))
-WHERE length(block) >= 25 AND linked <= length(block) * 0.3
+WHERE block <> ''"""
+_BLOCKS = f"""
+SELECT page_id, i, block FROM (
+  SELECT *, lag(counts, 1, false) OVER w AND lead(counts, 1, false) OVER w AS inside FROM ({_JUDGED})
+  WINDOW w AS (PARTITION BY page_id ORDER BY i))
+WHERE counts OR (clean AND inside)
 QUALIFY row_number() OVER (PARTITION BY page_id, block ORDER BY i) = 1"""
 SQL["page_main_text"] = f"""
 SELECT p.page_id, coalesce(t.text, '') AS text FROM pages p LEFT JOIN (
@@ -133,14 +147,25 @@ _VOTES = ", ".join(
     f"len(list_filter(w, lambda x: x IN ({', '.join(repr(s) for s in words)}))) AS {lang}"
     for lang, words in sorted(STOP_WORDS.items())
 )
-SQL["detect_language"] = rf"""
-SELECT doc_id, CASE WHEN doc_id % 7 = 0 AND kana >= letters * 0.1 AND letters > 0 THEN 'ja'
+
+
+def _with_language(rows: str) -> str:
+    """The rows of a query with a column ``text``, and ``detected``."""
+    return rf"""
+SELECT * EXCLUDE (w, kana, letters, de, en, es, fr), CASE WHEN kana > 0 AND kana >= letters * 0.1 THEN 'ja'
   WHEN greatest(de, en, es, fr) = 0 THEN NULL WHEN de = greatest(de, en, es, fr) THEN 'de'
   WHEN en = greatest(de, en, es, fr) THEN 'en' WHEN es = greatest(de, en, es, fr) THEN 'es' ELSE 'fr' END AS detected
-FROM (SELECT doc_id, kana, letters, {_VOTES} FROM (
-  SELECT doc_id, regexp_split_to_array(lower(text), '[^\p{{L}}]+') AS w,
+FROM (SELECT *, {_VOTES} FROM (
+  SELECT *, regexp_split_to_array(lower(text), '[^\p{{L}}]+') AS w,
     length(regexp_replace(text, '[^ぁ-ゖァ-ヺ]', '', 'g')) AS kana,
-    length(regexp_replace(text, '\P{{L}}', '', 'g')) AS letters FROM ({fixtures.DOCUMENTS})))"""
+    length(regexp_replace(text, '\P{{L}}', '', 'g')) AS letters FROM ({rows})))"""
+
+
+SQL["detect_language"] = f"SELECT doc_id, detected FROM ({_with_language(fixtures.DOCUMENTS)})"
+_GOOD_PAGES = f"""
+SELECT page_id, title, url, text FROM ({_with_language(SQL["page_main_text"])}) JOIN ({SQL["page_titles"]}) USING (page_id)
+JOIN pages USING (page_id) WHERE detected = 'en' AND text <> '' AND title <> ''"""
+SQL["good_page_texts"] = _GOOD_PAGES
 
 # Links of pages, stated from the page number
 
@@ -164,6 +189,10 @@ _PAGE_LINKS = f"""
 SELECT page_id, url, audio_url, description, license FROM ({_CANDIDATES}) WHERE description <> 'two'
 QUALIFY row_number() OVER (PARTITION BY page_id, audio_url ORDER BY pass) = 1"""
 SQL["extract_audio_links"] = _PAGE_LINKS
+SQL["page_route_links"] = f"""
+SELECT l.url, title, audio_url, description, license FROM ({_PAGE_LINKS}) l JOIN ({_GOOD_PAGES}) USING (page_id)
+JOIN pages p USING (page_id)
+WHERE page_id % 5 <> 0 AND page_id % 7 <> 0 AND page_id % 4 IN (0, 1) AND p.html LIKE '%<html lang="en%'"""
 SQL["audio_tag_links"] = f"SELECT page_id, audio_url FROM ({_CANDIDATES}) WHERE pass = 1"
 SQL["general_tag_links"] = f"SELECT page_id, audio_url FROM ({_CANDIDATES}) WHERE pass = 2"
 SQL["page_link_dedup"] = f"SELECT page_id, audio_url, description, license FROM ({_PAGE_LINKS})"
