@@ -33,6 +33,16 @@ CASES = {
     ),
     f'{HEAD}<item><enclosure url="u.mp3"/></item><item><title>cut': ("recovered", [("u.mp3", "", "", "ja")]),
     f"{HEAD}<item><title>cut .mp3\" ": ("rejected", []),
+    f'{HEAD}<!-- <item> --><list><part><item><title>D</title><files><file><enclosure url="u.mp3"/></file></files></item></part>'
+    f'<item><title>E</title><media:content url=""/><x><media:content url="v.ogg"/></x></item></list>{TAIL}': (
+        "parsed",
+        [("u.mp3", "D", "", "ja"), ("v.ogg", "E", "", "ja")],
+    ),
+    f'{HEAD}<item><media:group/><media:group><media:content url=""/></media:group><media:group><media:content url="u.aac"/>'
+    f"</media:group></item>{TAIL}": ("parsed", [("u.aac", "", "", "ja")]),
+    f'{HEAD}<a><item><description><![CDATA[<item><enclosure url="no.mp3"/></item>]]></description><enclosure url="u.wav"/></item></a>'
+    f"{TAIL}": ("parsed", [("u.wav", "", '<item><enclosure url="no.mp3"/></item>', "ja")]),
+    f'{HEAD}<item><description>&lt;enclosure&gt;<![CDATA[<enclosure url="no.mp3">]]></description></item>{TAIL}': ("parsed", []),
     '<feed><entry><link href="u.mp3"/></entry></feed>': ("no_item", []),
     "not a feed .mp3'": ("rejected", []),
 }

@@ -4,7 +4,8 @@ from urllib.parse import urljoin, urlparse
 import pytest
 from pyspark.sql import functions as F
 
-from wavetrawl.functions.domains import bundled_suffixes, with_registered_domain
+from wavetrawl.functions.domains import bundled_suffixes, read_suffix_list, with_registered_domain
+from wavetrawl.operators.stats import top_domains
 from wavetrawl.functions.language import base_language, has_lang_attribute, language_of
 from wavetrawl.functions.text import decode_references, header_text, squeeze, trim
 from wavetrawl.functions.urls import is_feed_audio_url, is_page_audio_url, resolve_url, url_host
@@ -90,7 +91,7 @@ DOMAINS = {
     "https://192.0.2.1/a": "192.0.2.1",
     "http://[::1]:8/a": "[::1]",
     "http://localhost/a": "localhost",
-    "http://a.b.unknowntld/": "unknowntld",
+    "http://a.b.unknowntld/": "b.unknowntld",
     "http://co.uk/": "co.uk",
     "http://www.ck/": "www.ck",
     "http://x.y.foo.ck/": "y.foo.ck",
@@ -156,3 +157,31 @@ def test_bundled_rules_equal_the_same_rules_given(spark):
     df = spark.createDataFrame(list(DOMAINS.items()), "audio_url string, expected string")
     given = with_registered_domain(df, suffixes=bundled_suffixes(spark))
     assert given.filter("NOT domain <=> expected").collect() == []
+
+
+def test_domains_under_no_rule_keep_two_labels_and_a_flag(spark, tmp_path):
+    hosts = {
+        "a.b.pod.xyz": ("pod.xyz", "unlisted"), "xyz": ("xyz", "unlisted"), "a.example.co.jp": ("example.co.jp", "listed"),
+        "192.0.2.1": ("192.0.2.1", "address"), "": ("", "none"), "x.www.ck": ("www.ck", "listed"),
+    }
+    df = spark.createDataFrame([(f"http://{host}/x" if host else "",) for host in hosts], "audio_url string")
+    rows = with_registered_domain(df, rule="rule").collect()
+    assert [(r.domain, r.rule) for r in rows if r.audio_url != "http://x.www.ck/x"] == [
+        v for k, v in hosts.items() if k != "x.www.ck"
+    ]
+    (tmp_path / "list.dat").write_text(
+        "// comment\n\nxyz extra words\npod.xyz\n*.ck\n!www.ck\n// ===BEGIN PRIVATE DOMAINS===\nb.pod.xyz\n"
+    )
+    public = read_suffix_list(spark, str(tmp_path / "list.dat"))
+    assert {r.suffix for r in public.collect()} == {"xyz", "pod.xyz", "*.ck", "!www.ck"}
+    assert read_suffix_list(spark, str(tmp_path / "list.dat"), private=True).count() == 5
+    found = {r.audio_url: (r.domain, r.rule) for r in with_registered_domain(df, suffixes=public, rule="rule").collect()}
+    assert found["http://a.b.pod.xyz/x"] == ("b.pod.xyz", "listed") and found["http://x.www.ck/x"] == ("www.ck", "listed")
+    assert found["http://a.example.co.jp/x"] == ("co.jp", "unlisted")
+    assert with_registered_domain(df, suffixes=public.limit(0)).columns == ["audio_url", "domain"]
+
+
+def test_top_domains_state_the_unlisted_share(spark):
+    links = [("http://a.pod.xyz/1",)] * 3 + [("http://b.example.com/1",)] * 5 + [("http://192.0.2.1/",)] * 2 + [("",)]
+    rows = top_domains(spark.createDataFrame(links, "audio_url string"), k=2).collect()
+    assert [(r.domain, r.n, r.pct, r.unlisted_pct) for r in rows] == [("example.com", 5, 50.0, 30.0), ("pod.xyz", 3, 30.0, 30.0)]

@@ -1,12 +1,13 @@
 import random
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from conftest import plan_of
 from wavetrawl.operators.dedup import first_by
-from wavetrawl.operators.ordering import fetch_plan, number_rows, rank_within
+from wavetrawl.operators.ordering import fetch_plan, number_rows, rank_within, schedule_bound
 from wavetrawl.operators.skew import drop_frequent
-from wavetrawl.sources.manifests import assign_shards
+from wavetrawl.sources.manifests import assign_shards, read_manifest, with_shard, write_manifest
 
 
 def _hot_rows(n=4000):
@@ -57,6 +58,41 @@ def test_fetch_plan(spark):
     ]
 
 
+def test_fetch_plan_never_has_too_many_requests_at_a_time(spark):
+    rng = random.Random(3)
+    for weights in ([1] * 40, [30, *[1] * 5], [5, 4, 3, *[1] * 60], [200, 1]):
+        hosts = rng.choices([f"h{i}" for i in range(len(weights))], weights, k=200)
+        links = [(f"http://{host}/{i}", i) for i, host in enumerate(hosts)]
+        df = spark.createDataFrame(links, "audio_url string, link_pos int").repartition(5)
+        rows = fetch_plan(df).collect()
+        longest = max(map(hosts.count, hosts))
+        assert len(rows) == 200 and len({(r.host, r.start_second) for r in rows}) == 200
+        at = [r.start_second for r in rows]
+        assert max(map(at.count, at)) <= 16 and max(r.lane for r in rows) < 16
+        assert max(at) + 1 == max(longest, -(-200 // 16)) == schedule_bound(df).first().finish_second
+    assert fetch_plan(df.limit(0)).count() == 0 and schedule_bound(df.limit(0)).first().finish_second == 0
+
+
+def test_manifest_comes_out_of_one_write(spark, tmp_path):
+    cuts = spark.range(1000).select(
+        F.format_string("audio_%08d", "id").alias("id"), F.lit(0.0).alias("start"), F.lit(1.5).alias("duration"),
+        F.lit("mono").alias("kind"), F.array(F.lit(0)).alias("channel"),
+        F.struct(F.format_string("audio_%08d", "id").alias("id"), F.lit(16).alias("sampling_rate"),
+                 F.col("id").alias("num_samples"), F.array(F.lit(0)).alias("channel_ids")).alias("recording"),
+        F.map_from_arrays(F.array(F.lit("title")), F.array(F.lit("日本"))).alias("custom"),
+    )
+    seen = Observation()
+    write_manifest(with_shard(cuts.repartition(6), 100).observe(seen, F.count("*").alias("n")), str(tmp_path))
+    assert seen.get["n"] == 1000
+    for table in ("cuts", "recordings"):
+        folders = sorted((tmp_path / f"table={table}").glob("shard=*"))
+        assert len(folders) == 10 and all(len(list(f.glob("part-*"))) == 1 for f in folders)
+    got = read_manifest(spark, str(tmp_path)).drop("shard")
+    assert sorted(got.select(F.to_json(F.struct(*cuts.columns))).collect()) == sorted(
+        cuts.select(F.to_json(F.struct(*cuts.columns))).collect()
+    )
+
+
 def test_first_by_does_not_depend_on_partitioning(spark):
     df = spark.createDataFrame(_hot_rows(), "k string, v int, i int")
     once = sorted(first_by(df, ["k"], ["v", "i"]).collect())

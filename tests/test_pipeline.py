@@ -1,5 +1,9 @@
 """Sources, streaming, enrichment, statistics and plans."""
 
+import bz2
+import gzip
+import json
+import random
 import warnings
 from pathlib import Path
 
@@ -53,6 +57,46 @@ def test_compaction_groups_files_and_keeps_rejects(spark, tmp_path):
     assert [r.value for r in spark.read.text(str(tmp_path / "bad")).collect()] == ['{"audio_url": "x']
 
 
+def test_damaged_files_are_left_out_whole_and_named(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    lines = [json.dumps({"audio_url": f"u{i}", "title": "日本" * 20}) for i in range(20_000)]
+    content = gzip.compress("".join(line + "\n" for line in lines).encode())
+    (folder / "whole.json.gz").write_bytes(content + gzip.compress(b'{"audio_url": "second member"}\n'))
+    (folder / "cut.json.gz").write_bytes(content[: len(content) // 2])
+    (folder / "junk.json.gz").write_bytes(b"no gzip at all")
+    (folder / "altered.json.gz").write_bytes(content[:-8] + b"12345678")
+    (folder / "whole.json.bz2").write_bytes(bz2.compress(b'{"audio_url": "b"}\n') + bz2.compress(b'{"audio_url": "c"}\n'))
+    (folder / "cut.json.bz2").write_bytes(bz2.compress(b'{"audio_url": "b"}\n' * 1000)[:-9])
+    (folder / "empty.json").write_bytes(b"")
+    (folder / "plain.json").write_bytes(b'{"audio_url": "p"}\n{"audio_url": "br')
+    packed, report = tables.compact_with_report(
+        spark, str(folder), str(tmp_path / "out"), schemas.FEED_LINKS, rejects=str(tmp_path / "bad")
+    )
+    assert packed.count() == 20_000 + 4
+    assert {(r.outcome, r.file): r.n for r in report.collect()} == {
+        ("packed", None): 20_004, ("broken", None): 1,
+        **{("damaged", f"{name}"): 1 for name in ("cut.json.gz", "junk.json.gz", "altered.json.gz", "cut.json.bz2")},
+    }
+    assert [r.value for r in spark.read.text(str(tmp_path / "bad")).collect()] == ['{"audio_url": "br']
+    with pytest.raises(Exception):
+        tables.read_jsonl_with_rejects(spark, str(folder), schemas.FEED_LINKS).count()
+
+
+def test_packed_files_follow_the_bytes(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    rng = random.Random(1)
+    for i in range(60):
+        lines = [json.dumps({"audio_url": f"{i}-{k}-{rng.random()}"}) for k in range(10 if i % 3 else 2000)]
+        (folder / f"{i:03}.json").write_text("\n".join(lines) + "\n")
+    total = sum(f.stat().st_size for f in folder.iterdir())
+    packed = tables.compact_jsonl(spark, str(folder), str(tmp_path / "out"), schemas.FEED_LINKS, target_bytes=total // 5)
+    rows = [spark.read.parquet(str(f)).count() for f in (tmp_path / "out").glob("*.parquet")]
+    assert sum(rows) == packed.count() == 20 * 2000 + 40 * 10
+    assert 5 <= len(rows) <= 6 and max(rows) <= 2 * (sum(rows) / 5)
+
+
 def test_language_tags_are_case_sensitive_texts(spark, tmp_path):
     (tmp_path / "c.csv").write_text('language,count\nNO,70\nno,3\n,5\n"",6\n')
     rows = tables.read_language_counts(spark, str(tmp_path / "c.csv")).collect()

@@ -6,6 +6,10 @@ from pyspark.sql import functions as F
 from wavetrawl.operators.records import decode_pages, html_responses
 from wavetrawl.sources.archives import read_archives
 
+ZH = "我们在这里说的是一个新的广播节目，大家可以在网上听到。"
+TW = "我們在這裡說的是一個新的廣播節目，大家可以在網上聽到。"
+KO = "우리는 여기에서 새로운 라디오 방송을 들을 수 있고 인터넷에서도 들을 수 있습니다."
+RU = "Мы слушаем новую передачу, и её можно найти в сети."
 JA = "これはテストです。ラジオの音声。"
 
 
@@ -18,6 +22,17 @@ def test_decoding(spark):
         ("café à la carte".encode("cp1252"), "café à la carte"),
         (b'<meta charset="koi8-r">' + "привет".encode("koi8-r"), '<meta charset="koi8-r">привет'),
         (b'<meta charset="no-such">' + "né".encode("cp1252"), '<meta charset="no-such">né'),
+        (ZH.encode("gb18030"), ZH),
+        (TW.encode("big5"), TW),
+        (KO.encode("euc_kr"), KO),
+        (RU.encode("cp1251"), RU),
+        (b"<p>Naive " + "Größe über façade, señor".encode("cp1252"), "<p>Naive Größe über façade, señor"),
+        (("カタカナ" * 5 + "です").encode("shift_jis"), "カタカナ" * 5 + "です"),
+        ("abc é".encode("utf-16"), "abc é"),
+        (b"\xfe\xff" + "abc é".encode("utf-16-be"), "abc é"),
+        ("abc é".encode("utf-32"), "abc é"),
+        (b"\xff\xfe\x00", None),
+        ('<script>charset="koi8-r"</script><meta charset=cp1252>é'.encode("cp1252"), '<script>charset="koi8-r"</script><meta charset=cp1252>é'),
         (b"\x81\x00\xff\xfe\x8d", None),
         (b"", ""),
         (None, None),

@@ -60,14 +60,34 @@ def suffix_rules(suffixes: DataFrame) -> DataFrame:
     )
 
 
+def read_suffix_list(spark: SparkSession, path: str, private: bool = False) -> DataFrame:
+    """A public-suffix list in its published text form, as ``suffix``; it is one small file.
+
+    A rule is the first word of a line; comments start with two slashes. The list's second part, the suffixes of private
+    services, is only read on demand, as those make each customer's host a domain.
+    """
+    whole = spark.read.text(path, wholetext=True)
+    public = F.substring_index("value", "===BEGIN PRIVATE DOMAINS===", 1)
+    lines = F.explode(F.split(F.col("value") if private else public, r"\r?\n")).alias("line")
+    words = whole.select(lines).select(F.regexp_extract("line", r"^\s*(\S*)", 1).alias("suffix"))
+    return words.filter((F.col("suffix") != "") & ~F.col("suffix").startswith("//"))
+
+
 def with_registered_domain(
-    links: DataFrame, url: str = "audio_url", suffixes: DataFrame | None = None, out: str = "domain"
+    links: DataFrame,
+    url: str = "audio_url",
+    suffixes: DataFrame | None = None,
+    out: str = "domain",
+    rule: str | None = None,
 ) -> DataFrame:
     """Add the registered domain of a URL column.
 
     One lookup per possible rule depth against the same rule table; all of them are hash joins on a
     broadcast of checked size, so the links are neither exploded nor shuffled. A table over the bound is
-    joined without the broadcast hint. Hosts under no rule keep their last label, addresses stay whole.
+    joined without the broadcast hint. Addresses stay whole. Under no rule the last label counts as the suffix, as the
+    public list's own default rule has it. ``rule`` names a column that tells how the domain was found: ``listed``,
+    ``unlisted``, ``address``, or ``none`` for a URL without host. The bundled list is a small one; pass the complete list
+    (:func:`read_suffix_list`) where the unlisted hosts matter.
     """
     if suffixes is None:
         rules, size, depth = _bundled_rules(links.sparkSession)
@@ -93,10 +113,18 @@ def with_registered_domain(
         ends.append(F.when(F.col(f"__exact{d}"), F.lit(d)))
         ends.append(F.when(F.col(f"__below{d}") & (label_count > d), F.lit(d + 1)))
         exceptions.append(F.when(F.col(f"__exception{d}"), F.lit(d - 1)))
-    suffix_labels = F.coalesce(*exceptions[::-1], F.greatest(*ends, F.lit(0))) if ends else F.lit(0)
+    known = F.coalesce(*exceptions, *ends) if ends else F.lit(None).cast("int")
+    suffix_labels = F.coalesce(*exceptions[::-1], F.greatest(*ends, F.lit(1))) if ends else F.lit(1)
     by_labels = [
         F.when(suffix_labels == n, F.substring_index(host, ".", -(n + 1))) for n in range((depth or 0) + 2)
     ]
     is_address = host.rlike(r"^(\d{1,3}\.){3}\d{1,3}$") | host.startswith("[")
     domain = F.when(is_address, host).otherwise(F.coalesce(*by_labels))
-    return hosts.select(*[F.col(f"`{c}`") for c in links.columns], domain.alias(out))
+    found = (
+        F.when(host == "", F.lit("none"))
+        .when(is_address, F.lit("address"))
+        .when(known.isNotNull(), F.lit("listed"))
+        .otherwise(F.lit("unlisted"))
+    )
+    added = [domain.alias(out)] + ([found.alias(rule)] if rule else [])
+    return hosts.select(*[F.col(f"`{c}`") for c in links.columns], *added)

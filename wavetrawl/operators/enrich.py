@@ -118,6 +118,9 @@ def with_language(texts: DataFrame, text: str = "text", out: str = "detected") -
     return with_once(texts, out, language_of(text))
 
 
+# What counts as a word: characters of the scripts that write without spaces, else what stands between spaces, marks
+# included, as they tell prose from junk.
+_WORDS = rf"[{WIDE_CHARACTERS}]|[^{WIDE_CHARACTERS}\s]+"
 _WORKING = ("__words", "__counts", "__rare", "__features", "__probability", "__raw", "__prediction")
 
 
@@ -135,7 +138,7 @@ def fit_quality_model(
     n, good = known.agg(F.count("*"), F.coalesce(F.sum(label), F.lit(0.0))).first()
     weight = F.when(F.col(label) == 1, n / (2 * max(good, 1))).otherwise(n / (2 * max(n - good, 1)))
     stages = [
-        RegexTokenizer(inputCol=text, outputCol="__words", pattern=r"[^\p{L}]+", toLowercase=True),
+        RegexTokenizer(inputCol=text, outputCol="__words", pattern=_WORDS, gaps=False, toLowercase=True),
         HashingTF(inputCol="__words", outputCol="__counts", numFeatures=1 << 14),
         IDF(inputCol="__counts", outputCol="__rare", minDocFreq=2),
         Normalizer(inputCol="__rare", outputCol="__features"),
@@ -143,7 +146,7 @@ def fit_quality_model(
             featuresCol="__features",
             labelCol=label,
             weightCol="__weight",
-            regParam=0.001,
+            regParam=0.01,
             maxIter=50,
             probabilityCol="__probability",
             rawPredictionCol="__raw",

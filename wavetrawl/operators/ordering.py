@@ -42,21 +42,23 @@ def number_rows(rows: DataFrame, order: list[str], out: str = "idx") -> DataFram
     A row's number is its place in its range partition plus the sizes of the partitions before it. Only
     one size per partition reaches the driver.
     """
-    placed = _placed(rows, order, "numbered")
+    return _numbered(_placed(rows, order, "numbered"), out).drop(_PART, _PLACE)
+
+
+def _numbered(placed: DataFrame, out: str) -> DataFrame:
     sizes = sorted(placed.groupBy(_PART).agg(F.count("*").alias("n")).collect())
     starts = accumulate((row["n"] for row in sizes), initial=0)
-    offsets = rows.sparkSession.createDataFrame(
+    offsets = placed.sparkSession.createDataFrame(
         [(row[_PART], start) for row, start in zip(sizes, starts)], f"{_PART} bigint, __start bigint"
     )
-    return (
-        placed.join(F.broadcast(offsets), _PART)
-        .withColumn(out, F.col(_PLACE) + F.col("__start"))
-        .drop(_PART, _PLACE, "__start")
-    )
+    joined = placed.join(F.broadcast(offsets), _PART)
+    return joined.withColumn(out, F.col(_PLACE) + F.col("__start")).drop("__start")
 
 
-def rank_within(rows: DataFrame, group: str, order: list[str], out: str = "rank") -> DataFrame:
-    """Number the rows of each group from 1 in the given order.
+def rank_within(
+    rows: DataFrame, group: str, order: list[str], out: str = "rank", number: str | None = None
+) -> DataFrame:
+    """Number the rows of each group from 1 in the given order; ``number`` also numbers all rows, by group and order.
 
     A window by group would put a hot group into one task. Here rows are range-partitioned by group and
     order, so a large group spreads over many partitions; ranks are counted inside each piece and shifted
@@ -64,6 +66,8 @@ def rank_within(rows: DataFrame, group: str, order: list[str], out: str = "rank"
     earlier one, so there is at most one shift per partition and the broadcast stays that small.
     """
     placed = _placed(rows.filter(F.col(group).isNotNull()), [group, *order], "ranked")
+    if number is not None:
+        placed = _numbered(placed, number)
     by_piece = Window.partitionBy(group).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
         placed.groupBy(_PART, group)
@@ -77,7 +81,7 @@ def rank_within(rows: DataFrame, group: str, order: list[str], out: str = "rank"
         placed.withColumn("__within", within.cast("bigint"))
         .join(F.broadcast(shifts), [_PART, group], "left")
         .withColumn(out, F.col("__within") + F.coalesce("__before", F.lit(0)))
-        .select(*[f"`{c}`" for c in rows.columns], out)
+        .select(*[f"`{c}`" for c in rows.columns], out, *([number] if number else []))
     )
 
 
@@ -85,13 +89,45 @@ def _with_host(links: DataFrame) -> DataFrame:
     return links.withColumn("host", F.lower(url_host(F.col("audio_url")))).filter("host <> ''")
 
 
-def fetch_plan(links: DataFrame, delay: float = 1.0, tie: str = "link_pos") -> DataFrame:
-    """Earliest start second of each download if a host serves one request per ``delay`` seconds.
+# Requests at a time, over all hosts together.
+TOTAL_REQUESTS = 16
+
+
+def _span(requests: int | None, longest: int | None, total: int) -> int:
+    return max(longest or 0, -(-(requests or 0) // total), 1)
+
+
+def schedule_bound(links: DataFrame, delay: float = 1.0, total: int = TOTAL_REQUESTS) -> DataFrame:
+    """One row: ``requests, hosts, longest`` (requests of one host) and ``finish_second``.
 
-    Adds ``host, slot, start_second``; the largest start of a host plus one delay bounds its finish.
+    No plan can finish sooner than the host with most requests, or than all requests over ``total`` lanes.
     """
-    ranked = rank_within(_with_host(links), "host", ["audio_url", tie], "slot")
-    return ranked.withColumn("start_second", (F.col("slot") - 1) * F.lit(float(delay)))
+    counts = _with_host(links).groupBy("host").agg(F.count("*").alias("n"))
+    sums = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("requests"),
+        F.count("*").alias("hosts"),
+        F.coalesce(F.max("n"), F.lit(0)).alias("longest"),
+    )
+    lanes = F.ceil(F.col("requests") / F.lit(total))
+    return sums.withColumn("finish_second", F.greatest("longest", lanes) * F.lit(float(delay)))
+
+
+def fetch_plan(links: DataFrame, delay: float = 1.0, tie: str = "link_pos", total: int = TOTAL_REQUESTS) -> DataFrame:
+    """A start second for each download: one request per host and ``total`` in all within each ``delay`` seconds.
+
+    Adds ``host``, ``slot`` (the request's number within its host), ``lane`` and ``start_second``. The requests are laid
+    out host after host, and that line is cut into lanes as long as the bound of :func:`schedule_bound`. No host is longer
+    than a lane, so its requests all have times of their own, also where it goes on in the next lane; and there are
+    no more than ``total`` lanes. So the plan ends at the bound: none is shorter.
+    """
+    ranked = rank_within(_with_host(links), "host", ["audio_url", tie], "slot", number="__number")
+    counts = ranked.groupBy("host").agg(F.count("*").alias("n"))
+    span = _span(*counts.agg(F.sum("n"), F.max("n")).first(), total)
+    return (
+        ranked.withColumn("lane", F.expr(f"__number div {span}"))
+        .withColumn("start_second", (F.col("__number") % span) * F.lit(float(delay)))
+        .drop("__number")
+    )
 
 
 def host_bounds(links: DataFrame, delay: float = 1.0) -> DataFrame:

@@ -15,11 +15,32 @@ from wavetrawl.functions.language import has_lang_attribute
 from wavetrawl.functions.text import or_empty
 from wavetrawl.operators.columns import with_once
 
-# Charsets tried in this order on bytes that are not UTF-8 and that declare none that fits.
-FALLBACK_CHARSETS = ("iso2022_jp", "shift_jis", "euc_jp", "cp1252")
-
+# Byte-order marks, the longer ones first.
+_MARKS = (
+    (codecs.BOM_UTF32_LE, "utf-32"), (codecs.BOM_UTF32_BE, "utf-32"), (codecs.BOM_UTF16_LE, "utf-16"),
+    (codecs.BOM_UTF16_BE, "utf-16"),
+)
+
+# Charsets of bytes that declare none that fits, with the characters that are frequent in texts of that
+# charset's languages. Bytes are valid in many of them, but only in the right one do frequent characters abound.
+JAPANESE_CHARSETS = ("iso2022_jp", "shift_jis", "euc_jp")
 _KANA = re.compile("[ぁ-ゖァ-ヺ]")
+FREQUENT = (
+    ("gb18030", "的一是不了在人有我他这个们中来上大为和国地到以说时要就出会可也你对生能而子那得于着下自之年过发后作里"),
+    ("big5", "的一是不了在人有我他這個們中來上大為和國地到以說時要就出會可也你對生能而子那得於著下自之年過發後作裡"),
+    ("cp949", "이다는에을의가고하은를한도지로사기서대리시어자스인나"),
+    ("cp1251", "оеаинтсрвлкмдпуяыьгзбчйхжшюцщэфъОПВНСИА"),
+)
+_FREQUENT = tuple((charset, re.compile(f"[{chars}]")) for charset, chars in FREQUENT)
+_OTHER = re.compile(r"[^\x00-\x7f]")
+_ALONE = re.compile(r"(?<![^\x00-\x7f])[^\x00-\x7f](?![^\x00-\x7f])")
+# The least share of kana, of other frequent characters, and, for Western texts, of characters that stand alone between
+# ASCII characters; always among the characters beyond ASCII.
+MIN_KANA, MIN_FREQUENT, MIN_ALONE = 0.1, 0.06, 0.5
+
 _DECLARED = re.compile(rb"""(?i)(?:charset|encoding)\s*=\s*["']?\s*([a-z0-9_.:-]+)""")
+# The places that are meant to declare one, which count before any other mention.
+_DECLARATION = re.compile(rb"(?i)<(?:meta|\?xml)\b[^>]{0,2000}")
 # The charsets that web pages declare, by Python's names. Codecs that are no text charsets, and
 # those that cannot be declared in ASCII mark-up, are not among them.
 _WEB_CHARSETS = {
@@ -31,35 +52,62 @@ _WEB_CHARSETS = {
 
 def html_responses(records: DataFrame) -> DataFrame:
     """Responses with an HTML content type (letter case matters, as in the headers)."""
-    return records.filter(
-        (F.col("rec_type") == "response") & F.contains(or_empty(F.col("content_type")), F.lit("html"))
-    )
+    return records.filter((F.col("rec_type") == "response") & F.contains(F.col("content_type"), F.lit("html")))
+
+
+def _declared_charset(raw: bytes) -> bytes | None:
+    for place in _DECLARATION.finditer(raw):
+        if found := _DECLARED.search(place[0]):
+            return found[1]
+    found = _DECLARED.search(raw)
+    return found[1] if found else None
+
+
+def _decoded(raw: bytes, charset: str) -> str | None:
+    try:
+        return raw.decode(charset)
+    except ValueError:
+        return None
+
+
+def _share(pattern: re.Pattern, text: str) -> float:
+    """Which share of the characters beyond ASCII the pattern finds."""
+    return sum(1 for _ in pattern.finditer(text)) / max(sum(1 for _ in _OTHER.finditer(text)), 1)
 
 
 def _decode_other(raw: bytes | None) -> str | None:
     """Text of bytes that are not UTF-8, or None.
 
-    A declared charset comes first. The Japanese charsets accept many byte strings they were not meant
-    for, so a result without any kana is not taken for Japanese.
+    A byte-order mark comes first, then a declared charset. Then the text is Japanese if enough of it is kana in one of
+    the Japanese charsets, and Western if its characters beyond ASCII stand alone. Else the charset wins in
+    which the largest share of the characters is frequent, and without any it is taken as Western.
     """
     if raw is None:
         return None
-    declared = _DECLARED.search(raw)
+    for mark, charset in _MARKS:
+        if raw.startswith(mark):
+            return _decoded(raw, charset)
+    declared = _declared_charset(raw)
     if declared:
         try:
-            charset = codecs.lookup(declared.group(1).decode("ascii")).name
+            charset = codecs.lookup(declared.decode("ascii")).name
             if charset in _WEB_CHARSETS:
                 return raw.decode(charset)
         except (LookupError, ValueError):
             pass
-    for charset in FALLBACK_CHARSETS:
-        try:
-            text = raw.decode(charset)
-        except ValueError:
-            continue
-        if charset == "cp1252" or _KANA.search(text):
+    for charset in JAPANESE_CHARSETS:
+        text = _decoded(raw, charset)
+        if text is not None and _share(_KANA, text) >= MIN_KANA:
             return text
-    return None
+    western = _decoded(raw, "cp1252")
+    if western is not None and _share(_ALONE, western) >= MIN_ALONE:
+        return western
+    best = (MIN_FREQUENT, western)
+    for charset, frequent in _FREQUENT:
+        text = _decoded(raw, charset)
+        if text is not None and (share := _share(frequent, text)) > best[0]:
+            best = (share, text)
+    return best[1]
 
 
 def _decode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -35,11 +35,23 @@ def host_counts(links: DataFrame) -> DataFrame:
 def top_domains(links: DataFrame, k: int = 20, suffixes: DataFrame | None = None) -> DataFrame:
     """Registered domains with most links: ``domain, n, pct``; the share is of all domains, not of the top.
 
-    Links are counted per host first, so domains are looked up once per host and not once per link.
-    Links without a domain count neither for a domain nor for the total.
+    ``unlisted_pct``, the same in each row, is the share of all links whose host is under no rule of the suffix list:
+    how far the domains rest on the default rule. Links are counted per host first, so domains are looked up once per
+    host and not once per link. Links without a domain count neither for a domain nor for the total.
     """
-    located = with_registered_domain(host_counts(links), url="host", suffixes=suffixes)
-    return top_k(counts_with_share(located.filter(F.col("domain") != ""), "domain", "n"), "domain", k)
+    located = with_registered_domain(host_counts(links), url="host", suffixes=suffixes, rule="rule")
+    unlisted = F.when(F.col("rule") == "unlisted", F.col("n")).otherwise(0)
+    counts = located.filter(F.col("domain") != "").groupBy("domain").agg(
+        F.sum("n").alias("n"), F.sum(unlisted).alias("unlisted")
+    )
+    totals = [counts.agg(F.sum(c).alias("total")).scalar().cast("double") for c in ("n", "unlisted")]
+    shares = counts.select(
+        "domain",
+        "n",
+        (F.col("n").cast("double") / totals[0] * F.lit(100.0)).alias("pct"),
+        (totals[1] / totals[0] * F.lit(100.0)).alias("unlisted_pct"),
+    )
+    return top_k(shares, "domain", k)
 
 
 def top_languages(links: DataFrame, k: int = 15) -> DataFrame:

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from wavetrawl import schemas
 from wavetrawl.functions.domains import with_registered_domain
 from wavetrawl.functions.language import JAPANESE_TAGS
-from wavetrawl.functions.text import is_truthy, or_empty, trim
+from wavetrawl.functions.text import header_text, is_truthy, or_empty, trim
 from wavetrawl.functions.urls import audio_format, is_feed_audio_url, is_page_audio_url, is_valid_url, resolve_url
 from wavetrawl.operators import audio, dedup, enrich, feeds, ordering, page_links, records, stats
-from wavetrawl.plans import fixtures, routes
+from wavetrawl.plans import fixtures, jobs, routes
 from wavetrawl.session import scratch_path
 from wavetrawl.sources import archives, manifests, snapshots, tables
 from wavetrawl.streaming.incremental import collect_new_links
@@ -127,10 +127,10 @@ def pending_archives(spark, sf_dir):
 
 @query
 def crawl_records_scan(spark, sf_dir):
-    """Write the records to gzip archives and scan their responses back."""
+    """Write the records to gzip archives and scan the responses of that table of archives back."""
     folder = scratch_path(spark, "archives")
     paths = fixtures.write_archives(fixtures.derive(spark, sf_dir, fixtures.RECORDS), folder)
-    scanned = archives.read_archives(spark, paths, rec_type="response")
+    scanned = archives.scan_archives(paths, rec_type="response")
     return scanned.select(
         "rec_type",
         "target_uri",
@@ -140,6 +140,32 @@ def crawl_records_scan(spark, sf_dir):
     )
 
 
+@query
+def html_records_scan(spark, sf_dir):
+    """Type and content type are tested before a body is read, and no body leaves the reader."""
+    folder = scratch_path(spark, "archives")
+    paths = fixtures.write_archives(fixtures.derive(spark, sf_dir, fixtures.RECORDS), folder)
+    columns = ("rec_type", "target_uri", "content_type")
+    return archives.scan_archives(paths, rec_type="response", content_type="html", columns=columns)
+
+
+@query
+def range_archives(spark, sf_dir):
+    """From a snapshot index and the path lists of its snapshots to the archives of a range."""
+    root = scratch_path(spark, "mirror")
+    lists = fixtures.derive(spark, sf_dir, fixtures.ARCHIVE_PATHS).select(
+        F.concat(F.lit("CC-MAIN-"), "snapshot_id").alias("snapshot"), F.col("path").alias("value")
+    )
+    ids = lists.select(F.col("snapshot").alias("id")).distinct()
+    # The index is one document by nature; weeks bound its size.
+    ids.agg(F.to_json(F.sort_array(F.collect_list(F.struct("id")))).alias("value")).write.text(f"{root}/index")
+    for row in ids.collect():
+        own = lists.filter(F.col("snapshot") == row.id).select("value")
+        own.write.option("compression", "gzip").text(f"{root}/crawl-data/{row.id}/warc.paths.gz")
+    found = jobs.archives_of_range(spark, f"{root}/index", "2014-01", "2018-30", prefix=root)
+    return found.select("snapshot_id", F.replace("url", F.lit(f"{root}/"), F.lit("")).alias("path"))
+
+
 # Link tables in files
 
 
@@ -150,15 +176,27 @@ def jsonl_roundtrip(spark, sf_dir):
     return tables.read_jsonl(spark, folder, schemas.FEED_LINKS)
 
 
-@query
-def compact_links(spark, sf_dir):
-    """Pack JSON-lines files, some lines of which are broken, into Parquet."""
+def _compacted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     folder, out, rejects = (scratch_path(spark, name) for name in ("loose", "packed", "rejects"))
     links = _links(spark, sf_dir)
     whole = F.to_json(F.struct(*PUBLISHED))
     broken = F.when(F.col("link_pos") % 41 == 2, F.array(whole, F.lit('{"audio_url": "cut')))
     links.select(F.explode(F.coalesce(broken, F.array(whole))).alias("value")).write.text(folder)
-    return tables.compact_jsonl(spark, folder, out, schemas.FEED_LINKS, rejects=rejects)
+    some = links.filter("archive = 'part-00003'").select(whole.alias("value"))
+    fixtures.write_cut_gzip(some, f"{folder}/cut.json.gz")
+    return tables.compact_with_report(spark, folder, out, schemas.FEED_LINKS, rejects=rejects)
+
+
+@query
+def compact_links(spark, sf_dir):
+    """Pack JSON-lines files, some lines of which are broken and one of which is cut, into Parquet."""
+    return _compacted(spark, sf_dir)[0]
+
+
+@query
+def compact_report(spark, sf_dir):
+    """How many lines were packed and how many are broken, and the files left out."""
+    return _compacted(spark, sf_dir)[1]
 
 
 @query
@@ -191,6 +229,16 @@ def incremental_links(spark, sf_dir):
 # Records and pages
 
 
+@query
+def header_texts(spark, sf_dir):
+    """Content-type headers as bytes, some of which are no UTF-8, as texts."""
+    rows = fixtures.derive(spark, sf_dir, fixtures.RECORDS).select("source", "record_id", "content_type")
+    raw = F.encode("content_type", "UTF-8")
+    broken = F.concat(raw, F.unhex(F.lit("FF")))
+    header = F.when(F.col("record_id") % 3 == 0, broken).otherwise(raw)
+    return rows.select("source", "record_id", header_text(header).alias("content_type"))
+
+
 @query
 def html_responses(spark, sf_dir):
     kept = records.html_responses(_records(spark, sf_dir))
@@ -199,11 +247,12 @@ def html_responses(spark, sf_dir):
 
 @query
 def decode_pages(spark, sf_dir):
-    """Documents as UTF-8 or, where they can be, as declared Latin-1, decoded to text again."""
-    given = fixtures.spread(fixtures.load(spark, sf_dir, "documents"))
+    """Documents as UTF-8, as declared Latin-1, with byte-order marks and in charsets that nothing names, decoded again."""
+    given = fixtures.spread(fixtures.derive(spark, sf_dir, fixtures.SCRIPTS))
     latin = (F.col("doc_id") % 3 > 0) & ~F.col("text").rlike(r"[^\x00-\xff]")
     declared = F.concat(F.lit('<meta charset="iso-8859-1">'), "text")
-    payload = F.when(latin, F.encode(declared, "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))
+    plain = F.when(latin, F.encode(declared, "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))
+    payload = F.coalesce(fixtures.encoded("text", "charset"), plain)
     decoded = records.decode_pages(given.select("doc_id", payload.alias("payload")))
     return decoded.select("doc_id", F.md5("html").alias("digest"), F.length("html").cast("bigint").alias("n_chars"))
 
@@ -420,7 +469,7 @@ def feed_audio_urls(spark, sf_dir):
 @query
 def registered_domain(spark, sf_dir):
     links = _links(spark, sf_dir).filter(F.col("audio_url").isNotNull()).select("link_pos", "audio_url")
-    return with_registered_domain(links)
+    return with_registered_domain(links, rule="rule")
 
 
 @query
@@ -484,7 +533,7 @@ def global_link_dedup(spark, sf_dir):
 def fetch_plan(spark, sf_dir):
     links = _links(spark, sf_dir).filter(is_truthy(F.col("audio_url")))
     firsts = dedup.first_per_url(links.select("audio_url", "archive", "link_pos"), ["archive", "link_pos"])
-    return ordering.fetch_plan(firsts).select("host", "audio_url", "slot", "start_second")
+    return ordering.fetch_plan(firsts).select("host", "audio_url", "slot", "lane", "start_second")
 
 
 @query
@@ -493,6 +542,12 @@ def fetch_bounds(spark, sf_dir):
     return ordering.host_bounds(links.select("audio_url"))
 
 
+@query
+def fetch_schedule(spark, sf_dir):
+    links = _links(spark, sf_dir).filter(is_truthy(F.col("audio_url")))
+    return ordering.schedule_bound(links.select("audio_url"))
+
+
 # Audio as tables
 
 
@@ -551,31 +606,17 @@ def build_cuts(spark, sf_dir):
 
 
 def _sharded(spark: SparkSession, sf_dir: str, shard_size: int) -> DataFrame:
+    """Cuts of all links in their shards. The links are numbered once; both sides of the cuts come from that."""
     links = _links(spark, sf_dir).filter(is_truthy(F.col("audio_url")))
-    numbered = manifests.assign_shards(links, ["archive", "link_pos"], shard_size)
+    numbered = manifests.assign_shards(links, ["archive", "link_pos"], shard_size).withColumnRenamed("id", "recording_id")
     facts = numbered.select(
-        F.col("id").alias("recording_id"),
-        "shard",
+        "recording_id",
         (F.col("link_pos") * 160).alias("num_samples"),
         (F.col("link_pos") * 160 / F.lit(16000.0)).alias("duration"),
         F.array(F.lit(0)).alias("channel_ids"),
         F.lit("mono").alias("kind"),
-        *PUBLISHED,
-    )
-    recording = F.struct(
-        F.col("recording_id").alias("id"), F.lit(16000).alias("sampling_rate"), "num_samples", "channel_ids"
-    )
-    custom = F.map_from_arrays(F.array(*map(F.lit, PUBLISHED)), F.array(*[or_empty(F.col(c)) for c in PUBLISHED]))
-    return facts.select(
-        F.col("recording_id").alias("id"),
-        "shard",
-        F.lit(0.0).alias("start"),
-        "duration",
-        "kind",
-        F.array(F.lit(0)).alias("channel"),
-        recording.alias("recording"),
-        custom.alias("custom"),
     )
+    return manifests.with_shard(audio.build_cuts(facts, numbered, 16000), shard_size)
 
 
 @query

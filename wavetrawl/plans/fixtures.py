@@ -13,7 +13,11 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wavetrawl.operators.ordering import materialise
+from wavetrawl.session import qualified
 
 TABLES = ("pages", "documents", "labels", "events", "orders", "customer", "nation")
 
@@ -44,6 +48,7 @@ SELECT o_orderkey AS link_pos,
       WHEN 0 THEN 'cdn.example.com' WHEN 1 THEN 'a.b.example.co.jp' WHEN 2 THEN 'media.example.co.uk'
       WHEN 3 THEN '192.0.2.1' WHEN 4 THEN 'files.example.org:8080' WHEN 5 THEN 'user@dl.podcast.com.au'
       WHEN 6 THEN 'localhost' WHEN 7 THEN 'deep.city.kawasaki.jp' WHEN 8 THEN 'shop.foo.ck'
+      WHEN 9 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'a.show.pod.xyz' ELSE 'cdn.example.com' END
       ELSE 'cdn.example.com' END,
     '/ep/', cast(o_orderkey % 5000 AS string), '.mp3') END AS audio_url,
   concat('注文 ', cast(o_orderkey AS string)) AS title,
@@ -72,6 +77,13 @@ SELECT feed_id, target_uri, content_type, CASE shape
   WHEN 'cut' THEN concat('<rss><channel><language>', lang, '</language>', item_a, '<item><title>cut')
   WHEN 'stray' THEN concat('<rss><channel><language>', lang, '</language>',
     replace(item_a, '<title>', '<title>&nbsp;'), item_b, '</channel></rss>')
+  WHEN 'deep' THEN concat('<rss xmlns:media="http://search.yahoo.com/mrss/"><channel><language>', lang,
+    '</language><!-- <item> --><list><part>', replace(replace(item_a, '<enclosure', '<files><enclosure'),
+    '/></item>', '/></files></item>'), item_b,
+    '</part></list></channel></rss>')
+  WHEN 'late' THEN concat('<rss xmlns:media="http://search.yahoo.com/mrss/"><channel><language>', lang, '</language>',
+    replace(item_a, '<media:group>', '<media:group/><media:group><media:content url=""/></media:group><media:group>'), item_b,
+    '</channel></rss>')
   WHEN 'junk' THEN '<rss><channel><title>no end'
   WHEN 'atom' THEN '<feed><entry><title>x</title></entry></feed>'
   ELSE concat(' <rss xmlns:media="http://search.yahoo.com/mrss/"><channel><title>', c_name,
@@ -79,7 +91,8 @@ SELECT feed_id, target_uri, content_type, CASE shape
 FROM (SELECT o_orderkey AS feed_id, concat('https://feeds.example.org/', key) AS target_uri,
   CASE WHEN o_orderkey % 2 = 0 THEN 'application/rss+xml' ELSE 'application/octet-stream' END AS content_type,
   CASE WHEN o_orderkey % 11 = 3 THEN 'rdf' WHEN o_orderkey % 13 = 4 THEN 'cut' WHEN o_orderkey % 17 = 5 THEN 'junk'
-    WHEN o_orderkey % 19 = 6 THEN 'atom' WHEN o_orderkey % 23 = 7 THEN 'stray' ELSE 'rss' END AS shape,
+    WHEN o_orderkey % 19 = 6 THEN 'atom' WHEN o_orderkey % 23 = 7 THEN 'stray' WHEN o_orderkey % 29 = 8 THEN 'deep'
+    WHEN o_orderkey % 31 = 9 THEN 'late' ELSE 'rss' END AS shape,
   lower(n_name) AS lang, c_name, {_ITEM.format(kind='o_orderkey % 4')} AS item_a,
   {_ITEM.format(kind='(o_orderkey + 1) % 4')} AS item_b
   FROM (SELECT *, cast(o_orderkey AS string) AS key FROM orders) o
@@ -125,6 +138,32 @@ SELECT doc_id, lang, CASE WHEN doc_id % 7 = 0
 FROM documents"""
 
 
+# Charsets, and the characters that stand for fourteen frequent letters in a text of that charset.
+CHARSETS = (
+    ("cp1251", "оеаинтсрвлкмдп"), ("gb18030", "的一是不了在人有我他这个们中"), ("big5", "的一是不了在人有我他這個們中"),
+    ("cp949", "이다는에을의가고하은를한도지"), ("shift_jis", "のにをはがとでたしテスト音声"), ("euc_jp", "のにをはがとでたしテスト音声"),
+    ("utf-16", "etaoinshrdlucm"), ("utf-32", "etaoinshrdlucm"),
+)
+
+# Long texts in plain letters, every second one made a text of one of the charsets.
+SCRIPTS = f"""
+SELECT doc_id, charset, CASE charset {' '.join(f"WHEN '{c}' THEN translate(text, 'etaoinshrdlucm', '{to}')" for c, to in CHARSETS)}
+  ELSE text END AS text
+FROM (SELECT doc_id, text, CASE WHEN length(text) < 300 OR octet_length(text) <> length(text) THEN NULL
+    {' '.join(f"WHEN doc_id % 16 = {i} THEN '{c}'" for i, (c, _) in enumerate(CHARSETS))} END AS charset FROM documents) s"""
+
+
+def encoded(text: str, charset: str) -> Column:
+    """The bytes of a text in the charset that its row names, with a byte-order mark where it has one; else null."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+    @F.pandas_udf("binary")
+    def encode(texts: pd.Series, charsets: pd.Series) -> pd.Series:
+        return pd.Series([None if c is None else t.encode(c) for t, c in zip(texts, charsets)], dtype=object)
+
+    return encode(text, charset)
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -169,7 +208,7 @@ def _write_archive(batches: Iterator[pd.DataFrame], folder: str) -> Iterator[pd.
     from pyarrow import fs
 
     path = f"{folder}/{uuid.uuid4().hex}.warc.gz"
-    files, inner = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    files, inner = fs.FileSystem.from_uri(path)
     files.create_dir(inner.rsplit("/", 1)[0], recursive=True)
     with files.open_output_stream(inner, compression=None) as out:
         for batch in batches:
@@ -183,13 +222,33 @@ def _write_archive(batches: Iterator[pd.DataFrame], folder: str) -> Iterator[pd.
                     f"Content-Length: {len(block)}\r\n\r\n"
                 )
                 out.write(gzip.compress(head.encode() + block + b"\r\n\r\n", 1))
-    yield pd.DataFrame({"path": [path]})
+    yield pd.DataFrame({"url": [path]})
 
 
-def write_archives(records: DataFrame, folder: str) -> list[str]:
-    """Write records to archives, one per partition, and return their paths."""
+def write_archives(records: DataFrame, folder: str) -> DataFrame:
+    """Write records to archives, one per partition, and return the table of their paths, ``url``."""
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    whole = qualified(records.sparkSession, folder)
     written = records.select("rec_type", "target_uri", "content_type", "body").mapInPandas(
-        lambda batches: _write_archive(batches, folder), "path string"
+        lambda batches: _write_archive(batches, whole), "url string"
     )
-    return [row["path"] for row in written.collect()]
+    return materialise(written, "archive-paths")
+
+
+def _write_cut_gzip(batches: Iterator[pd.DataFrame], path: str) -> Iterator[pd.DataFrame]:
+    from pyarrow import fs
+
+    lines = [line for batch in batches for line in batch["value"]]
+    content = gzip.compress("\n".join(lines).encode(), 1)
+    files, inner = fs.FileSystem.from_uri(path)
+    with files.open_output_stream(inner, compression=None) as out:
+        out.write(content[: len(content) // 2])
+    yield pd.DataFrame({"path": [path]})
+
+
+def write_cut_gzip(lines: DataFrame, path: str) -> str:
+    """Write a few lines (``value``) to one gzip file, and only the first half of that."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    whole = qualified(lines.sparkSession, path)
+    lines.select("value").coalesce(1).mapInPandas(lambda b: _write_cut_gzip(b, whole), "path string").collect()
+    return path

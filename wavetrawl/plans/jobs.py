@@ -6,6 +6,7 @@ loses at most the group it was in. Damaged archives are noted under ``errors`` a
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -13,10 +14,10 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from wavetrawl.operators.ordering import first_in_order
+from wavetrawl.operators.ordering import first_in_order, number_rows
 from wavetrawl.plans import routes
 from wavetrawl.sources import snapshots
-from wavetrawl.sources.archives import BROKEN, read_archives
+from wavetrawl.sources.archives import BROKEN, scan_archives
 
 # Archives that are read and noted together.
 GROUP = 1_000
@@ -39,6 +40,19 @@ def pending_paths(
     return snapshots.pending(snapshots.with_output_names(chosen), _done(spark, out), overwrite=overwrite)
 
 
+def archives_of_range(spark: SparkSession, index: str, start: str, end: str, prefix: str = snapshots.DATA_PREFIX) -> DataFrame:
+    """The archives of all snapshots of a range, ``snapshot_id, url``: index, range, path lists, paths.
+
+    ``index`` and ``prefix`` name a copy that Spark can read. One path list per snapshot, that is per week, is named on
+    the driver; the archives are not.
+    """
+    chosen = snapshots.select_snapshots(snapshots.read_snapshot_index(spark, index), start, end)
+    lists = [row.url for row in snapshots.path_list_urls(chosen, prefix).collect()]
+    if not lists:
+        return spark.createDataFrame([], "snapshot_id string, url string")
+    return snapshots.read_path_lists(spark, lists, prefix)
+
+
 def _run(
     spark: SparkSession,
     archives: DataFrame,
@@ -47,34 +61,40 @@ def _run(
     max_files: int | None,
     overwrite: bool,
     group: int,
+    content_type: str | None = None,
 ) -> DataFrame:
     """Mine the pending archives into ``out/links`` and note them in ``out/done``.
 
     Links are written to one folder per archive, which a run replaces as a whole. The note comes last, so
     a run that fails in between is simply repeated. A damaged archive gives the links before the damage and a
-    row in ``out/errors``; it stays pending. Only file names reach the driver: the file list of a scan lives
-    there in any case.
+    row in ``out/errors``; it stays pending. The list of archives stays a table: the driver only counts it, and hears
+    the names of a group's damaged archives.
     """
-    todo = pending_paths(spark, archives, out, max_files, overwrite).select("archive", "url").collect()
-    mined = []
-    for at in range(0, len(todo), group):
-        some = todo[at : at + group]
-        damaged = _mine_group(spark, [row.url for row in some], out, mine)
-        sound = [(row.archive,) for row in some if row.url not in damaged]
-        lost = [(row.archive, row.url) for row in some if row.url in damaged]
-        if lost:
-            spark.createDataFrame(lost, "archive string, url string").write.mode("append").json(f"{out}/errors")
-        if sound:
-            spark.createDataFrame(sound, "archive string").write.mode("append").json(f"{out}/done")
-        mined += sound
-    return spark.createDataFrame(mined, "archive string")
-
-
-def _mine_group(spark: SparkSession, urls: list[str], out: str, mine: Callable[[DataFrame], DataFrame]) -> set[str]:
+    run = uuid.uuid4().hex
+    pending = pending_paths(spark, archives, out, max_files, overwrite).select("archive", "url")
+    todo = number_rows(pending, ["url"], "place")
+    count = todo.count()
+    for at in range(0, count, group):
+        some = todo.filter(F.col("place").between(at, at + group - 1)).drop("place")
+        damaged = _mine_group(some, out, mine, content_type)
+        is_damaged = F.col("url").isin(damaged)
+        if damaged:
+            some.filter(is_damaged).write.mode("append").json(f"{out}/errors")
+        sound = some.filter(~is_damaged).select("archive", F.lit(run).alias("run"))
+        sound.coalesce(1).write.mode("append").json(f"{out}/done")
+    if not count:
+        return spark.createDataFrame([], "archive string")
+    noted = spark.read.schema("archive string, run string").json(f"{out}/done")
+    return noted.filter(F.col("run") == run).select("archive")
+
+
+def _mine_group(
+    paths: DataFrame, out: str, mine: Callable[[DataFrame], DataFrame], content_type: str | None
+) -> list[str]:
     """Write the links of some archives, and give those that are damaged: seen by the same scan."""
     seen = Observation()
     broken = F.when(F.col("rec_type") == BROKEN, F.col("archive"))
-    crawl = read_archives(spark, urls, rec_type="response", damage=True)
+    crawl = scan_archives(paths, rec_type="response", content_type=content_type, damage=True)
     links = mine(crawl.observe(seen, F.collect_set(broken).alias("damaged")))
     (
         links.withColumn("archive", F.element_at(F.split("archive", "/"), -1))
@@ -83,7 +103,7 @@ def _mine_group(spark: SparkSession, urls: list[str], out: str, mine: Callable[[
         .partitionBy("archive")
         .json(f"{out}/links")
     )
-    return set(seen.get["damaged"])
+    return list(seen.get["damaged"])
 
 
 def mine_feeds(
@@ -112,4 +132,4 @@ def mine_pages(
     def mine(crawl: DataFrame) -> DataFrame:
         return routes.page_links_of_records(crawl, model, language, _KEEP)
 
-    return _run(spark, archives, out, mine, max_files, overwrite, group)
+    return _run(spark, archives, out, mine, max_files, overwrite, group, content_type="html")

@@ -48,11 +48,23 @@ SQL["crawl_records_scan"] = f"""
 SELECT rec_type, target_uri, coalesce(content_type, '') AS content_type, cast(strlen(body) AS bigint) AS n_bytes,
   md5(body) AS digest FROM {_R} WHERE rec_type = 'response'"""
 
+SQL["header_texts"] = f"""
+SELECT source, record_id, coalesce(content_type || CASE WHEN record_id % 3 = 0 THEN '�' ELSE '' END, '') AS content_type
+FROM {_R}"""
+SQL["html_records_scan"] = f"""
+SELECT rec_type, target_uri, content_type FROM {_R} WHERE rec_type = 'response' AND content_type LIKE '%html%'"""
+SQL["range_archives"] = f"""
+SELECT snapshot_id, path FROM {_A} WHERE snapshot_id BETWEEN '2014-01' AND '2018-30'"""
+
 # Link tables in files
 
 _PUBLISHED = f"SELECT audio_url, title, description, language, page_url FROM {_L}"
 SQL["jsonl_roundtrip"] = _PUBLISHED
 SQL["compact_links"] = _PUBLISHED
+SQL["compact_report"] = f"""
+SELECT 'packed' AS outcome, CAST(NULL AS VARCHAR) AS file, count(*) AS n FROM {_L}
+UNION ALL SELECT 'broken', NULL, count(*) FROM {_L} WHERE link_pos % 41 = 2
+UNION ALL SELECT 'damaged', 'cut.json.gz', 1"""
 SQL["publish_links"] = _PUBLISHED
 SQL["language_counts_scan"] = f"SELECT language, count(*) AS count FROM {_L} GROUP BY 1"
 _FIRSTS = f"""
@@ -66,10 +78,11 @@ SQL["global_link_dedup"] = _FIRSTS
 SQL["html_responses"] = f"""
 SELECT source, record_id, target_uri, content_type FROM {_R}
 WHERE rec_type = 'response' AND content_type LIKE '%html%'"""
-SQL["decode_pages"] = r"""
+_SCRIPTS = fixtures.SCRIPTS.replace("octet_length(text)", "strlen(text)")
+SQL["decode_pages"] = rf"""
 SELECT doc_id, md5(t) AS digest, cast(length(t) AS bigint) AS n_chars FROM (SELECT doc_id, CASE
-  WHEN doc_id % 3 > 0 AND NOT regexp_matches(text, '[^\x00-\x{ff}]') THEN '<meta charset="iso-8859-1">' || text
-  ELSE text END AS t FROM documents)"""
+  WHEN charset IS NULL AND doc_id % 3 > 0 AND NOT regexp_matches(text, '[^\x00-\x{{ff}}]')
+    THEN '<meta charset="iso-8859-1">' || text ELSE text END AS t FROM ({_SCRIPTS}))"""
 SQL["pages_by_lang_attr"] = "SELECT page_id, url FROM pages WHERE page_id % 5 = 0"
 SQL["feed_records"] = f"""
 SELECT source, record_id, target_uri FROM {_R}
@@ -204,7 +217,8 @@ SQL["link_license"] = f"SELECT page_id, audio_url, license FROM ({_CANDIDATES})
 _SHAPES = """
 SELECT o_orderkey AS k, o_orderpriority AS prio, lower(n_name) AS lang,
   CASE WHEN o_orderkey % 11 = 3 THEN 'rdf' WHEN o_orderkey % 13 = 4 THEN 'cut' WHEN o_orderkey % 17 = 5 THEN 'junk'
-    WHEN o_orderkey % 19 = 6 THEN 'atom' WHEN o_orderkey % 23 = 7 THEN 'stray' ELSE 'rss' END AS shape
+    WHEN o_orderkey % 19 = 6 THEN 'atom' WHEN o_orderkey % 23 = 7 THEN 'stray' WHEN o_orderkey % 29 = 8 THEN 'deep'
+    WHEN o_orderkey % 31 = 9 THEN 'late' ELSE 'rss' END AS shape
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
 _FEED_ITEMS = f"""
 SELECT k, lang, prio, 0 AS item_pos, k % 4 AS kind FROM ({_SHAPES}) WHERE shape NOT IN ('junk', 'atom')
@@ -257,11 +271,14 @@ WHERE link_pos % 7 IN (2, 3, 4, 5) OR (link_pos % 7 = 6 AND {_FILLED})"""
 _DOMAIN = """CASE o_custkey % 10
   WHEN 0 THEN 'example.com' WHEN 1 THEN 'example.co.jp' WHEN 2 THEN 'example.co.uk' WHEN 3 THEN '192.0.2.1'
   WHEN 4 THEN 'example.org' WHEN 5 THEN 'podcast.com.au' WHEN 6 THEN 'localhost' WHEN 7 THEN 'city.kawasaki.jp'
-  WHEN 8 THEN 'shop.foo.ck' ELSE 'example.com' END"""
+  WHEN 8 THEN 'shop.foo.ck' WHEN 9 THEN CASE WHEN o_orderkey % 2 = 0 THEN 'pod.xyz' ELSE 'example.com' END
+  ELSE 'example.com' END"""
+_RULE = """CASE WHEN audio_url = '' THEN 'none' WHEN o_custkey % 10 = 3 THEN 'address'
+  WHEN o_custkey % 10 = 6 OR (o_custkey % 10 = 9 AND o_orderkey % 2 = 0) THEN 'unlisted' ELSE 'listed' END"""
 _DOMAINS = f"""
-SELECT link_pos, audio_url, language, CASE WHEN audio_url = '' THEN '' ELSE {_DOMAIN} END AS domain
+SELECT link_pos, audio_url, language, CASE WHEN audio_url = '' THEN '' ELSE {_DOMAIN} END AS domain, {_RULE} AS rule
 FROM {_L} JOIN orders ON o_orderkey = link_pos WHERE audio_url IS NOT NULL"""
-SQL["registered_domain"] = f"SELECT link_pos, audio_url, domain FROM ({_DOMAINS})"
+SQL["registered_domain"] = f"SELECT link_pos, audio_url, domain, rule FROM ({_DOMAINS})"
 SQL["truthy_links"] = f"""
 SELECT link_pos, audio_url, substring(title, 1, 5) AS short_title FROM {_L} WHERE {_FILLED} AND description <> ''"""
 
@@ -274,9 +291,14 @@ SELECT {key}, n, cast(n AS double) / sum(n) OVER () * 100.0 AS pct
 FROM (SELECT {key}, count(*) AS n FROM ({rows}) GROUP BY 1) ORDER BY n DESC, {key} LIMIT {k}"""
 
 
-SQL["top_domains"] = _top("domain", f"SELECT domain FROM ({_DOMAINS}) WHERE domain <> ''", 20)
-SQL["top_domains_for_language"] = _top(
-    "domain", f"SELECT domain FROM ({_DOMAINS}) WHERE domain <> '' AND {_JAPANESE}", 20
+def _top_domains(rows: str) -> str:
+    unlisted = f"cast(sum(cast(rule = 'unlisted' AS int)) AS double) / count(*) * 100.0 AS unlisted_pct FROM ({rows})"
+    return f"SELECT d.*, u.unlisted_pct FROM ({_top('domain', rows, 20)}) d, (SELECT {unlisted}) u"
+
+
+SQL["top_domains"] = _top_domains(f"SELECT domain, rule FROM ({_DOMAINS}) WHERE domain <> ''")
+SQL["top_domains_for_language"] = _top_domains(
+    f"SELECT domain, rule FROM ({_DOMAINS}) WHERE domain <> '' AND {_JAPANESE}"
 )
 SQL["top_languages"] = _top("language", f"SELECT language FROM {_L}", 15)
 SQL["links_by_language"] = f"SELECT link_pos, language FROM {_L} WHERE {_JAPANESE}"
@@ -296,11 +318,16 @@ FROM r WHERE place > 3"""
 SQL["rows_per_archive"] = f"SELECT archive, count(*) AS n FROM {_L} GROUP BY 1"
 _HOST = "regexp_replace(regexp_extract(audio_url, '^https://([^/]+)', 1), '^[^@]*@|:[0-9]+$', '', 'g')"
 _SLOTS = """
-SELECT host, audio_url, row_number() OVER (PARTITION BY host ORDER BY audio_url, link_pos) AS slot
+SELECT host, audio_url, row_number() OVER (PARTITION BY host ORDER BY audio_url, link_pos) AS slot,
+  row_number() OVER (ORDER BY host, audio_url, link_pos) - 1 AS no
 FROM (SELECT *, {host} AS host FROM ({rows}))"""
 SQL["fetch_plan"] = f"""
-SELECT host, audio_url, slot, cast(slot - 1 AS double) AS start_second
-FROM ({_SLOTS.format(host=_HOST, rows=_FIRSTS)})"""
+WITH p AS ({_SLOTS.format(host=_HOST, rows=_FIRSTS)}), s AS (SELECT greatest(max(slot), (count(*) + 15) // 16) AS span FROM p)
+SELECT host, audio_url, slot, no // span AS lane, cast(no % span AS double) AS start_second FROM p, s"""
+SQL["fetch_schedule"] = f"""
+SELECT cast(sum(n) AS bigint) AS requests, count(*) AS hosts, max(n) AS longest,
+  cast(greatest(max(n), (sum(n) + 15) // 16) AS double) AS finish_second
+FROM (SELECT {_HOST} AS host, count(*) AS n FROM {_L} WHERE {_FILLED} GROUP BY 1)"""
 SQL["fetch_bounds"] = f"""
 SELECT {_HOST} AS host, count(*) AS requests, cast(count(*) AS double) AS finish_second
 FROM {_L} WHERE {_FILLED} GROUP BY 1"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,6 +47,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme: one without is on the default file system, as for Spark's own readers."""
+    if re.match("[a-zA-Z][a-zA-Z0-9+.-]*:/", path):
+        return path
+    return f"{default_store(spark)}/{path.lstrip('/')}"
+
+
+def default_store(spark: SparkSession) -> str:
+    """The root of the default file system without its last slash, such as ``file://`` or ``hdfs://name:8020``."""
+    root = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    return "file://" if root.startswith("file:") else root.rstrip("/")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under :func:`checkpoint_root`."""
     return f"{checkpoint_root(spark).rstrip('/')}/wavetrawl/{label}-{uuid.uuid4().hex}"

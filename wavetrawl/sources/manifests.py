@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
@@ -23,24 +23,39 @@ def assign_shards(rows: DataFrame, order: list[str], shard_size: int = SHARD_SIZ
     )
 
 
+def with_shard(cuts: DataFrame, shard_size: int = SHARD_SIZE) -> DataFrame:
+    """Add the ``shard`` that a cut's id, as :func:`assign_shards` gives it, belongs to."""
+    number = F.regexp_extract("id", r"^audio_(\d+)$", 1).cast("bigint")
+    return cuts.withColumn("shard", F.floor(number / shard_size))
+
+
 def write_manifest(cuts: DataFrame, folder: str) -> None:
-    """Write cuts with a ``shard`` column as gzip JSON lines, one sub-folder per shard.
+    """Write cuts with a ``shard`` column as gzip JSON lines, one sub-folder per table and shard.
 
-    Cuts and recordings go to two tables of their own; :func:`read_manifest` brings them together.
-    Numbered rows lie in shard order, so each task writes whole shards but for its first and last.
+    Cuts and recordings go to two tables, which :func:`read_manifest` brings together. Both come out of one write: a
+    cut is two lines of it, so the cuts are worked out once. Rows are dealt by shard, so a shard is one file.
     """
-    light = cuts.withColumn("recording", F.struct(F.col("recording.id").alias("id")))
-    recordings = cuts.select("shard", "recording.*")
-    for table, rows in (("cuts", light), ("recordings", recordings)):
-        rows.write.mode("overwrite").partitionBy("shard").option("compression", "gzip").json(f"{folder}/{table}")
+    cut = F.struct(*[_light_column(name) for name in cuts.columns if name != "shard"])
+    lines = [
+        F.struct(F.lit("cuts").alias("table"), F.to_json(cut).alias("value")),
+        F.struct(F.lit("recordings").alias("table"), F.to_json("recording").alias("value")),
+    ]
+    dealt = cuts.repartition("shard").select("shard", F.inline(F.array(*lines)))
+    dealt.write.mode("overwrite").partitionBy("table", "shard").option("compression", "gzip").text(folder)
+
+
+def _light_column(name: str) -> Column:
+    """A cut's column, of the recording only the id."""
+    return F.struct(F.col("recording.id").alias("id")).alias("recording") if name == "recording" else F.col(f"`{name}`")
 
 
 def read_cuts(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(T.StructType([*schemas.CUTS, _SHARD])).json(f"{folder}/cuts")
+    return spark.read.schema(T.StructType([*schemas.CUTS, _SHARD])).json(f"{folder}/table=cuts")
 
 
 def read_recordings(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(T.StructType([*schemas.RECORDING, _SHARD])).json(f"{folder}/recordings").drop("shard")
+    recordings = spark.read.schema(T.StructType([*schemas.RECORDING, _SHARD])).json(f"{folder}/table=recordings")
+    return recordings.drop("shard")
 
 
 def attach_recordings(cuts: DataFrame, recordings: DataFrame) -> DataFrame:
