@@ -35,8 +35,9 @@ _FREQUENT = tuple((charset, re.compile(f"[{chars}]")) for charset, chars in FREQ
 _OTHER = re.compile(r"[^\x00-\x7f]")
 _ALONE = re.compile(r"(?<![^\x00-\x7f])[^\x00-\x7f](?![^\x00-\x7f])")
 # The least share of kana, of other frequent characters, and, for Western texts, of characters that stand alone between
-# ASCII characters; always among the characters beyond ASCII.
+# ASCII characters; always among the characters beyond ASCII. Fewer characters than the last do not show a language.
 MIN_KANA, MIN_FREQUENT, MIN_ALONE = 0.1, 0.06, 0.5
+MIN_CHARACTERS = 6
 
 _DECLARED = re.compile(rb"""(?i)(?:charset|encoding)\s*=\s*["']?\s*([a-z0-9_.:-]+)""")
 # The places that are meant to declare one, which count before any other mention.
@@ -105,7 +106,9 @@ def _decode_other(raw: bytes | None) -> str | None:
     best = (MIN_FREQUENT, western)
     for charset, frequent in _FREQUENT:
         text = _decoded(raw, charset)
-        if text is not None and (share := _share(frequent, text)) > best[0]:
+        if text is None or len(_OTHER.findall(text)) < MIN_CHARACTERS:
+            continue
+        if (share := _share(frequent, text)) > best[0]:
             best = (share, text)
     return best[1]
 
