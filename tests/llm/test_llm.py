@@ -266,6 +266,74 @@ def test_rules_bound_and_edges(spark, odd, labels):
     assert rules.apply_rules(odd.limit(0), labels.limit(0)).count() == 0
 
 
+def exact_tail(n, k, p):
+    from fractions import Fraction
+    from math import comb
+
+    rate = Fraction(p)
+    return float(sum(comb(n, i) * rate**i * (1 - rate) ** (n - i) for i in range(k + 1)))
+
+
+@pytest.mark.parametrize("n, p", [(1, 0.5), (40, 0.01), (300, 0.05), (700, 0.3)])
+def test_binomial_tail_is_exact(n, p):
+    for k in {0, 1, int(n * p), int(n * p) + 1, n // 2, n - 1}:
+        assert rules.binomial_tail(n, min(k, n - 1), p) == pytest.approx(exact_tail(n, min(k, n - 1), p), rel=1e-9)
+
+
+def test_binomial_tail_of_many_trials():
+    from math import erf, sqrt
+
+    for n, k in ((33_000, 916), (50_000, 1_390), (1_000_000, 27_800), (1_000_000, 999_999)):
+        assert rules.binomial_tail(n, k, 0.05 / 7) == pytest.approx(1)
+    n, p = 1_000_000, 0.01
+    for k in (9_700, 9_900, 10_000, 10_100, 10_300):
+        normal = (1 + erf((k + 0.5 - n * p) / sqrt(2 * n * p * (1 - p)))) / 2
+        assert rules.binomial_tail(n, k, p) == pytest.approx(normal, abs=2e-3)
+    assert 0 < rules.binomial_tail(n, 9_000, p) < 1e-20
+    assert rules.binomial_tail(n, 100, 0.05) == 0
+
+
+def test_op5_verdicts_match_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    texts = {row["doc_id"]: row["text"] or "" for row in read_table(spark, sf, "documents").collect()}
+    good = {row["doc_id"] for row in read_table(spark, sf, "labels").collect() if row["quality"] == 1}
+    measured = {}
+    for i, text in texts.items():
+        n, chars, symbols, dups, repeats = brute_measures(text)
+        lines_ = sum(bool(line.strip(" \t\n\v\f\r")) for line in text.split("\n"))
+        measured[i] = {
+            "symbols": symbols / n if n else None, "dup_lines": dups / max(lines_, 1), "repeats": repeats / n if n else None,
+            "long_words": chars / n if n else None, "short_words": chars / n if n else None,
+            "capitals": sum(c.isupper() for c in text) / max(chars, 1),
+            "exclamations": text.count("!") / n if n else None,
+            "failed": n < 50 or 100 * repeats > 50 * n, "stratum": (n >= 150) + (n >= 500),
+        }
+
+    def beyond(rule, value, cutoff):
+        return value is not None and (value > cutoff if rule.above else value < cutoff)
+
+    level, chosen = rules.DELTA / (3 * len(rules.RULES)), {}
+    for stratum in range(3):
+        own = [m for i, m in measured.items() if i in good and not m["failed"] and m["stratum"] == stratum]
+        for rule in rules.RULES:
+            for cutoff in rule.cutoffs:
+                lost = sum(beyond(rule, m[rule.name], cutoff) for m in own)
+                if not own or exact_tail(len(own), lost, rules.RISK / len(rules.RULES)) > level:
+                    break
+                chosen[stratum, rule.name] = cutoff
+    want = {
+        i: not m["failed"]
+        and not any(
+            beyond(rule, m[rule.name], chosen[m["stratum"], rule.name])
+            for rule in rules.RULES
+            if (m["stratum"], rule.name) in chosen
+        )
+        for i, m in measured.items()
+    }
+    rows = QUERIES["op5_quality_rules"](spark, sf).collect()
+    assert {row["doc_id"]: row["kept"] for row in rows} == want
+
+
 def test_op6_matches_brute_force(spark, small, texts):
     places = defaultdict(list)
     for i, text in texts.items():

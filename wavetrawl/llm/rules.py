@@ -111,16 +111,25 @@ def stratum(classes: tuple[int, ...] = LENGTH_CLASSES) -> Column:
 
 
 def binomial_tail(n: int, k: int, p: float) -> float:
-    """P(X <= k) of n trials with rate p, exact to rounding."""
+    """P(X <= k) of n trials with rate p, exact to rounding.
+
+    The terms are summed from the largest of them, at the mode or at k, to both sides, in proportion to it: none
+    overflows, and each side ends where terms no longer count.
+    """
     if k >= n:
         return 1.0
-    total, top = 0.0, None
-    for i in range(k, -1, -1):
-        term = lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * log(p) + (n - i) * log1p(-p)
-        top = term if top is None else top
-        total += exp(term - top)
-        if term - top < -60:
-            break
+
+    def term(i: int) -> float:
+        return lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * log(p) + (n - i) * log1p(-p)
+
+    peak = min(k, int((n + 1) * p))
+    top, total = term(peak), 0.0
+    for side in (range(peak, -1, -1), range(peak + 1, k + 1)):
+        for i in side:
+            share = exp(term(i) - top)
+            total += share
+            if share < 1e-25:
+                break
     return min(1.0, exp(top + log(total)))
 
 
