@@ -334,29 +334,102 @@ def test_op5_verdicts_match_brute_force(spark):
     assert {row["doc_id"]: row["kept"] for row in rows} == want
 
 
-def test_op6_matches_brute_force(spark, small, texts):
+def line_places(texts):
     places = defaultdict(list)
     for i, text in texts.items():
         for no, line in enumerate(text.split("\n")):
             if plain := lines.normalise_line(line):
                 places[plain].append((i, no))
-    known = list(places)
-    prints = dict(zip(known, lines.line_prints(known).tolist()))
-    near = [
-        (a, b)
-        for n, a in enumerate(known)
-        for b in known[n + 1 :]
-        if ((prints[a] ^ prints[b]) & (1 << 64) - 1).bit_count() <= lines.MAX_BITS
-        and lines.edit_distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9)
-    ]
+    return places
+
+
+def similar(a, b):
+    most = int(0.2 * max(len(a), len(b)) + 1e-9)
+    return lines.edit_distance(a, b, most) <= most
+
+
+def kept_texts(texts, places, linked):
     by_root = defaultdict(list)
-    for line, root in groups(known, near).items():
+    for line, root in groups(list(places), linked).items():
         by_root[root] += places[line]
     dropped = {place for found in by_root.values() for place in found if place != min(found)}
-    want = {
+    return {
         i: "\n".join(line for no, line in enumerate(text.split("\n")) if (i, no) not in dropped) for i, text in texts.items()
     }
-    assert {row["doc_id"]: row["text"] for row in QUERIES["op6_line_dedup"](spark, small).collect()} == want
+
+
+def test_op6_matches_brute_force(spark, small, texts):
+    """All pairs that agree in a block, and all pairs by plain edit similarity: the same lines stay."""
+    places = line_places(texts)
+    known = list(places)
+    blocks = dict(zip(known, map(set, lines.BlockPrints().of(known))))
+    plain = [(a, b) for n, a in enumerate(known) for b in known[n + 1 :] if similar(a, b)]
+    near = [(a, b) for a, b in plain if blocks[a] & blocks[b]]
+    assert len(plain) > 20 and len(near) >= 0.95 * len(plain)
+    rows = {row["doc_id"]: row["text"] for row in QUERIES["op6_line_dedup"](spark, small).collect()}
+    assert rows == kept_texts(texts, places, near)
+
+
+def edited(rng, line, share, words):
+    units = line.split(" ") if words else list(line)
+    for _ in range(max(1, int(share * len(units)))):
+        units[rng.integers(len(units))] = "".join(rng.choice(list("本人日大行見中学" if "の" in line or "日" in line else "abcdefgh"), 1 if not words else 4))
+    return (" " if words else "").join(units)
+
+
+JA_LINES = (
+    "今日は朝から雨が降っていたので家で本を読みました", "このラジオ番組は毎週金曜日の夜に放送されています",
+    "新しい音声ファイルはこちらからダウンロードできます", "東京では桜の花が咲き始めて多くの人が公園に集まりました",
+)
+
+
+@pytest.mark.parametrize("low, high, share, words", [(3, 6, 0.1, False), (7, 14, 0.1, True), (15, 40, 0.1, True), (41, 90, 0.05, True)])
+def test_edited_lines_agree_in_a_block(texts, low, high, share, words):
+    """Recall of the blocks by length class, against plain edit similarity."""
+    rng = np.random.default_rng(9)
+    long = [line.split(" ") for line in line_places(texts) if line.count(" ") >= high]
+    pairs = []
+    for n in range(400):
+        source = long[n % len(long)]
+        line = " ".join(source[: rng.integers(low, high + 1)])
+        other = edited(rng, line, share, words)
+        if line != other and similar(line, other):
+            pairs.append((line, other))
+    prints = lines.BlockPrints()
+    met = [bool(set(a) & set(b)) for a, b in (prints.of(pair) for pair in pairs)]
+    assert len(pairs) > 100 and sum(met) >= 0.9 * len(met), sum(met) / len(met)
+
+
+def test_edited_japanese_lines_agree_in_a_block():
+    rng = np.random.default_rng(10)
+    for changes in (1, 2):
+        pairs = []
+        for n in range(200):
+            line = "".join(rng.permutation(JA_LINES)[: 1 + n % 4])
+            pairs.append((line, edited(rng, line, changes / len(line) + 1e-9, False)))
+        prints = lines.BlockPrints()
+        met = [bool(set(a) & set(b)) for a, b in (prints.of(pair) for pair in pairs)]
+        assert sum(met) >= 0.9 * len(met), (changes, sum(met) / len(met))
+
+
+def test_large_groups_of_similar_lines_are_found(spark):
+    """Buckets far larger than those that are paired out, with several groups in them and lines that belong nowhere."""
+    rng = np.random.default_rng(11)
+    vocabulary_ = ["".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(400)]
+    common = list(rng.choice(vocabulary_, 20))
+    bases = [common + list(rng.choice(vocabulary_, 20)) for _ in range(6)]
+    rows = []
+    for i in range(600):
+        words = list(bases[i % 6])
+        words[rng.integers(40)] = str(rng.choice(vocabulary_))
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, " ".join([*common[:10], *rng.choice(vocabulary_, 30)])) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = {row["doc_id"] for row in lines.dedup_lines(docs).collect() if row["text"]}
+    places = line_places(dict(rows))
+    known = list(places)
+    want = kept_texts(dict(rows), places, [(a, b) for n, a in enumerate(known) for b in known[n + 1 :] if similar(a, b)])
+    assert left == {i for i, text in want.items() if text} and len(left) < 120
 
 
 def test_lines_edges(spark, odd):
@@ -367,6 +440,34 @@ def test_lines_edges(spark, odd):
     assert lines.edit_distance("kitten", "sitting") == 3 and lines.edit_distance("", "ab") == 2
 
 
+def test_edit_distance_with_a_limit():
+    rng = np.random.default_rng(12)
+
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    for _ in range(400):
+        a, b = ("".join(rng.choice(list("abc"), rng.integers(0, 20))) for _ in range(2))
+        most = int(rng.integers(0, 12))
+        assert lines.edit_distance(a, b) == plain(a, b)
+        got = lines.edit_distance(a, b, most)
+        assert got == plain(a, b) if plain(a, b) <= most else got > most
+
+
+@pytest.mark.parametrize("name", ["own_key", "drop", "drop_id", "kept_id", "kept_key", "key", "line", "__id", "__text"])
+def test_columns_of_the_same_names_stay(spark, name):
+    rows = [(1, "a line of words", 5), (2, "a line of words", 6), (3, "b", 7)]
+    docs = spark.createDataFrame(rows, f"doc_id bigint, text string, `{name}` int")
+    assert sorted(row[name] for row in lines.dedup_lines(docs).collect()) == [5, 6, 7]
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(row[name] for row in kept.collect()) == [5, 7]
+
+
 @pytest.fixture(scope="module")
 def library():
     return Tokenizer.from_file(vocabulary())

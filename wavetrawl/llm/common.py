@@ -29,6 +29,16 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(quoted(id_col).alias(ID), F.coalesce(quoted(text_col), F.lit("")).alias(TEXT))
 
 
+def fresh(frame: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many marks before it as no column of the frame has."""
+    taken, result = {c.lower() for c in frame.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        result.append(name)
+    return result
+
+
 def compact(rows: DataFrame, at_most: int) -> DataFrame:
     """Fewer tasks for a table known to have ``at_most`` so many rows; it never has more rows per task than
     ``ROWS_PER_TASK`` by that, nor more tasks than before."""

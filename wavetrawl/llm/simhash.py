@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavetrawl.llm.common import ID, TEXT, id_and_text, materialise, quoted, text_key
+from wavetrawl.llm.common import ID, TEXT, fresh, id_and_text, materialise, quoted, text_key
 from wavetrawl.llm.components import connected_components
 
 BITS = 64
@@ -139,8 +139,9 @@ def keep_one(
     groups = fingerprint_groups(docs, id_col, text_col, shingle, max_bits)
     order = F.struct(F.col(ID).isNull().alias("none"), F.col(ID).alias("id"), F.col("key").alias("key"))
     kept = groups.groupBy("root").agg(F.min(order).alias("kept")).select("kept.id", "kept.key")
-    kept = materialise(kept.select(F.col("id").alias("__kept_id"), F.col("key").alias("__kept_key")), "kept")
-    keyed = docs.withColumn("__text_key", text_key(quoted(text_col)))
-    same = quoted(id_col).eqNullSafe(F.col("__kept_id")) & (F.col("__text_key") == F.col("__kept_key"))
+    kept_id, kept_key, own_key = fresh(docs, "kept_id", "kept_key", "own_key")
+    kept = materialise(kept.select(F.col("id").alias(kept_id), F.col("key").alias(kept_key)), "kept")
+    keyed = docs.withColumn(own_key, text_key(quoted(text_col)))
+    same = quoted(id_col).eqNullSafe(F.col(kept_id)) & (F.col(own_key) == F.col(kept_key))
     left = keyed.join(kept, same, "left_semi")
-    return left.dropDuplicates([id_col, "__text_key"]).drop("__text_key")
+    return left.dropDuplicates([id_col, own_key]).drop(own_key)
