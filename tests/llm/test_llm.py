@@ -119,6 +119,57 @@ def test_leaks_found_exactly(spark, small, texts):
         )
 
 
+def test_excerpts_are_found_at_every_offset(spark):
+    items = [row["text"] for row in read_table(spark, "/root/testdata/sf0.1", "benchmark").collect()]
+    items = [text for text in map(decontaminate.normalise, items) if len(text) >= 100][:30]
+    index = decontaminate.BenchmarkIndex(list(enumerate(items)))
+    least = decontaminate.LEAST_PASSAGE
+    assert least <= 80
+    rng = np.random.default_rng(13)
+    cases = []
+    for item, text in enumerate(items):
+        for at in range(len(text) - least + 1):
+            passage = text[at : at + least]
+            cases.append((item, f"zq {passage} qz"))
+            place = int(rng.integers(least))
+            cases.append((item, f"zq {passage[:place]}#{passage[place + 1 :]} qz"))
+    found = index.search([text for _, text in cases])
+    assert len(cases) > 1000 and all(item in {row[0] for row in rows} for (item, _), rows in zip(cases, found))
+
+
+def test_windows_like_brute_force():
+    """Exactly the windows within the edit budget: every stretch of each text aligned with each window."""
+    rng = np.random.default_rng(14)
+    words = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(40)]
+    items = [(n, " ".join(rng.choice(words, 14))) for n in range(6)]
+    texts = []
+    for _ in range(60):
+        letters = list(items[rng.integers(6)][1])
+        for _ in range(rng.integers(0, 14)):
+            at = rng.integers(len(letters))
+            letters[at] = rng.choice(["", "x", letters[at] + "y"])
+        at = int(rng.integers(0, 30))
+        texts.append(decontaminate.normalise(" ".join(rng.choice(words, 3)) + " " + "".join(letters)[at:]))
+
+    def least_edits(window, text):
+        cost = [0] * (len(text) + 1)
+        for i, x in enumerate(window, 1):
+            last, cost[0] = cost[0], i
+            for j, y in enumerate(text, 1):
+                last, cost[j] = cost[j], min(cost[j] + 1, cost[j - 1] + 1, last + (x != y))
+        return min(cost)
+
+    want = []
+    for text in texts:
+        counts = Counter()
+        for item, whole in items:
+            for window in decontaminate.windows_of(whole):
+                counts[item] += least_edits(window, text) <= decontaminate.budget(len(window))[0]
+        want.append({item: n for item, n in counts.items() if n})
+    found = decontaminate.BenchmarkIndex(items).search(texts)
+    assert [{row[0]: row[1] for row in rows} for rows in found] == want and any(want)
+
+
 def test_leaks_with_edits_and_edges(spark, small, odd):
     item = read_table(spark, small, "benchmark").first()["text"]
     edited = item[:40] + "#" + item[41:90] + item[92:]

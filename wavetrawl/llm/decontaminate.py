@@ -4,7 +4,8 @@ Texts are compared in lower case with runs of white space as one space. Each ben
 overlapping windows. If a window of ``L`` characters occurs with at most ``e`` edits, the occurrence shares at least
 ``L + 1 - q - q e`` of its q-grams, all on at most ``e + 1`` neighbouring diagonals (place in the text less place in
 the window). So shared q-grams are counted in bands of ``2 (e + 1)`` diagonals that overlap by half; bands that reach
-the bound are verified by an alignment limited to the band. Nothing within the edit budget is missed.
+the bound are verified by an alignment limited to the band. No window within the edit budget is missed, so no passage
+of ``LEAST_PASSAGE`` characters (some 13 words) or more is, if one of its windows is copied within that budget.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 from wavetrawl.llm.common import ID, TEXT, id_and_text, quoted
 
 Q = 8
-WINDOW = 128
-STEP = 64
+WINDOW = 56
+STEP = 24
+# Any stretch of an item that is this long holds a whole window, wherever it begins.
+LEAST_PASSAGE = WINDOW + STEP - 1
 EDITS_PER_CHAR = 0.1
 # A benchmark with more characters than this is searched for in blocks of about this size.
 BLOCK_CHARS = 4_000_000
