@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator, Sequence
-from itertools import filterfalse
+from itertools import islice
 
 import numpy as np
 
@@ -38,24 +38,31 @@ class ChunkEncoder:
         return [text] if whole else text.split(" ")
 
     def encode(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
-        """The ids of each text. Texts are cut twice, as their chunks would take many times their room."""
+        """The ids of each text. Of a text's chunks only those not known are held until they are."""
         known, older = self._known, self._older
-        missing: set[str] = set()
+        held: list[tuple[str, list[bytes | None]]] = []
+        gaps: list[tuple[list[bytes | None], list[int], list[str]]] = []
         first: dict[str, bytes] = {}
         for text in texts:
-            start, *rest = self._cut(text)
-            first[start] = b""
-            missing.update(filterfalse(known.__contains__, rest))
-        again = missing.intersection(older)
-        known.update((chunk, older[chunk]) for chunk in again)
-        new = list(missing.difference(again))
+            cut = self._cut(text)
+            parts = list(map(known.get, islice(cut, 1, None)))
+            if None in parts:
+                places = [i for i, part in enumerate(parts) if part is None]
+                gaps.append((parts, places, [cut[i + 1] for i in places]))
+            first[cut[0]] = b""
+            held.append((cut[0], parts))
+        missing = {chunk for _, _, chunks in gaps for chunk in chunks}
+        known.update((chunk, older[chunk]) for chunk in missing.intersection(older))
+        new = [chunk for chunk in missing if chunk not in known]
         ids = self._encode_new([*map(" ".__add__, new), *first])
         known.update(zip(new, ids))
         first = dict(zip(first, ids[len(new) :]))
-        del ids, missing, new
-        for text in texts:
-            start, *rest = self._cut(text)
-            yield np.frombuffer(first[start] + b"".join(map(known.__getitem__, rest)), dtype=ID_TYPE)
+        for parts, places, chunks in gaps:
+            for i, chunk in zip(places, chunks):
+                parts[i] = known[chunk]
+        del ids, missing, new, gaps
+        for start, parts in held:
+            yield np.frombuffer(first[start] + b"".join(parts), dtype=ID_TYPE)
         if len(known) > MAX_REMEMBERED // 2:
             self._older = {chunk: part for chunk, part in known.items() if len(chunk) < _LONG}
             self._known = {}
