@@ -1,6 +1,6 @@
 """Katz backoff language model with Good-Turing discounts, counted and evaluated by exchanged blocks of n-grams.
 
-Documents are cut into chunks of about two million tokens. A chunk sends each distinct n-gram that it holds once, as a
+Documents are gathered into chunks of ``CHUNK_TOKENS`` tokens (a longer document is one by itself). A chunk sends each distinct n-gram that it holds once, as a
 64-bit hash with its count in training documents, to the table partition of that hash; the partition adds up the
 counts of all chunks and answers each one in the order it asked. So a frequent word or word pair costs one entry
 per chunk, partitions are even by hash, and what is moved grows with the distinct n-grams of chunks, not with
@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from wavetrawl.llm.common import ID, TEXT, fold, id_and_text, materialise
 
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 600_000
 # Entries of a table partition: all its n-grams are in memory at once.
-PARTITION_ENTRIES = 2_000_000
+PARTITION_ENTRIES = 1_000_000
 # Counts up to this one are discounted.
 LARGEST_DISCOUNTED = 5
 
@@ -162,18 +162,20 @@ def _bounds(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 def _count_tables(chunks: DataFrame, parts: int) -> DataFrame:
     def ask(batches):
+        names = ["level", "part", "chunk", "keys", "counts"]
         for batch in batches:
-            for row in batch.to_dict("records"):
+            for at in range(len(batch)):
+                row = batch.iloc[at]
                 chunk = _Chunk.of(row)
                 trains = ~chunk.held_out[chunk.doc]
                 words = np.bincount(chunk.tokens[trains], minlength=len(chunk.words))
-                rows = list(_asked(row["chunk"], 1, chunk.words, words, parts))
+                yield pd.DataFrame(list(_asked(row["chunk"], 1, chunk.words, words, parts)), columns=names)
                 hashes, _, place = chunk.pairs()
                 later = np.ones(len(chunk.tokens), dtype=bool)
                 later[np.cumsum(chunk.lengths) - chunk.lengths] = False
                 counts = np.bincount(place[trains[later]], minlength=len(hashes))
-                rows += _asked(row["chunk"], 2, hashes, counts, parts)
-                yield pd.DataFrame(rows, columns=["level", "part", "chunk", "keys", "counts"])
+                del place, later, trains
+                yield pd.DataFrame(list(_asked(row["chunk"], 2, hashes, counts, parts)), columns=names)
 
     def answer(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("chunk")
