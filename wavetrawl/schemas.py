@@ -11,41 +11,6 @@ def _strings(*names: str) -> T.StructType:
 
 SNAPSHOTS = _strings("id")
 
-CRAWL_RECORDS = T.StructType(
-    [
-        T.StructField("archive", T.StringType()),
-        T.StructField("pos", T.LongType()),
-        T.StructField("rec_type", T.StringType()),
-        T.StructField("target_uri", T.StringType()),
-        T.StructField("content_type", T.StringType()),
-        T.StructField("payload", T.BinaryType()),
-    ]
-)
-
-PAGES = _strings("url", "html")
-
-GOOD_PAGES = T.StructType(
-    [
-        T.StructField("title", T.StringType()),
-        T.StructField("url", T.StringType()),
-        T.StructField("quality", T.DoubleType()),
-        T.StructField("text", T.StringType()),
-        T.StructField("html", T.StringType()),
-    ]
-)
-
-PAGE_LINKS = T.StructType(
-    [
-        T.StructField("audio_url", T.StringType()),
-        T.StructField("description", T.StringType()),
-        T.StructField("license", T.StringType()),
-        T.StructField("url", T.StringType()),
-        T.StructField("title", T.StringType()),
-        T.StructField("quality", T.DoubleType()),
-        T.StructField("text", T.StringType()),
-    ]
-)
-
 FEED_LINKS = _strings("audio_url", "title", "description", "language", "page_url")
 
 LANGUAGE_COUNTS = T.StructType(
