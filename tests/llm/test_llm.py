@@ -410,15 +410,19 @@ def kept_texts(texts, places, linked):
 
 
 def test_op6_matches_brute_force(spark, small, texts):
-    """All pairs that agree in a block, and all pairs by plain edit similarity: the same lines stay."""
+    """Against all pairs by plain edit similarity: no line goes that should stay, and hardly one stays that should go."""
     places = line_places(texts)
     known = list(places)
     blocks = dict(zip(known, map(set, lines.BlockPrints().of(known))))
     plain = [(a, b) for n, a in enumerate(known) for b in known[n + 1 :] if similar(a, b)]
-    near = [(a, b) for a, b in plain if blocks[a] & blocks[b]]
+    near = [(a, b) for a, b in plain if len(blocks[a] & blocks[b]) > 1]
     assert len(plain) > 20 and len(near) >= 0.95 * len(plain)
-    rows = {row["doc_id"]: row["text"] for row in QUERIES["op6_line_dedup"](spark, small).collect()}
-    assert rows == kept_texts(texts, places, near)
+    want = {i: Counter(text.split("\n")) for i, text in kept_texts(texts, places, plain).items()}
+    rows = {row["doc_id"]: Counter(row["text"].split("\n")) for row in QUERIES["op6_line_dedup"](spark, small).collect()}
+    assert all(want[i] <= rows[i] for i in texts)
+    gone = sum(len(text.split("\n")) - want[i].total() for i, text in texts.items())
+    kept_too_many = sum((rows[i] - want[i]).total() for i in texts)
+    assert gone > 50 and kept_too_many <= 0.02 * gone, (kept_too_many, gone)
 
 
 def edited(rng, line, share, words):
@@ -435,7 +439,7 @@ JA_LINES = (
 
 
 @pytest.mark.parametrize("low, high, share, words", [(3, 6, 0.1, False), (7, 14, 0.1, True), (15, 40, 0.1, True), (41, 90, 0.05, True)])
-def test_edited_lines_agree_in_a_block(texts, low, high, share, words):
+def test_edited_lines_agree_in_two_blocks(texts, low, high, share, words):
     """Recall of the blocks by length class, against plain edit similarity."""
     rng = np.random.default_rng(9)
     long = [line.split(" ") for line in line_places(texts) if line.count(" ") >= high]
@@ -447,11 +451,11 @@ def test_edited_lines_agree_in_a_block(texts, low, high, share, words):
         if line != other and similar(line, other):
             pairs.append((line, other))
     prints = lines.BlockPrints()
-    met = [bool(set(a) & set(b)) for a, b in (prints.of(pair) for pair in pairs)]
+    met = [len(set(a) & set(b)) > 1 for a, b in (prints.of(pair) for pair in pairs)]
     assert len(pairs) > 100 and sum(met) >= 0.9 * len(met), sum(met) / len(met)
 
 
-def test_edited_japanese_lines_agree_in_a_block():
+def test_edited_japanese_lines_agree_in_two_blocks():
     rng = np.random.default_rng(10)
     for changes in (1, 2):
         pairs = []
@@ -459,7 +463,7 @@ def test_edited_japanese_lines_agree_in_a_block():
             line = "".join(rng.permutation(JA_LINES)[: 1 + n % 4])
             pairs.append((line, edited(rng, line, changes / len(line) + 1e-9, False)))
         prints = lines.BlockPrints()
-        met = [bool(set(a) & set(b)) for a, b in (prints.of(pair) for pair in pairs)]
+        met = [len(set(a) & set(b)) > 1 for a, b in (prints.of(pair) for pair in pairs)]
         assert sum(met) >= 0.9 * len(met), (changes, sum(met) / len(met))
 
 
