@@ -52,8 +52,13 @@ class ChunkEncoder:
             first[cut[0]] = b""
             held.append((cut[0], parts))
         missing = {chunk for _, _, chunks in gaps for chunk in chunks}
-        known.update((chunk, older[chunk]) for chunk in missing.intersection(older))
-        new = [chunk for chunk in missing if chunk not in known]
+        new = []
+        for chunk in missing:
+            part = older.get(chunk)
+            if part is None:
+                new.append(chunk)
+            else:
+                known[chunk] = part
         ids = self._encode_new([*map(" ".__add__, new), *first])
         known.update(zip(new, ids))
         first = dict(zip(first, ids[len(new) :]))

@@ -36,7 +36,7 @@ SHARD_BYTES = 4 << 20
 SHARD_DOCS = 20_000
 
 # Documents encoded together.
-BATCH = 1_024
+BATCH = 512
 
 _JOINED = 1 << 16
 
@@ -71,7 +71,11 @@ class LibraryEncoder:
 
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
         spaced = [i for i, chunk in enumerate(chunks) if chunk[:1] == " " and len(chunk) < _JOINED and not chunk[1:2].isspace()]
-        spaced = [i for i in spaced if not any(mark in chunks[i] for mark in self._special)]
+        every = "\n".join(chunks)
+        marks = [mark for mark in self._special if mark in every]
+        if marks:
+            spaced = [i for i in spaced if not any(mark in chunks[i] for mark in marks)]
+        del every
         result: list[bytes | None] = [None] * len(chunks)
         sizes = np.array([len(chunks[i].encode()) for i in spaced], dtype=np.int64)
         places = (np.cumsum(sizes) - sizes) // _JOINED
