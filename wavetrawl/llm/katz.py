@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from wavetrawl.llm.common import ID, TEXT, fold, id_and_text, materialise
 
-CHUNK_TOKENS = 600_000
+CHUNK_TOKENS = 1_500_000
 # Entries of a table partition: all its n-grams are in memory at once.
 PARTITION_ENTRIES = 1_000_000
 # Counts up to this one are discounted.
