@@ -487,6 +487,40 @@ def test_large_groups_of_similar_lines_are_found(spark):
     assert left == {i for i, text in want.items() if text} and len(left) < 120
 
 
+def test_every_pair_that_agrees_in_two_blocks_is_tried(spark, monkeypatch):
+    """Two lines each that are similar, all in the same two large buckets, or in one large and one of their own."""
+    from xxhash import xxh64_intdigest
+
+    rng = np.random.default_rng(13)
+    monkeypatch.setattr(lines, "TILE", 32, raising=False)
+    texts, blocks = {}, []
+    for i in range(300):
+        words = ["".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(12)]
+        for copy in range(2):
+            texts[2 * i + copy] = " ".join([*words[: 12 - copy], *["other"] * copy])
+            blocks.append([1, 2] if i < 150 else [3, 1000 + i])
+    names = {i: int(np.uint64(xxh64_intdigest(text.encode(), 0)).astype(np.int64)) for i, text in texts.items()}
+    docs = spark.createDataFrame(list(texts.items()), "__id bigint, __text string").withColumn("key", lines.text_key(lines.F.col("__text")))
+    places = docs.selectExpr("__id AS id", "key", "0 AS no").join(spark.createDataFrame(list(names.items()), "id bigint, line bigint"), "id")
+    nodes = spark.createDataFrame(list(zip(names.values(), blocks)), "line bigint, blocks array<bigint>")
+    found = {(row["node"], row["root"]) for row in lines.line_roots(nodes, places, docs, 0.8).collect()}
+    assert found == {(max(pair), min(pair)) for pair in ((names[2 * i], names[2 * i + 1]) for i in range(300))}
+
+
+def test_frequent_words_do_not_rule_blocks():
+    """Lines that share only how often their two commonest words come agree in few blocks, and a replaced word changes two."""
+    rng = np.random.default_rng(14)
+    rare = iter(["".join(rng.choice(list("abcdefghijklmnop"), 7)) for _ in range(4000)])
+    made = [list(rng.permutation(["the"] * 20 + ["of"] * 15 + [next(rare) for _ in range(30)])) for _ in range(60)]
+    blocks = [set(x) for x in lines.BlockPrints().of([" ".join(words) for words in made])]
+    assert np.mean([len(a & b) > 1 for n, a in enumerate(blocks) for b in blocks[n + 1 :]]) < 0.05
+    for words in made[:20]:
+        other = list(words)
+        other[words.index("the")] = "of"
+        a, b = map(set, lines.BlockPrints().of([" ".join(words), " ".join(other)]))
+        assert len(a - b) <= 2
+
+
 def test_lines_edges(spark, odd):
     rows = lines.dedup_lines(odd)
     assert rows.columns == odd.columns and rows.count() == len(ODD)

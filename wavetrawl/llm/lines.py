@@ -11,10 +11,16 @@ at most, wherever it is, and by the pigeonhole principle lines that differ in fe
 in one. One fingerprint of all features has no such property: a changed word flips bits in all its blocks. A line whose
 length is near that of another number of blocks has fingerprints of both.
 
-A pair is tried if it meets in two buckets of lines with an equal block. Buckets of at most ``SMALL`` lines name all their
-pairs, which are a few per line. In larger ones a member only meets the two end members; what that connects is one
-component. Then rounds follow in those large buckets that hold several components still: each member meets two others
-chosen by a hash that changes from round to round. Rounds end when one adds less than ``SETTLED`` of the links.
+A feature that comes again in a line is another feature (the word and how often it came before), so that blocks are not
+ruled by frequent words: replacing one occurrence still takes away one feature and adds one.
+
+Every pair of lines that agree in two blocks is tried, unless other links connect it already. Buckets of at most ``SMALL``
+lines with an equal block name all their pairs; a pair stays if it has two such buckets, or one and a larger one.
+Pairs that have larger buckets alone meet in the bucket of two blocks at once. Those of at most ``SMALL`` lines name
+all their pairs. In the others each member first meets the lowest one, and in those of more than ``TILE``
+also two others chosen by a hash that changes from round to round, as long as a round adds ``SETTLED`` of the links. That saves
+work only: afterwards, in each bucket whose members are not all connected, all pairs of members that are not are tried,
+in tiles of ``TILE`` by ``TILE`` lines.
 """
 
 from __future__ import annotations
@@ -39,6 +45,7 @@ MIN_BLOCKS = 6
 MAX_BLOCKS = (12, 12)
 FEATURES_PER_BLOCK = (3, 2)
 SMALL = 8
+TILE = 256
 SETTLED = 0.01
 
 # Lines of up to so many words (letters, in scripts without spaces) have blocks of letters, from so many on, of words.
@@ -57,8 +64,24 @@ def normalise_line(line: str) -> str:
     return _DIGIT.sub("0", " ".join(_WORD.findall(line.lower())))
 
 
+def numbered(features: list[str]) -> list[str]:
+    """The features, those that occurred before with the number of times they did."""
+    if len(set(features)) == len(features):
+        return features
+    times: dict[str, int] = {}
+    result = list(features)
+    for i, feature in enumerate(features):
+        if feature in times:
+            before = times[feature]
+            result[i] = f"{feature} {before}"
+            times[feature] = before + 1
+        else:
+            times[feature] = 1
+    return result
+
+
 def feature_lists(line: str) -> list[list[str]]:
-    """The features of a normalised line: words, letters, or both where it is neither short nor long."""
+    """The features of a normalised line: words, letters, or both where it is neither short nor long; each once."""
     if line.isascii() or not (wide := len(_WIDE.findall(line))):
         words, wide = line.split(" "), 0
     else:
@@ -67,10 +90,10 @@ def feature_lists(line: str) -> list[list[str]]:
     size, long, short = (
         (len(line), _LONG_LETTERS, _SHORT_LETTERS) if mostly_wide else (len(words), _LONG_WORDS, _SHORT_WORDS)
     )
-    result = [words] if size >= long else [[]]
+    result = [numbered(words)] if size >= long else [[]]
     if size <= short:
         letters = line.replace(" ", "") if mostly_wide else [line[i : i + 2] for i in range(max(1, len(line) - 1))]
-        result.append(list(letters))
+        result.append(numbered(list(letters)))
     return result
 
 
@@ -250,13 +273,11 @@ def _similar(left: str, right: str, similarity: float) -> Column:
     return similar(F.col(left), F.col(right))
 
 
-def _with_texts(pairs: DataFrame, count: int, lines: DataFrame, docs: DataFrame) -> DataFrame:
-    """Add the normalised texts ``ta`` and ``tb`` of the lines ``a`` and ``b``, taken from their first documents.
+def _texts_of(wanted: DataFrame, count: int, lines: DataFrame, docs: DataFrame) -> DataFrame:
+    """The normalised ``text`` of each ``line`` of ``wanted``, at most ``count``, taken from its first document.
 
     Texts of documents that hold no line in question stay where they are.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
-    wanted = materialise(compact(wanted, 2 * count), "wanted-lines")
     first = lines.join(wanted, "line").groupBy("line").agg(F.min(F.struct("id", "key", "no")).alias("at"))
     by_doc = first.groupBy("at.id", "at.key").agg(F.collect_list(F.struct(F.col("at.no").alias("no"), "line")).alias("lines"))
 
@@ -268,49 +289,139 @@ def _with_texts(pairs: DataFrame, count: int, lines: DataFrame, docs: DataFrame)
             result.append([normalise_line(split[no]) for no in nos])
         return pd.Series(result, dtype=object)
 
-    by_doc = materialise(compact(by_doc, 2 * count), "wanted-documents")
+    by_doc = materialise(compact(by_doc, count), "wanted-documents")
     held = docs.join(by_doc, docs[ID].eqNullSafe(by_doc["id"]) & (docs["key"] == by_doc["key"]))
     held = held.select(docs["key"], by_doc["id"], "lines", texts_of(TEXT, F.col("lines.no")).alias("texts"))
     zipped = held.select(F.inline(F.arrays_zip(F.col("lines.line").alias("line"), F.col("texts").alias("text"))))
-    texts = materialise(zipped.groupBy("line").agg(F.min("text").alias("text")), "line-texts")
-    return pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("ta")), "a").join(
-        texts.select(F.col("line").alias("b"), F.col("text").alias("tb")), "b"
-    )
+    return materialise(zipped.groupBy("line").agg(F.min("text").alias("text")), "line-texts")
+
+
+def _among(members: str, fields: str) -> Column:
+    """A row ``x, y`` and further ``fields`` of it per pair of an array's members."""
+    pairs = f"transform({members}, x -> transform(filter({members}, y -> y.line < x.line), y -> struct({fields})))"
+    return F.inline(F.expr(f"flatten({pairs})"))
+
 
+def _ordered(rows: DataFrame) -> DataFrame:
+    """The pairs ``x, y`` of different lines as ``a < b``."""
+    return rows.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), *rows.columns[2:])
 
-def _pairs(rows: DataFrame) -> DataFrame:
-    """Distinct pairs ``a < b`` that occur at least twice among ``x, y``."""
-    ordered = rows.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    return ordered.groupBy("a", "b").agg(F.count("*").alias("times")).filter("times > 1").select("a", "b")
+
+def similar_in_tile(
+    roots: list[int], texts: list[str], slots: list[int], across: bool, similarity: float
+) -> Iterator[tuple[int, int]]:
+    """Pairs of places in a tile with similar texts, enough to connect all that are similar or have one root.
+
+    With ``across``, only members of different slots are held against each other. Pairs are ruled out by their
+    lengths and by the letters that one has more often than the other, each of which takes an edit.
+    """
+    lengths = np.array([len(text) for text in texts])
+    order = np.argsort(lengths, kind="stable")
+    lengths, slot = lengths[order], np.array(slots)[order]
+    group = np.unique(np.array(roots)[order], return_inverse=True)[1]
+    letters = np.zeros((len(texts), 64), dtype=np.int32)
+    for i, at in enumerate(order.tolist()):
+        points = np.frombuffer(texts[at].encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        letters[i] = np.bincount(points & 63, minlength=64)
+    most = ((1 - similarity) * lengths + 1e-9).astype(np.int64)
+    # The shortest line that a line can be similar to stands at this place.
+    begins = np.searchsorted(lengths, lengths - most)
+    for i in range(len(order)):
+        others = np.arange(begins[i], i)
+        others = others[(group[others] != group[i]) & ((slot[others] != slot[i]) | (not across))]
+        if not len(others):
+            continue
+        apart = np.abs(letters[others] - letters[i]).sum(axis=1) + lengths[i] - lengths[others]
+        for j in others[apart <= 2 * most[i]].tolist():
+            if group[j] != group[i]:
+                a, b = int(order[i]), int(order[j])
+                if edit_distance(texts[a], texts[b], int(most[i])) <= most[i]:
+                    group[group == group[j]] = group[i]
+                    yield a, b
+
+
+def _tile_links(crowd: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a, b`` that connect all similar members of a bucket (``key, line, n``) that ``roots`` does not."""
+    marked = crowd.join(roots, crowd["line"] == roots["node"], "left").select(
+        "key", "line", "n", F.coalesce("root", "line").alias("root")
+    )
+    marked = materialise(marked, "marked-members")
+    mixed = marked.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    marked = marked.join(mixed.select("key"), "key")
+    tiles = F.ceil(F.col("n") / TILE).cast("int")
+    marked = marked.withColumn("slot", F.pmod(F.xxhash64("line", F.lit(0)), tiles).cast("int"))
+    places = F.transform(F.sequence(F.lit(0), tiles - 1), lambda q: F.struct(F.least("slot", q), F.greatest("slot", q)))
+    placed = marked.join(texts, "line").select("key", "line", "root", "text", "slot", F.explode(places).alias("tile"))
+    placed = placed.select("key", F.col("tile.col1").alias("one"), F.col("tile.col2").alias("two"), "line", "root", "text", "slot")
+
+    def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def found(tile, rows):
+            names, roots, texts, slots = zip(*rows)
+            pairs = similar_in_tile(roots, texts, slots, tile[1] != tile[2], similarity)
+            return [(names[i], names[j]) for i, j in pairs]
+
+        now, held = None, []
+        for batch in batches:
+            result = []
+            for key, one, two, *row in batch.itertuples(index=False, name=None):
+                if (key, one, two) != now:
+                    if len(held) > 1:
+                        result += found(now, held)
+                    now, held = (key, one, two), []
+                held.append(row)
+            yield pd.DataFrame(result, columns=["a", "b"], dtype="int64")
+        if len(held) > 1:
+            yield pd.DataFrame(found(now, held), columns=["a", "b"], dtype="int64")
+
+    by = ["key", "one", "two"]
+    dealt = placed.repartition(*by).sortWithinPartitions(*by)
+    return materialise(dealt.mapInPandas(links, "a bigint, b bigint"), "tile-links")
 
 
 def line_roots(nodes: DataFrame, lines: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """The components ``node, root`` of all links between distinct lines (``line, blocks``)."""
+    """The components ``node, root`` of all links between distinct lines (``line, blocks``).
+
+    ``lines`` has the place ``id, key, no`` of each one at least once.
+    """
     rows = nodes.select("line", F.explode("blocks").alias("key"))
-    buckets = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("line").alias("a"), F.max("line").alias("b"))
-    buckets = materialise(buckets.filter("n > 1"), "line-buckets")
-    crowd = rows.join(buckets.filter("n > 2"), "key").select("key", "line", "n", "a", "b")
-    crowd = materialise(crowd, "crowd")
-
-    def linked(pairs: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
-        tried = materialise(pairs, f"{label}-tried")
-        count = tried.count()
-        if not count:
-            return tried, tried
-        known = _with_texts(tried, count, lines, docs)
-        return tried, materialise(known.filter(_similar("ta", "tb", similarity)).select("a", "b"), label)
-
-    twos = buckets.filter("n = 2").select(F.col("a").alias("x"), F.col("b").alias("y"))
-    members = crowd.filter(F.col("n") <= SMALL).groupBy("key").agg(F.collect_list("line").alias("all"))
-    among = "flatten(transform(all, x -> transform(filter(all, y -> y < x), y -> struct(x AS x, y AS y))))"
-    large = crowd.filter(F.col("n") > SMALL)
-    spokes = large.select(F.col("line").alias("x"), F.explode(F.array("a", "b")).alias("y"))
-    tested, links = linked(_pairs(twos.union(members.select(F.inline(F.expr(among)))).union(spokes)), "line-links")
-    count, turn = links.count(), 0
+    buckets = materialise(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "line-buckets")
+    small = F.col("n") <= SMALL
+    met = rows.join(buckets, "key").groupBy("line").agg(
+        F.collect_list(F.when(small, F.col("key"))).alias("small"),
+        F.sort_array(F.collect_list(F.when(~small, F.col("key")))).alias("large"),
+    )
+    met = materialise(met.filter("size(small) + size(large) > 1"), "met-lines")
+    few = met.select("line", "large", F.explode("small").alias("key")).groupBy("key")
+    few = few.agg(F.collect_list(F.struct("line", "large")).alias("all"))
+    few = few.select(_among("all", "x.line AS x, y.line AS y, arrays_overlap(x.large, y.large) AS also"))
+    few = _ordered(few).groupBy("a", "b").agg(F.count("*").alias("times"), F.max("also").alias("also"))
+    few = few.filter("times > 1 OR also").select("a", "b")
+
+    twice = "flatten(transform(large, (x, i) -> transform(slice(large, i + 2, size(large)), y -> xxhash64(x, y))))"
+    both = met.filter("size(large) > 1").select("line", F.explode(F.expr(twice)).alias("key"))
+    ends = both.groupBy("key").agg(F.count("*").alias("n"), F.min("line").alias("end"))
+    crowd = materialise(both.join(ends.filter("n > 1"), "key").select("key", "line", "n", "end"), "crowd")
+    members = crowd.filter(small & (F.col("n") > 2)).groupBy("key").agg(F.collect_list(F.struct("line")).alias("all"))
+    several = members.select(_among("all", "x.line AS x, y.line AS y"))
+    spokes = crowd.filter(~small | (F.col("n") == 2)).select(F.col("line").alias("x"), F.col("end").alias("y"))
+    large = crowd.filter(~small).select("key", "line", "n")
+
+    tested = materialise(few.union(_ordered(several)).union(_ordered(spokes)).distinct(), "tried")
+    wanted = tested.select(F.explode(F.array("a", "b")).alias("line")).union(large.select("line")).distinct()
+    wanted = materialise(wanted, "wanted-lines")
+    texts = _texts_of(wanted, wanted.count(), lines, docs)
+
+    def linked(pairs: DataFrame, label: str) -> DataFrame:
+        known = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("ta")), "a")
+        known = known.join(texts.select(F.col("line").alias("b"), F.col("text").alias("tb")), "b")
+        return materialise(known.filter(_similar("ta", "tb", similarity)).select("a", "b"), label)
+
+    links = linked(tested, "line-links")
+    count, turn, huge = links.count(), 0, large.filter(F.col("n") > TILE)
+    roots = connected_components(links, "a", "b")
     while True:
-        roots = connected_components(links, "a", "b")
         turn += 1
-        marked = large.select("key", "line").join(roots, large["line"] == roots["node"], "left").select(
+        marked = huge.join(roots, huge["line"] == roots["node"], "left").select(
             "key", "line", F.coalesce("root", "line").alias("root")
         )
         marked = materialise(marked, "marked-lines")
@@ -321,15 +432,20 @@ def line_roots(nodes: DataFrame, lines: DataFrame, docs: DataFrame, similarity:
         ).filter("low < high")
         chosen = materialise(chosen.select("key", F.explode(F.array("one", "other")).alias("pick")), "chosen-lines")
         met = marked.join(chosen, "key").filter(F.col("root") != F.col("pick.root"))
-        pairs = _pairs(met.select(F.col("line").alias("x"), F.col("pick.line").alias("y")))
-        tried, more = linked(pairs.join(tested, ["a", "b"], "left_anti"), "line-links-more")
+        pairs = _ordered(met.select(F.col("line").alias("x"), F.col("pick.line").alias("y"))).distinct()
+        tried = materialise(pairs.join(tested, ["a", "b"], "left_anti"), "tried-more")
+        if tried.isEmpty():
+            break
+        more = linked(tried, "line-links-more")
         new = more.count()
-        if not new:
-            return roots
-        links, tested = links.union(more), tested.union(tried)
-        if new < SETTLED * count:
-            return connected_components(links, "a", "b")
+        if new:
+            links, tested = links.union(more), tested.union(tried)
+            roots = connected_components(links, "a", "b")
+        if new < max(1, SETTLED * count):
+            break
         count += new
+    rest = _tile_links(large, roots, texts, similarity)
+    return connected_components(links.union(rest), "a", "b") if not rest.isEmpty() else roots
 
 
 def _dropped_lines(docs: DataFrame, similarity: float) -> DataFrame:
@@ -341,7 +457,8 @@ def _dropped_lines(docs: DataFrame, similarity: float) -> DataFrame:
         F.first("blocks", ignorenulls=True).alias("blocks"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key", "no")).alias("first")
     )
     groups = materialise(groups, "line-groups")
-    roots = line_roots(groups.select("line", "blocks"), lines, docs, similarity)
+    places = groups.select("line", "first.id", "first.key", "first.no")
+    roots = line_roots(groups.select("line", "blocks"), places, docs, similarity)
     rooted = materialise(
         groups.join(roots, groups["line"] == roots["node"], "left").select(
             "line", "first", F.coalesce("root", "line").alias("root")
