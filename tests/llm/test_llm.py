@@ -487,6 +487,15 @@ def test_large_groups_of_similar_lines_are_found(spark):
     assert left == {i for i, text in want.items() if text} and len(left) < 120
 
 
+def test_katz_blocks_take_little_more_than_their_hashes():
+    """Of 100,000 n-grams, mostly seen once: hashes lose their leading zeros, and counts take little more than half a byte at most."""
+    rng = np.random.default_rng(15)
+    hashes = np.sort(rng.integers(0, 2**64 - 1, 100_000, dtype=np.uint64))
+    counts = np.where(rng.random(100_000) < 0.97, 1, rng.integers(2, 300, 100_000))
+    rows = list(katz._asked(0, 2, hashes, counts, 4))
+    assert sum(len(row[4]) for row in rows) < 0.6 * len(hashes) and sum(len(row[3]) for row in rows) < 6.8 * len(hashes)
+
+
 def test_every_pair_that_agrees_in_two_blocks_is_tried(spark, monkeypatch):
     """Two lines each that are similar, all in the same two large buckets, or in one large and one of their own."""
     from xxhash import xxh64_intdigest

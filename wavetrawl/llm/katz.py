@@ -32,34 +32,38 @@ LARGEST_DISCOUNTED = 5
 _END = b"\n"  # no word holds white space
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
-_CHUNKS = "chunk bigint, ids array<bigint>, held_out array<boolean>, lengths binary, tokens binary, words binary"
+_CHUNKS = "chunk bigint, n_tokens bigint, ids array<bigint>, held_out array<boolean>, lengths binary, tokens binary, words binary"
 _ASKED = "level int, part bigint, chunk bigint, keys binary, counts binary"
 _ANSWERED = "level int, part bigint, chunk bigint, counts binary, owned binary, facts array<bigint>"
 _PENDING = "kind int, chunk bigint, part bigint, ids array<bigint>, held_out array<boolean>, a binary, b binary, c binary"
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Sorted numbers as differences, byte by byte position, so that their leading zeros compress."""
-    steps = np.diff(values, prepend=np.zeros(1, values.dtype))
-    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers byte position by byte position, compressed by the frequency of bytes: the high bytes of small ones and
+    rare larger counts take next to nothing, in tables as well as in exchanges."""
+    import zstandard
 
+    octets = values.view(np.uint8).reshape(-1, values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(octets.tobytes())
 
-def _from_planes(raw: bytes) -> np.ndarray:
-    octets = np.frombuffer(raw, dtype=np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(octets.T).view("<u8").ravel(), dtype=np.uint64)
 
+def _unpacked(raw: bytes, kind: str) -> np.ndarray:
+    import zstandard
 
-def _by_byte(values: np.ndarray) -> bytes:
-    """Numbers byte position by byte position: the high bytes of small ones compress to nothing."""
-    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
-
-
-def _from_bytes(raw: bytes, kind: str) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    octets = np.frombuffer(raw, dtype=np.uint8).reshape(width, -1)
+    octets = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8).reshape(width, -1)
     return np.ascontiguousarray(octets.T).view(kind).ravel()
 
 
+def _steps(values: np.ndarray) -> bytes:
+    """Sorted numbers as differences, so that they have leading zeros."""
+    return _packed(np.diff(values, prepend=np.zeros(1, values.dtype)))
+
+
+def _from_steps(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(raw, "<u8"), dtype=np.uint64)
+
+
 def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """A hash per pair of hashes."""
     value = (left ^ (left >> np.uint64(29))) * _ODD + right
@@ -84,9 +88,9 @@ def _read_chunks(docs: DataFrame, folds: int, held_out: int) -> DataFrame:
             place = np.empty(len(order), dtype=np.uint32)
             place[order] = np.arange(len(order), dtype=np.uint32)
             return pd.DataFrame({
-                "chunk": [number], "ids": [list(ids)], "held_out": [list(held)],
-                "lengths": [np.array(lengths, dtype=np.int64).tobytes()],
-                "tokens": [_by_byte(place[np.concatenate(tokens)])], "words": [hashes[order].tobytes()],
+                "chunk": [number], "n_tokens": [size], "ids": [list(ids)], "held_out": [list(held)],
+                "lengths": [_packed(np.array(lengths, dtype=np.int64))],
+                "tokens": [_packed(place[np.concatenate(tokens)])], "words": [_steps(hashes[order])],
             })
 
         for batch in batches:
@@ -122,8 +126,8 @@ class _Chunk:
     @classmethod
     def of(cls, row) -> _Chunk:
         return cls(
-            list(row["ids"]), np.array(row["held_out"], dtype=bool), np.frombuffer(row["lengths"], dtype=np.int64),
-            _from_bytes(row["tokens"], "<u4").astype(np.int64), np.frombuffer(row["words"], dtype=np.uint64),
+            list(row["ids"]), np.array(row["held_out"], dtype=bool), _unpacked(row["lengths"], "<i8"),
+            _unpacked(row["tokens"], "<u4").astype(np.int64), _from_steps(row["words"]),
         )
 
     @property
@@ -151,7 +155,7 @@ def _asked(chunk: int, level: int, hashes: np.ndarray, counts: np.ndarray, parts
     bounds = _bounds(hashes, parts)
     for part, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
         if a < b:
-            yield level, part, chunk, _planes(hashes[a:b]), _by_byte(counts[a:b].astype(np.int64))
+            yield level, part, chunk, _steps(hashes[a:b]), _packed(counts[a:b].astype(np.int64))
 
 
 def _bounds(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -179,8 +183,8 @@ def _count_tables(chunks: DataFrame, parts: int) -> DataFrame:
 
     def answer(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("chunk")
-        keys = [_from_planes(raw) for raw in group["keys"]]
-        counts = np.concatenate([_from_bytes(raw, "<i8") for raw in group["counts"]])
+        keys = [_from_steps(raw) for raw in group["keys"]]
+        counts = np.concatenate([_unpacked(raw, "<i8") for raw in group["counts"]])
         every = np.concatenate(keys)
         distinct, first, inverse = np.unique(every, return_index=True, return_inverse=True)
         total = np.zeros(len(distinct), dtype=np.int64)
@@ -192,7 +196,7 @@ def _count_tables(chunks: DataFrame, parts: int) -> DataFrame:
         rows, at = [], 0
         for chunk, own in zip(group["chunk"], keys):
             to = at + len(own)
-            rows.append((chunk, _by_byte(total[inverse[at:to]]), np.packbits(owned[at:to]).tobytes(), [] if at else facts))
+            rows.append((chunk, _packed(total[inverse[at:to]]), np.packbits(owned[at:to]).tobytes(), [] if at else facts))
             at = to
         result = pd.DataFrame(rows, columns=["chunk", "counts", "owned", "facts"])
         result.insert(0, "part", group["part"].iloc[0])
@@ -273,7 +277,7 @@ class _Words:
 def _answers_of(rows: pd.DataFrame, level: int) -> tuple[np.ndarray, np.ndarray]:
     """A chunk's counts of one order in its own order, and which of them it answers for."""
     rows = rows[rows["level"] == level].sort_values("part")
-    counts = [_from_bytes(raw, "<i8") for raw in rows["counts"]]
+    counts = [_unpacked(raw, "<i8") for raw in rows["counts"]]
     owned = [np.unpackbits(np.frombuffer(raw, dtype=np.uint8), count=len(c)) for raw, c in zip(rows["owned"], counts)]
     empty = [np.zeros(0, dtype=np.int64)]
     return np.concatenate(counts or empty), np.concatenate(owned or empty).astype(bool)
@@ -318,13 +322,13 @@ def _first_scores(chunks: DataFrame, answers: DataFrame, words: _Words, pairs: L
         codes = doc[later][at] * (2 * len(asked)) + 2 * number[before[place[at]]] + ~seen[place[at]]
         waiting, times = np.unique(codes, return_counts=True)
         facts = np.stack([chunk.lengths.astype(float), known, base, score], axis=1)
-        rows = [(0, row["chunk"], -1, chunk.ids, chunk.held_out.tolist(), facts.tobytes(), _planes(waiting.astype(np.uint64)), _by_byte(times.astype(np.int32)))]
+        rows = [(0, row["chunk"], -1, chunk.ids, chunk.held_out.tolist(), facts.tobytes(), _steps(waiting.astype(np.uint64)), _packed(times.astype(np.int32)))]
         words_asked = chunk.words[asked]
         bounds = _bounds(words_asked, parts)
         for part, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
             if a < b:
                 sums = np.stack([x[asked[a:b]] for x in (kept, lower, word_count.astype(float))])
-                rows.append((1, row["chunk"], part, [], [], _planes(words_asked[a:b]), sums.tobytes(), b""))
+                rows.append((1, row["chunk"], part, [], [], _steps(words_asked[a:b]), _packed(sums), b""))
         return pd.DataFrame(rows, columns=["kind", "chunk", "part", "ids", "held_out", "a", "b", "c"])
 
     answers = answers.select("level", "part", "chunk", "counts", "owned")
@@ -342,14 +346,14 @@ def backoff_weights(kept: np.ndarray, lower: np.ndarray, count: np.ndarray) -> t
 
 def _context_tables(pending: DataFrame) -> DataFrame:
     def answer(group: pd.DataFrame) -> pd.DataFrame:
-        keys = [_from_planes(raw) for raw in group["a"]]
-        sums = np.concatenate([np.frombuffer(raw, dtype=float).reshape(3, -1).T for raw in group["b"]])
+        keys = [_from_steps(raw) for raw in group["a"]]
+        sums = np.concatenate([_unpacked(raw, "<f8").reshape(3, -1).T for raw in group["b"]])
         distinct, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         kept, lower = (np.bincount(inverse, sums[:, i], len(distinct)) for i in (0, 1))
         weight, scale = backoff_weights(kept, lower, sums[first, 2])
         logs = np.stack([np.log10(scale), np.log10(weight)], axis=1)
         ends = np.cumsum([len(k) for k in keys])
-        payload = [logs[inverse[a:b]].tobytes() for a, b in zip([0, *ends], ends)]
+        payload = [_packed(logs[inverse[a:b]]) for a, b in zip([0, *ends], ends)]
         return pd.DataFrame({"chunk": group["chunk"], "part": group["part"], "logs": payload})
 
     asked = pending.filter("kind = 1").select("part", "chunk", "a", "b")
@@ -367,7 +371,7 @@ def score_texts(
     probability one. An empty table gives an empty one.
     """
     chunks = _read_chunks(id_and_text(docs, id_col, text_col), folds, held_out)
-    tokens = chunks.agg(F.sum(F.length("tokens") / 4)).first()[0] or 0
+    tokens = chunks.agg(F.sum("n_tokens")).first()[0] or 0
     parts = max(16, int(tokens // PARTITION_ENTRIES) + 1)
     answers = _count_tables(chunks, parts)
     levels = _levels(answers)
@@ -382,8 +386,8 @@ def score_texts(
     def finish(key, first: pd.DataFrame, logs: pd.DataFrame) -> pd.DataFrame:
         row = first.iloc[0]
         facts = np.frombuffer(row["a"], dtype=float).reshape(-1, 4)
-        waiting, times = _from_planes(row["b"]).astype(np.int64), _from_bytes(row["c"], "<i4")
-        parts = [np.frombuffer(raw, dtype=float) for raw in logs.sort_values("part")["logs"]]
+        waiting, times = _from_steps(row["b"]).astype(np.int64), _unpacked(row["c"], "<i4")
+        parts = [_unpacked(raw, "<f8") for raw in logs.sort_values("part")["logs"]]
         table = np.concatenate(parts or [np.zeros(1)])
         score = facts[:, 3] + np.bincount(waiting // len(table), times * table[waiting % len(table)], len(facts))
         return pd.DataFrame({
