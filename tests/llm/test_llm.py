@@ -467,6 +467,46 @@ def test_edited_japanese_lines_agree_in_two_blocks():
         assert sum(met) >= 0.9 * len(met), (changes, sum(met) / len(met))
 
 
+def test_unlike_lines_of_the_same_letters_take_no_edit_distance(monkeypatch):
+    """Pairs of neighbouring letters tell them apart; similar lines are still found, whatever was edited."""
+    rng = np.random.default_rng(16)
+    unlike = ["".join(rng.permutation(list("abcdefghijklmnopqrstuvwxyz" * 4))) for _ in range(40)]
+    calls, plain = [], lines.edit_distance
+    monkeypatch.setattr(lines, "edit_distance", lambda *given: calls.append(given) or plain(*given))
+    assert not list(lines.similar_in_tile(list(range(40)), unlike, [0] * 40, False, 0.8)) and not calls
+    assert not lines.similar_pairs(unlike[1:], unlike[:-1], 0.8).any() and not calls
+    near = [edited(rng, unlike[i % 40], share, False) for i, share in enumerate(np.linspace(0, 0.3, 200))]
+    left = [unlike[i % 40] for i in range(200)] + ["", "a", "", "ab", "\U0001f600x"]
+    right = [*near, "", "", "ab", "ba", "x\U0001f600"]
+    want = [similar(a, b) for a, b in zip(left, right)]
+    assert lines.similar_pairs(left, right, 0.8).tolist() == want and 50 < sum(want) < 200
+
+
+def test_blocks_of_a_line_do_not_depend_on_the_lines_beside_it():
+    """Nothing is kept between calls, and lines longer than one portion of features come out whole."""
+    rng = np.random.default_rng(17)
+    known = ["".join(rng.choice(list("abcd"), 3)) for _ in range(60)]
+    made = [" ".join(rng.choice(known, n)) for n in (1, 5, 8, 9, 30, 300, 3000)] + ["日本語の文です", "größe über " * 9 + "x"]
+    prints = lines.BlockPrints()
+    together = prints.of(made)
+    assert not vars(prints) and [prints.of([line])[0] for line in made] == together
+    assert all(len(blocks) >= 1 for blocks in together) and prints.of([]) == []
+    keys, ends = prints.flat(made)
+    assert len(keys) == ends[-1] == sum(map(len, together))
+
+
+def test_lines_given_twice_are_linked_once(spark):
+    """Two tasks may each give the blocks of a line."""
+    rows = [(i, f"alpha beta gamma delta epsilon zeta eta theta iota kappa {'one' if i else 'two'}") for i in range(2)]
+    docs = spark.createDataFrame(rows, "__id bigint, __text string").withColumn("key", lines.text_key(lines.F.col("__text")))
+    found = lines._line_rows(docs).collect()
+    assert [row["no"] for row in found] == [0, 0] and all(row["blocks"] for row in found)
+    places = spark.createDataFrame([(r["id"], r["key"], r["no"], r["line"]) for r in found], "id bigint, key bigint, no bigint, line bigint")
+    nodes = spark.createDataFrame([(r["line"], r["blocks"]) for r in found * 3], "line bigint, blocks array<bigint>")
+    names = sorted(row["line"] for row in found)
+    assert [tuple(row) for row in lines.line_roots(nodes, places, docs, 0.8).collect()] == [(names[1], names[0])]
+
+
 def test_large_groups_of_similar_lines_are_found(spark):
     """Buckets far larger than those that are paired out, with several groups in them and lines that belong nowhere."""
     rng = np.random.default_rng(11)

@@ -27,11 +27,15 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,14 +58,28 @@ _SHORT_WORDS, _LONG_WORDS, _SHORT_LETTERS, _LONG_LETTERS = 8, 7, 60, 40
 _WORD, _DIGIT = re.compile(r"[^\W_]+"), re.compile(r"\d")
 _WIDE = re.compile("[\u3040-\u30ff\u3400-\u9fff]")
 _RUN = re.compile("[\u3040-\u309f]+|[\u30a0-\u30ff]+|[\u3400-\u9fff]|[^\\s\u3040-\u30ff\u3400-\u9fff]+")
-_MAX_KNOWN, _MAX_SEEN = 400_000, 1_000_000
+_MAX_SEEN = 1_000_000
+# Features, and fingerprints, that are worked on at once; so few fingerprints have group numbers of 16 bits.
+_MAX_FEATURES, _MAX_VIEWS = 1 << 17, 4096
+# Classes that pairs of neighbouring letters fall in.
+_CLASSES = 512
 
-_LINE = "struct<no: bigint, line: bigint, blocks: array<bigint>>"
+
+class _Letters(dict):
+    """For ``str.translate``: digits become 0, other characters that are no letters of words a space."""
+
+    def __missing__(self, point: int) -> str:
+        letter = chr(point)
+        self[point] = "0" if _DIGIT.match(letter) else letter if _WORD.match(letter) else " "
+        return self[point]
+
+
+_LETTERS = _Letters()
 
 
 def normalise_line(line: str) -> str:
     """Empty if the line has no letter, digit or other word character."""
-    return _DIGIT.sub("0", " ".join(_WORD.findall(line.lower())))
+    return " ".join(line.lower().translate(_LETTERS).split())
 
 
 def numbered(features: list[str]) -> list[str]:
@@ -105,85 +123,101 @@ def block_numbers(n: int, kind: int = 0) -> list[int]:
 
 
 class BlockPrints:
-    """Block fingerprints of lines; remembers the hashes of features, and their bits as one byte each."""
-
-    def __init__(self):
-        self._index: dict[str, int] = {}
-        self._new: list[str] = []
-        self._hashes = np.zeros(1024, dtype="<u8")
-        self._bits = np.zeros((1024, 8), dtype="<u8")
-
-    def _numbers(self, features: list[str]) -> list[int]:
-        index = self._index
-        numbers = list(map(index.get, features))
-        if None in numbers:
-            for feature in features:
-                if feature not in index:
-                    index[feature] = len(index)
-                    self._new.append(feature)
-            numbers = list(map(index.__getitem__, features))
-        return numbers
-
-    def _hash_new(self) -> None:
-        """Hashes and bits of the features that have come since."""
-        from xxhash import xxh64_intdigest
-
-        to = len(self._index)
-        at = to - len(self._new)
-        while to > len(self._hashes):
-            self._hashes = np.concatenate([self._hashes, np.zeros_like(self._hashes)])
-            self._bits = np.concatenate([self._bits, np.zeros_like(self._bits)])
-        new = np.array([xxh64_intdigest(x.encode("utf-8", "replace"), 7) for x in self._new], dtype="<u8")
-        self._hashes[at:to] = new
-        octets = np.unpackbits(new.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        self._bits[at:to] = octets.view("<u8")
-        self._new = []
+    """Block fingerprints of lines. The features of a call are hashed once each; nothing is kept between calls."""
 
     def of(self, lines: list[str]) -> list[list[int]]:
         """For each normalised line its blocks as signed keys; keys of different blocks or numbers of blocks differ."""
-        result: list[list[int]] = [[] for _ in lines]
-        numbers: list[int] = []
-        views: list[tuple[int, int, int, int, int]] = []  # line, kind, blocks, begin, size
+        keys, ends = self.flat(lines)
+        ends = ends.tolist()
+        return [keys[a:b].tolist() for a, b in zip([0, *ends], ends)]
+
+    def flat(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The blocks of all lines one after the other, and where those of each line end."""
+        worded, others = [], []
         for i, line in enumerate(lines):
-            for kind, listed in enumerate(feature_lists(line)):
+            plain = line.count(" ") >= _SHORT_WORDS and (line.isascii() or not _WIDE.search(line))
+            (worded if plain else others).append(i)
+        features, sizes, names = self._words_of([lines[i] for i in worded])
+        found = [(i, 0, size) for i, size in zip(worded, sizes.tolist())]
+        index: dict[str, int] = {}
+        numbers: list[int] = []
+        for i in others:
+            for kind, listed in enumerate(feature_lists(lines[i])):
                 if listed:
-                    begin = len(numbers)
-                    numbers += self._numbers(listed)
-                    views += [(i, kind, blocks, begin, len(listed)) for blocks in block_numbers(len(listed), kind)]
-            if len(numbers) > 1 << 17 or len(views) > 4090:
-                self._put(result, numbers, views)
-                numbers, views = [], []
-        if numbers:
-            self._put(result, numbers, views)
-        if len(self._index) > _MAX_KNOWN:
-            self._index = {}
-        return result
-
-    def _put(self, result: list[list[int]], numbers: list[int], views: list[tuple[int, int, int, int, int]]) -> None:
-        if self._new:
-            self._hash_new()
+                    numbers += [index.setdefault(feature, len(index)) for feature in listed]
+                    found.append((i, kind, len(listed)))
+        features = np.concatenate([features, np.array(numbers, dtype=np.int64) + len(names)])
+        hashes, bits = self._hashed(names + [name.encode("utf-8", "replace") for name in index])
+        begins = accumulate((size for _, _, size in found), initial=0)
+        views = [  # line, kind, blocks, begin, size
+            (i, kind, blocks, begin, size)
+            for (i, kind, size), begin in zip(found, begins)
+            for blocks in block_numbers(size, kind)
+        ]
+        owners, keys = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        while views:
+            most = bisect_right(list(accumulate(view[4] for view in views[:_MAX_VIEWS])), _MAX_FEATURES)
+            some, views = views[: max(most, 1)], views[max(most, 1) :]
+            for parts, part in zip((owners, keys), self._prints(hashes, bits, features, some)):
+                parts.append(part)
+        owner, key = np.concatenate(owners), np.concatenate(keys)
+        return key[np.argsort(owner, kind="stable")], np.cumsum(np.bincount(owner, minlength=len(lines)))
+
+    @staticmethod
+    def _hashed(names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of features, and their bits as one byte each."""
+        from xxhash import xxh64_intdigest
+
+        hashes = np.array([xxh64_intdigest(name, 7) for name in names], dtype="<u8")
+        octets = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        return hashes, octets.view("<u8")
+
+    @staticmethod
+    def _words_of(lines: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Of lines whose words are their only features: the numbers of all, how many each line has, and the names."""
+        split = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
+        sizes = np.diff(split.offsets.to_numpy())
+        words = split.flatten().dictionary_encode()
+        code, names = words.indices.to_numpy().astype(np.int64), words.dictionary.cast(pa.large_binary()).to_pylist()
+        # How often the same word came before in the line.
+        of = np.repeat(np.arange(len(lines)), sizes) * max(len(names), 1) + code
+        order = np.argsort(of, kind="stable")
+        starts = np.diff(of[order], prepend=-1) != 0
+        index = np.arange(len(of))
+        before = np.empty(len(of), dtype=np.int64)
+        before[order] = index - np.maximum.accumulate(np.where(starts, index, 0))
+        again = np.flatnonzero(before)
+        repeats, place = np.unique(code[again] << 32 | before[again], return_inverse=True)
+        code[again] = len(names) + place
+        names += [b"%b %d" % (names[x >> 32], x & 0xFFFFFFFF) for x in repeats.tolist()]
+        return code, sizes, names
+
+    @staticmethod
+    def _prints(
+        hashes: np.ndarray, bits: np.ndarray, features: np.ndarray, views: list[tuple[int, int, int, int, int]]
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Lines and keys of the blocks of some views."""
         line, kind, blocks, begin, size = np.array(views, dtype=np.int64).T
         view = np.repeat(np.arange(len(views)), size)
-        feature = np.array(numbers, dtype=np.int64)[np.arange(len(view)) + np.repeat(begin - (np.cumsum(size) - size), size)]
-        group = view * 16 + (self._hashes[feature] >> np.uint64(40)).astype(np.int64) % blocks[view]
-        # Few enough groups are sorted digit by digit.
-        order = np.argsort(group.astype(np.uint16) if len(views) <= 4096 else group, kind="stable")
+        feature = features[np.arange(len(view)) + np.repeat(begin - (np.cumsum(size) - size), size)]
+        group = view * 16 + (hashes[feature] >> np.uint64(40)).astype(np.int64) % blocks[view]
+        # So few groups are sorted digit by digit.
+        order = np.argsort(group.astype(np.uint16), kind="stable")
         group, feature = group[order], feature[order]
         starts = np.flatnonzero(np.diff(group, prepend=-1))
         counts = np.diff(starts, append=len(group))
-        ones = np.add.reduceat(self._bits[feature], starts, axis=0).view(np.uint8)
+        ones = np.add.reduceat(bits[feature], starts, axis=0).view(np.uint8)
         prints = np.packbits(2 * ones.astype(np.int16) > counts[:, None], axis=1, bitorder="little").view("<u8").ravel()
         for i in np.flatnonzero(counts > 255):
             # A byte does not hold the sums of so many features.
-            own = self._bits[feature[starts[i] : starts[i] + counts[i]]].view(np.uint8)
+            own = bits[feature[starts[i] : starts[i] + counts[i]]].view(np.uint8)
             prints[i] = np.packbits(2 * own.sum(axis=0, dtype=np.int64) > counts[i], bitorder="little").view("<u8")[0]
         first = group[starts]
         of = first // 16
         salt = (kind[of] << 16 | blocks[of] << 8 | first % 16).astype(np.uint64)
         keys = (prints ^ (salt * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
         keys ^= keys >> np.uint64(32)
-        for owner, key in zip(line[of].tolist(), keys.view("<i8").tolist()):
-            result[owner].append(key)
+        return line[of], keys.view("<i8")
 
 
 def edit_distance(a: str, b: str, most: int | None = None) -> int:
@@ -226,49 +260,78 @@ def edit_distance(a: str, b: str, most: int | None = None) -> int:
     return distance
 
 
-def _line_rows(text: Column) -> Column:
-    @F.pandas_udf(f"array<{_LINE}>")
-    def rows(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _line_rows(docs: DataFrame) -> DataFrame:
+    """A row ``id, key, no, line, blocks`` per line with a word character; a task gives the blocks of a line once."""
+    given = docs.select(F.col(ID).alias("id"), "key", TEXT)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
         prints, seen = BlockPrints(), set()
-        for texts in batches:
-            for at in range(0, len(texts), 256):
-                result, numbers, plain, sizes = [], [], [], []
-                for text in texts.iloc[at : at + 256]:
-                    found = [(no, line) for no, raw in enumerate(text.split("\n")) if (line := normalise_line(raw))]
-                    sizes.append(len(found))
-                    numbers += [no for no, _ in found]
-                    plain += [line for _, line in found]
-                keys = np.array([xxh64_intdigest(x.encode("utf-8", "replace"), 0) for x in plain], dtype=np.uint64)
-                names = keys.view(np.int64).tolist()
-                # A task works out the blocks of a line once.
-                new = {name: line for name, line in zip(names, plain) if name not in seen}
-                seen.update(new)
-                blocks = dict(zip(new, prints.of(list(new.values()))))
-                lines = [{"no": no, "line": name, "blocks": blocks.pop(name, None)} for no, name in zip(numbers, names)]
-                to = 0
-                for size in sizes:
-                    result.append(lines[to : to + size])
-                    to += size
-                # Rows go out in small batches: as objects they take many times their room.
-                yield pd.Series(result, dtype=object)
+        for batch in batches:
+            # Texts and rows are held in small numbers.
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                owners, numbers, names, fresh_at, plain = [], [], [], [], []
+                for i, text in enumerate(some.column(2).to_pylist()):
+                    for no, raw in enumerate(text.split("\n")):
+                        if line := normalise_line(raw):
+                            name = xxh64_intdigest(line.encode("utf-8", "replace"), 0)
+                            if name not in seen:
+                                seen.add(name)
+                                fresh_at.append(len(names))
+                                plain.append(line)
+                            owners.append(i)
+                            numbers.append(no)
+                            names.append(name)
+                keys, ends = prints.flat(plain)
+                sizes, known = np.zeros(len(names), dtype=np.int32), np.zeros(len(names), dtype=bool)
+                sizes[fresh_at], known[fresh_at] = np.diff(ends, prepend=0), True
+                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes, dtype=np.int32)]), pa.int32())
+                blocks = pa.ListArray.from_arrays(offsets, pa.array(keys), mask=pa.array(~known))
+                owner, line = pa.array(owners, pa.int64()), pa.array(np.array(names, dtype=np.uint64).view(np.int64))
+                columns = [some.column(0).take(owner), some.column(1).take(owner), pa.array(numbers, pa.int64()), line, blocks]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "key", "no", "line", "blocks"])
             if len(seen) > _MAX_SEEN:
                 seen.clear()
 
-    return rows(text)
+    kinds = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in given.schema.fields[:2])
+    return given.mapInArrow(rows, f"{kinds}, no bigint, line bigint, blocks array<bigint>")
 
 
-def _similar(left: str, right: str, similarity: float) -> Column:
-    """Whether the edit distance of two texts is at most their greater length's share beyond ``similarity``."""
+def pairs_of_letters(texts: list[str]) -> np.ndarray:
+    """For each text, how many of its pairs of neighbouring letters fall in each of ``_CLASSES`` classes.
+
+    An edit makes and ends two such pairs at most, so the counts of texts differ by at most four for each edit.
+    """
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int32)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    inside = owner[1:] == owner[:-1]
+    place = owner[1:] * _CLASSES + ((points[:-1] * 27 + points[1:]) & (_CLASSES - 1))
+    counts = np.bincount(place[inside], minlength=len(texts) * _CLASSES).reshape(-1, _CLASSES)
+    return np.minimum(counts, 30_000).astype(np.int16)
+
+
+def similar_pairs(left: list[str], right: list[str], similarity: float) -> np.ndarray:
+    """Whether the edit distance of each two texts is at most their greater length's share beyond ``similarity``."""
+    sizes = np.array([(len(a), len(b)) for a, b in zip(left, right)], dtype=np.int64).reshape(-1, 2)
+    most = ((1 - similarity) * sizes.max(axis=1) + 1e-9).astype(np.int64)
+    result = np.abs(sizes[:, 0] - sizes[:, 1]) <= most
+    part = np.arange(len(left)) // 512 + np.cumsum(sizes.sum(axis=1)) // (1 << 20) * len(left)
+    for places in np.split(np.arange(len(left)), np.flatnonzero(np.diff(part)) + 1):
+        places = places[result[places]]
+        one, two = (pairs_of_letters([texts[i] for i in places]) for texts in (left, right))
+        result[places] = np.abs(one - two).sum(axis=1, dtype=np.int64) <= 4 * most[places]
+        for i in places[result[places]].tolist():
+            result[i] = edit_distance(left[i], right[i], int(most[i])) <= most[i]
+    return result
+
 
+def _similar(left: str, right: str, similarity: float) -> Column:
     @F.pandas_udf("boolean")
     def similar(one: pd.Series, two: pd.Series) -> pd.Series:
-        result = []
-        for a, b in zip(one, two):
-            most = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
-            result.append(edit_distance(a, b, most) <= most)
-        return pd.Series(result, dtype=bool)
+        return pd.Series(similar_pairs(one.tolist(), two.tolist(), similarity), dtype=bool)
 
     return similar(F.col(left), F.col(right))
 
@@ -313,7 +376,7 @@ def similar_in_tile(
     """Pairs of places in a tile with similar texts, enough to connect all that are similar or have one root.
 
     With ``across``, only members of different slots are held against each other. Pairs are ruled out by their
-    lengths and by the letters that one has more often than the other, each of which takes an edit.
+    lengths, by the letters that one has more often than the other, each of which takes an edit, and by pairs of letters.
     """
     lengths = np.array([len(text) for text in texts])
     order = np.argsort(lengths, kind="stable")
@@ -323,6 +386,7 @@ def similar_in_tile(
     for i, at in enumerate(order.tolist()):
         points = np.frombuffer(texts[at].encode("utf-32-le", "surrogatepass"), dtype="<u4")
         letters[i] = np.bincount(points & 63, minlength=64)
+    pairs = pairs_of_letters([texts[i] for i in order.tolist()])
     most = ((1 - similarity) * lengths + 1e-9).astype(np.int64)
     # The shortest line that a line can be similar to stands at this place.
     begins = np.searchsorted(lengths, lengths - most)
@@ -332,7 +396,9 @@ def similar_in_tile(
         if not len(others):
             continue
         apart = np.abs(letters[others] - letters[i]).sum(axis=1) + lengths[i] - lengths[others]
-        for j in others[apart <= 2 * most[i]].tolist():
+        others = others[apart <= 2 * most[i]]
+        others = others[np.abs(pairs[others] - pairs[i]).sum(axis=1, dtype=np.int64) <= 4 * most[i]]
+        for j in others.tolist():
             if group[j] != group[i]:
                 a, b = int(order[i]), int(order[j])
                 if edit_distance(texts[a], texts[b], int(most[i])) <= most[i]:
@@ -379,12 +445,15 @@ def _tile_links(crowd: DataFrame, roots: DataFrame, texts: DataFrame, similarity
 
 
 def line_roots(nodes: DataFrame, lines: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """The components ``node, root`` of all links between distinct lines (``line, blocks``).
+    """The components ``node, root`` of all links between lines (``line, blocks``), of which some may come repeatedly.
 
     ``lines`` has the place ``id, key, no`` of each one at least once.
     """
     rows = nodes.select("line", F.explode("blocks").alias("key"))
-    buckets = materialise(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "line-buckets")
+    shared = rows.groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high")).filter("low < high")
+    shared = materialise(shared.select("key"), "shared-keys")
+    rows = materialise(rows.join(shared.hint("shuffle_hash"), "key").distinct(), "shared-blocks")
+    buckets = rows.groupBy("key").agg(F.count("*").alias("n"))
     small = F.col("n") <= SMALL
     met = rows.join(buckets, "key").groupBy("line").agg(
         F.collect_list(F.when(small, F.col("key"))).alias("small"),
@@ -450,15 +519,13 @@ def line_roots(nodes: DataFrame, lines: DataFrame, docs: DataFrame, similarity:
 
 def _dropped_lines(docs: DataFrame, similarity: float) -> DataFrame:
     """Columns ``id, key, drop``: the numbers of the lines to drop, for documents that have any."""
-    rows = docs.select(F.col(ID).alias("id"), "key", F.inline(_line_rows(F.col(TEXT))))
     # Rows that repeat id and text are one document, so their lines are one occurrence.
-    lines = materialise(rows, "lines")
-    groups = lines.groupBy("line").agg(
-        F.first("blocks", ignorenulls=True).alias("blocks"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key", "no")).alias("first")
-    )
-    groups = materialise(groups, "line-groups")
+    lines = materialise(_line_rows(docs), "lines")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key", "no")).alias("first")
+    groups = materialise(lines.groupBy("line").agg(first), "line-groups")
     places = groups.select("line", "first.id", "first.key", "first.no")
-    roots = line_roots(groups.select("line", "blocks"), places, docs, similarity)
+    # The blocks, most of the bytes, stay where they were written.
+    roots = line_roots(lines.select("line", "blocks").filter("blocks IS NOT NULL"), places, docs, similarity)
     rooted = materialise(
         groups.join(roots, groups["line"] == roots["node"], "left").select(
             "line", "first", F.coalesce("root", "line").alias("root")
