@@ -631,6 +631,39 @@ def test_both_encoders_on_odd_texts(spark, odd, library):
     assert bpe.digests(odd.limit(0), path).count() == 0
 
 
+def test_words_with_stops_are_encoded_once(library):
+    texts = ["x alpha alpha, alpha. béta. alpha, x1, x1. a,b.", "alpha béta, gamma.\nalpha ..", "y alpha. \ud800, alpha"]
+    encoder, asked = tokens.LibraryEncoder(vocabulary()), []
+    chunks = encoder._chunks
+    encode_new = chunks._encode_new
+    chunks._encode_new = lambda new: asked.append(new) or encode_new(new)
+    for _ in range(2):
+        found = [x.tolist() for x in chunks.encode(texts[:2])]
+        assert found == [library.encode(text, add_special_tokens=False).ids for text in texts[:2]]
+    assert sorted(chunk for chunk in asked[0] if "alpha" in chunk) == [" alpha", " gamma.\nalpha", "alpha"]
+    assert not any(chunk.startswith(" ") for chunk in asked[1])
+    # Arrow cannot hold single surrogates: such a text is one chunk, the others are cut.
+    own = bpe.PairIndexBpe(vocabulary())
+    assert [x.tolist() for x in own.encode(texts)][:2] == found
+
+
+def test_library_gets_bounded_texts_at_once(monkeypatch, library):
+    monkeypatch.setattr(tokens, "_AT_ONCE", 1 << 12)
+    monkeypatch.setattr(tokens, "_JOINED", 1 << 10)
+    encoder, sizes = tokens.LibraryEncoder(vocabulary()), []
+
+    class Watched:
+        @staticmethod
+        def encode_batch_fast(texts, **given):
+            sizes.append(sum(map(len, texts)))
+            return library.encode_batch_fast(texts, **given)
+
+    encoder._library = Watched
+    text = " ".join(f"w{i}q" for i in range(5_000))
+    assert [x.tolist() for x in encoder.encode([text])] == [library.encode(text, add_special_tokens=False).ids]
+    assert len(sizes) > 1 and max(sizes) < 1 << 13
+
+
 def test_op10_matches_library(spark, small, texts, library):
     rows = {row["doc_id"]: row for row in QUERIES["op10_token_files"](spark, small).collect()}
     start = 0

@@ -36,9 +36,9 @@ SHARD_BYTES = 4 << 20
 SHARD_DOCS = 20_000
 
 # Documents encoded together.
-BATCH = 512
+BATCH = 4_096
 
-_JOINED = 1 << 16
+_JOINED, _AT_ONCE = 1 << 16, 1 << 19
 
 
 class LibraryEncoder:
@@ -65,9 +65,13 @@ class LibraryEncoder:
     def encode(self, texts) -> Iterator[np.ndarray]:
         return self._chunks.encode(texts)
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self._library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype=ID_TYPE) for x in found]
+    def _ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text. As the library holds much more than the ids, it gets ``_AT_ONCE`` characters at once."""
+        places = np.cumsum([len(text) for text in texts]) // _AT_ONCE
+        cuts = np.flatnonzero(np.diff(places)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
+            for found in self._library.encode_batch_fast(texts[a:b], add_special_tokens=False):
+                yield np.array(found.ids, dtype=ID_TYPE)
 
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
         spaced = [i for i, chunk in enumerate(chunks) if chunk[:1] == " " and len(chunk) < _JOINED and not chunk[1:2].isspace()]
