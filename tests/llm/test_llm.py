@@ -4,6 +4,7 @@ import hashlib
 import zlib
 from collections import Counter, defaultdict
 from math import log10
+from pathlib import Path
 
 import compare
 import numpy as np
@@ -17,6 +18,7 @@ from wavetrawl.llm import bpe, decontaminate, fixity, gam, katz, lines, quality,
 from wavetrawl.llm.common import read_table
 from wavetrawl.llm.components import connected_components
 from wavetrawl.llm.queries import QUERIES, SQL, vocabulary
+from wavetrawl.session import checkpoint_root
 
 SCHEMA = "doc_id bigint, text string, `__id` int, node string, root string"
 LONG = "alpha beta gamma delta " * 4000
@@ -409,6 +411,19 @@ def kept_texts(texts, places, linked):
     }
 
 
+def test_line_dedup_leaves_no_used_up_tables(spark):
+    line = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(1, line + "\nother words here"), (2, line.replace("five", "fife") + "\nkept by itself"), (3, line)]
+    folder = Path(checkpoint_root(spark).removeprefix("file://")) / "wavetrawl"
+    before = set(folder.glob("*"))
+    cut = lines.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    left = {path.name.rsplit("-", 1)[0] for path in set(folder.glob("*")) - before}
+    assert "dropped-lines" in left
+    used_up = {"lines", "line-groups", "line-texts", "shared-keys", "shared-blocks", "met-lines", "crowd", "tried", "kept-lines"}
+    assert not left & (used_up | {"wanted-lines", "rooted-lines", "decided-lines"})
+    assert sorted(cut.collect()) == [(1, rows[0][1]), (2, "kept by itself"), (3, "")]
+
+
 def test_op6_matches_brute_force(spark, small, texts):
     """Against all pairs by plain edit similarity: no line goes that should stay, and hardly one stays that should go."""
     places = line_places(texts)

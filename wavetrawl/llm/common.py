@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wavetrawl.operators.ordering import materialise
 
-__all__ = ["ID", "TEXT", "compact", "fold", "id_and_text", "materialise", "read_table", "text_key"]
+__all__ = ["ID", "TEXT", "compact", "discard", "fold", "id_and_text", "materialise", "read_table", "text_key"]
 
 # Rows of a small table that one task may write.
 ROWS_PER_TASK = 200_000
@@ -45,6 +45,15 @@ def compact(rows: DataFrame, at_most: int) -> DataFrame:
     return rows.coalesce(at_most // ROWS_PER_TASK + 1)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables given by ``materialise`` that no later step reads."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(context._jvm.java.net.URI(folder))
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fold(id_column: Column, folds: int) -> Column:
     """The id's fold: crc32 of its decimal digits, modulo ``folds`` (a null id: of the empty text)."""
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % F.lit(folds)
