@@ -346,6 +346,18 @@ def test_binomial_tail_of_many_trials():
     assert rules.binomial_tail(n, 100, 0.05) == 0
 
 
+def test_rules_of_several_strata_and_texts_without_words(spark):
+    def text(n, mark=""):
+        return " ".join(f"w{i}{mark}" for i in range(n))
+
+    good = [(i, text(60 if i % 2 else 200)) for i in range(3_000)]
+    bad = [(5_000, None), (5_001, ""), (5_002, " \n "), (5_003, text(60, "#")), (5_004, text(200, "#")), (5_005, "##")]
+    docs = spark.createDataFrame(good + bad, "doc_id bigint, text string")
+    labels = spark.range(3_000).selectExpr("id AS doc_id", "1 AS quality")
+    left = [row["doc_id"] for row in rules.apply_rules(docs, labels).collect() if not row["kept"]]
+    assert sorted(left) == [i for i, _ in bad]
+
+
 def test_op5_verdicts_match_brute_force(spark):
     sf = "/root/testdata/sf0.01"
     texts = {row["doc_id"]: row["text"] or "" for row in read_table(spark, sf, "documents").collect()}

@@ -41,15 +41,16 @@ class Rule:
         return value > limit if self.above else value < limit
 
 
-# Candidate cutoffs are parameters, fixed before any label is seen; mild ones first.
+# Candidate cutoffs are parameters, fixed before any label is seen; mild ones first. No divisor is 0: Spark works out what
+# several strata share before it looks at the base rules, also for texts without words.
 RULES = (
-    Rule("symbols", "n_symbols / n_words", (0.8, 0.4, 0.2, 0.1, 0.05, 0.02)),
+    Rule("symbols", "n_symbols / greatest(n_words, 1)", (0.8, 0.4, 0.2, 0.1, 0.05, 0.02)),
     Rule("dup_lines", "n_dup_lines / greatest(n_lines, 1)", (0.7, 0.5, 0.3, 0.2, 0.1)),
-    Rule("repeats", "n_repeat_words / n_words", (0.4, 0.3, 0.2, 0.15, 0.1)),
-    Rule("long_words", "word_chars / n_words", (20.0, 12.0, 10.0, 9.0, 8.0, 7.0)),
-    Rule("short_words", "word_chars / n_words", (2.0, 2.5, 3.0, 3.5, 4.0), above=False),
+    Rule("repeats", "n_repeat_words / greatest(n_words, 1)", (0.4, 0.3, 0.2, 0.15, 0.1)),
+    Rule("long_words", "word_chars / greatest(n_words, 1)", (20.0, 12.0, 10.0, 9.0, 8.0, 7.0)),
+    Rule("short_words", "word_chars / greatest(n_words, 1)", (2.0, 2.5, 3.0, 3.5, 4.0), above=False),
     Rule("capitals", "n_capitals / greatest(word_chars, 1)", (0.7, 0.5, 0.3, 0.2, 0.1)),
-    Rule("exclamations", "n_exclamations / n_words", (0.6, 0.3, 0.1, 0.05, 0.02)),
+    Rule("exclamations", "n_exclamations / greatest(n_words, 1)", (0.6, 0.3, 0.1, 0.05, 0.02)),
 )
 
 
