@@ -509,6 +509,107 @@ def test_unlike_lines_of_the_same_letters_take_no_edit_distance(monkeypatch):
     assert lines.similar_pairs(left, right, 0.8).tolist() == want and 50 < sum(want) < 200
 
 
+def test_few_pairs_take_an_edit_distance(monkeypatch):
+    """Lines of the same few syllables are told apart by bounds, and replaced words show that lines are similar."""
+    rng = np.random.default_rng(18)
+    syllables = ["th", "er", "on", "an", "re", "he", "in", "ed"]
+    made = ["".join(str(rng.choice(syllables)) + " " * (k % 4 == 3) for k in range(100)).strip() for _ in range(120)]
+    near = []
+    for line in made:
+        words = line.split(" ")
+        words[rng.integers(len(words))] = "other"
+        del words[rng.integers(len(words))]
+        near.append(" ".join(words))
+    calls, plain = [], lines.edit_distance
+    monkeypatch.setattr(lines, "edit_distance", lambda *given: calls.append(given) or plain(*given))
+    assert not lines.similar_pairs(made[1:], made[:-1], 0.8).any() and lines.similar_pairs(made, near, 0.8).all()
+    assert not list(lines.similar_in_tile(list(range(120)), made, [0] * 120, False, 0.8))
+    assert len(calls) < 0.02 * 120 * 120 / 2, len(calls)
+
+
+def test_bounds_of_edit_distances():
+    rng = np.random.default_rng(19)
+
+    def text(n):
+        return "".join(rng.choice(list("ab cé\U0001f600"), n))
+
+    for _ in range(300):
+        one = [text(rng.integers(0, 200)) for _ in range(5)]
+        two = []
+        for a in one:
+            letters = list(a)
+            for _ in range(rng.integers(0, 40)):
+                at = rng.integers(len(letters) + 1)
+                letters[at : at + rng.integers(2)] = list(text(rng.integers(2)))
+            two.append("".join(letters))
+        most = rng.integers(0, 45, 5)
+        least = lines.least_edits(one, two, most)
+        for a, b, limit, low in zip(one, two, most.tolist(), least.tolist()):
+            edits, high = lines.edit_distance(a, b), lines.words_apart(a, b, limit)
+            assert edits > limit or low <= edits
+            assert high > limit or edits <= high
+    assert lines.least_edits(["", "a", ""], ["", "", "a"], np.array([0, 1, 1])).tolist() == [0, 1, 0]
+    assert lines.least_edits([], [], np.zeros(0, dtype=np.int64)).tolist() == []
+
+
+def test_lines_are_normalised_together_as_one_by_one():
+    rng = np.random.default_rng(20)
+    letters = list("aB ΣσΑ9٣_-\n\r\t İß日の\ud800é\U0001f600")
+    made = ["".join(rng.choice(letters, rng.integers(0, 30))) for _ in range(2000)]
+    assert lines.normalised_lines(made) == [lines.normalise_line(line) for text in made for line in text.split("\n")]
+    assert lines.normalised_lines([]) == [] and lines.normalised_lines([""]) == [""]
+
+
+def test_tiles_taken_together_give_what_each_gives(monkeypatch):
+    rng = np.random.default_rng(21)
+    tiles = []
+    for n in (2, 9, 40):
+        base = ["".join(rng.choice(list("abcdefgh "), 60)) for _ in range(3)]
+        tiles.append([edited(rng, base[i % 3], 0.12, False) for i in range(n)])
+    given = [(list(range(len(texts))), texts, [i % 2 for i in range(len(texts))], across, 0.8) for texts in tiles for across in (False, True)]
+    alone = [(no, *pair) for no, tile in enumerate(given) for pair in lines.similar_in_tile(*tile)]
+    assert len(alone) > 50
+    for most in (1, 1 << 18):
+        monkeypatch.setattr(lines, "_MAX_LETTERS", most)
+        assert sorted(lines.similar_in_tiles([lines._Tile(*tile) for tile in given])) == sorted(alone)
+        for no, (_, texts, slots, across, _) in enumerate(given):
+            linked = groups(range(len(texts)), [(i, j) for n, i, j in alone if n == no])
+            for i, a in enumerate(texts):
+                for j in range(i):
+                    assert linked[i] == linked[j] or across and slots[i] == slots[j] or not similar(a, texts[j])
+
+
+def test_lines_meet_by_their_keys(spark, monkeypatch):
+    """Against plain counting, with lines given twice and portions of few keys."""
+    rng = np.random.default_rng(22)
+    monkeypatch.setattr(lines, "_MAX_KEYS", 64)
+    hashes = rng.integers(-(2**63), 2**63 - 1, 400)
+    chosen = [[*rng.choice(hashes[:30], 3, replace=False), *rng.choice(hashes[30:], 9, replace=False)] for _ in range(200)]
+    nodes = [(int(hashes[i]), [int(key) for key in keys]) for i, keys in enumerate(chosen)]
+    rows = spark.createDataFrame(nodes + nodes[::2], "line bigint, blocks array<bigint>")
+    members = defaultdict(set)
+    for line, keys in nodes:
+        for key in keys:
+            members[key].add(line)
+    want, pairs = {}, Counter()
+    for line, keys in nodes:
+        met = [key for key in keys if len(members[key]) > 1]
+        if len(met) > 1:
+            want[line] = (sorted(k for k in met if len(members[k]) <= lines.SMALL), sorted(k for k in met if len(members[k]) > lines.SMALL))
+    for key in members:
+        own = sorted(line for line in members[key] if line in want and key in want[line][0])
+        pairs.update((a, b, 2 if set(want[a][1]) & set(want[b][1]) else 1) for n, b in enumerate(own) for a in own[:n])
+    met = lines._met_lines(rows)
+    assert {r["line"]: (sorted(r["small"]), r["large"]) for r in met.collect()} == want
+    found = met.repartition(1).mapInArrow(lines.dealt_small, "part int, rows binary, large binary").repartition("part")
+    found = found.mapInArrow(lines.small_pairs, "a bigint, b bigint, weight int").collect()
+    assert Counter(map(tuple, found)) == pairs and {w for _, _, w in pairs} == {1, 2}
+    crowd = rows.mapInArrow(lines.dealt_keys, "part int, rows binary").repartition("part")
+    crowd = crowd.mapInArrow(lines.shared_keys, "line bigint, key bigint, n bigint, end bigint").collect()
+    assert sorted(map(tuple, crowd)) == sorted((line, k, len(own), min(own)) for k, own in members.items() if len(own) > 1 for line in own)
+    assert lines._met_lines(rows.limit(0)).count() == 0
+
+
 def test_blocks_of_a_line_do_not_depend_on_the_lines_beside_it():
     """Nothing is kept between calls, and lines longer than one portion of features come out whole."""
     rng = np.random.default_rng(17)

@@ -30,7 +30,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import pandas as pd
@@ -59,10 +59,21 @@ _WORD, _DIGIT = re.compile(r"[^\W_]+"), re.compile(r"\d")
 _WIDE = re.compile("[\u3040-\u30ff\u3400-\u9fff]")
 _RUN = re.compile("[\u3040-\u309f]+|[\u30a0-\u30ff]+|[\u3400-\u9fff]|[^\\s\u3040-\u30ff\u3400-\u9fff]+")
 _MAX_SEEN = 1_000_000
+# In tables of letters: not met yet.
+_UNMET = 0xFFFFFFFF
+# Parts that keys are dealt to by their first bits, and keys that are dealt or sorted at once.
+_PART_BITS, _MAX_KEYS = 12, 1 << 19
+# Rows of a batch that a task gives out.
+_MAX_ROWS = 10_000
+_PIECES = "part int, rows binary"
 # Features, and fingerprints, that are worked on at once; so few fingerprints have group numbers of 16 bits.
 _MAX_FEATURES, _MAX_VIEWS = 1 << 17, 4096
 # Classes that pairs of neighbouring letters fall in.
 _CLASSES = 512
+# Classes of letters, and letters and members of tiles that are worked on at once, when distances are found from below.
+_LETTER_CLASSES, _MAX_LETTERS, _MAX_MEMBERS = 64, 1 << 18, 2048
+# How many words are passed over in two texts to come to equal ones again.
+_WORD_STEPS = ((1, 1), (0, 1), (1, 0), (2, 2), (1, 2), (2, 1), (0, 2), (2, 0), (3, 3), (0, 3), (3, 0))
 
 
 class _Letters(dict):
@@ -82,6 +93,40 @@ def normalise_line(line: str) -> str:
     return " ".join(line.lower().translate(_LETTERS).split())
 
 
+class _Points:
+    """What :func:`normalise_line` makes of each letter, as a table of code points that is filled as they are met."""
+
+    def __init__(self):
+        self.table = np.full(0x110000, _UNMET, dtype="<u4")
+        self.table[10] = 10
+
+    def of(self, points: np.ndarray) -> np.ndarray:
+        found = self.table[points]
+        if (unmet := found == _UNMET).any():
+            for point in np.unique(points[unmet]).tolist():
+                self.table[point] = ord(_LETTERS[point])
+            found = self.table[points]
+        return found
+
+
+@lru_cache(maxsize=1)
+def _points() -> _Points:
+    return _Points()
+
+
+def normalised_lines(texts: list[str]) -> list[str]:
+    """The lines of all texts one after the other, each as by :func:`normalise_line`."""
+    if not texts:
+        return []
+    points = np.frombuffer("\n".join(texts).lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    letters = _points().of(points)
+    # A space stays after a letter only, and before one.
+    blank = (letters == 32) | (letters == 10)
+    letters = letters[(letters != 32) | ~np.concatenate([[True], blank[:-1]])[: len(letters)]]
+    letters = letters[(letters != 32) | (np.concatenate([letters[1:], [10]])[: len(letters)] != 10)]
+    return letters.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").split("\n")
+
+
 def numbered(features: list[str]) -> list[str]:
     """The features, those that occurred before with the number of times they did."""
     if len(set(features)) == len(features):
@@ -178,7 +223,11 @@ class BlockPrints:
         split = pc.split_pattern(pa.array(lines, pa.large_string()), " ")
         sizes = np.diff(split.offsets.to_numpy())
         words = split.flatten().dictionary_encode()
-        code, names = words.indices.to_numpy().astype(np.int64), words.dictionary.cast(pa.large_binary()).to_pylist()
+        code, known = words.indices.to_numpy().astype(np.int64), words.dictionary
+        _, places, letters = known.buffers()
+        places = np.frombuffer(places, dtype=np.int64)[: len(known) + 1].tolist() if len(known) else []
+        letters = letters.to_pybytes() if letters else b""
+        names = [letters[a:b] for a, b in zip(places, places[1:])]
         # How often the same word came before in the line.
         of = np.repeat(np.arange(len(lines)), sizes) * max(len(names), 1) + code
         order = np.argsort(of, kind="stable")
@@ -270,12 +319,14 @@ def _line_rows(docs: DataFrame) -> DataFrame:
         prints, seen = BlockPrints(), set()
         for batch in batches:
             # Texts and rows are held in small numbers.
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 512):
+                some = batch.slice(at, 512)
                 owners, numbers, names, fresh_at, plain = [], [], [], [], []
-                for i, text in enumerate(some.column(2).to_pylist()):
-                    for no, raw in enumerate(text.split("\n")):
-                        if line := normalise_line(raw):
+                texts = some.column(2).to_pylist()
+                all_lines = iter(normalised_lines(texts))
+                for i, text in enumerate(texts):
+                    for no, line in enumerate(islice(all_lines, text.count("\n") + 1)):
+                        if line:
                             name = xxh64_intdigest(line.encode("utf-8", "replace"), 0)
                             if name not in seen:
                                 seen.add(name)
@@ -313,6 +364,82 @@ def pairs_of_letters(texts: list[str]) -> np.ndarray:
     return np.minimum(counts, 30_000).astype(np.int16)
 
 
+def least_edits(left: list[str], right: list[str], most: np.ndarray) -> np.ndarray:
+    """For each two texts a number that their edit distance, where it is at most ``most``, is not below.
+
+    The left text is cut into pieces of 64 letters, and each piece takes at least its distance to the nearest stretch of
+    the right one that begins and ends at most ``most`` letters from its place. All pieces go through the bit vectors
+    of :func:`edit_distance` side by side. Letters are told apart by class only, which makes no distance greater.
+    """
+    sizes, others = (np.fromiter(map(len, texts), np.int64, len(texts)) for texts in (left, right))
+    counts = -(-sizes // 64)
+    pair = np.repeat(np.arange(len(left)), counts)
+    at = 64 * (np.arange(len(pair)) - np.repeat(np.cumsum(counts) - counts, counts))
+    size = np.minimum(sizes[pair] - at, 64)
+    begin = np.maximum(at - most[pair], 0)
+    width = np.maximum(np.minimum(at + size + most[pair], others[pair]) - begin, 0)
+    order = np.argsort(-width, kind="stable")
+    pair, at, size, begin, width = (values[order] for values in (pair, at, size, begin, width))
+    one, two = (
+        np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64) % _LETTER_CLASSES
+        for texts in (left, right)
+    )
+    row = np.arange(len(pair)) * _LETTER_CLASSES
+    # The letters of a piece stand at bits of their own, so sums set them.
+    bit = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    place = np.repeat(np.cumsum(sizes)[pair] - sizes[pair] + at, size) + bit
+    matches = np.zeros(len(pair) * _LETTER_CLASSES, dtype=np.uint64)
+    np.add.at(matches, np.repeat(row, size) + one[place], np.uint64(1) << bit.astype(np.uint64))
+    start = np.cumsum(others)[pair] - others[pair] + begin
+    top = np.uint64(1) << (size - 1).astype(np.uint64)
+    up, down = np.full(len(pair), ~np.uint64(0)), np.zeros(len(pair), dtype=np.uint64)
+    distance, least, unit = size.copy(), size.copy(), np.uint64(1)
+    # Pieces with more letters to go through stand before those with fewer.
+    for step, n in enumerate(np.searchsorted(-width, -np.arange(width[0] if len(width) else 0), "left").tolist()):
+        match = matches[row[:n] + two[start[:n] + step]]
+        vertical, below = up[:n], down[:n]
+        diagonal = (((match & vertical) + vertical) ^ vertical) | match
+        rise, fall = below | ~(diagonal | vertical), vertical & diagonal
+        now = distance[:n]
+        now += (rise & top[:n]) != 0
+        now -= (fall & top[:n]) != 0
+        np.minimum(least[:n], now, out=least[:n])
+        rise, match = rise << unit, match | below
+        up[:n] = fall << unit | ~(match | rise)
+        down[:n] = rise & match
+    return np.bincount(pair, weights=least, minlength=len(left)).astype(np.int64)
+
+
+def words_apart(a: str, b: str, most: int) -> int:
+    """A number that the edit distance of two texts is not above: what it takes to turn words into words.
+
+    Words are gone through in order, and where they differ the nearest equal ones within three go on. Beyond
+    ``most`` the count stops.
+    """
+    one, two = a.split(" "), b.split(" ")
+    i = j = count = 0
+    while i < len(one) and j < len(two):
+        if one[i] == two[j]:
+            i, j = i + 1, j + 1
+            continue
+        for p, q in _WORD_STEPS:
+            if i + p < len(one) and j + q < len(two) and one[i + p] == two[j + q]:
+                break
+        else:
+            p = q = 1
+        gone, come = sum(map(len, one[i : i + p])) + p, sum(map(len, two[j : j + q])) + q
+        count += max(gone, come) - (1 if p and q else 0)
+        if count > most:
+            return count
+        i, j = i + p, j + q
+    return count + sum(map(len, one[i:])) + len(one) - i + sum(map(len, two[j:])) + len(two) - j
+
+
+def within(a: str, b: str, most: int) -> bool:
+    """Whether the edit distance is at most ``most``; it is only worked out where words do not show it."""
+    return words_apart(a, b, most) <= most or edit_distance(a, b, most) <= most
+
+
 def similar_pairs(left: list[str], right: list[str], similarity: float) -> np.ndarray:
     """Whether the edit distance of each two texts is at most their greater length's share beyond ``similarity``."""
     sizes = np.array([(len(a), len(b)) for a, b in zip(left, right)], dtype=np.int64).reshape(-1, 2)
@@ -323,6 +450,11 @@ def similar_pairs(left: list[str], right: list[str], similarity: float) -> np.nd
         places = places[result[places]]
         one, two = (pairs_of_letters([texts[i] for i in places]) for texts in (left, right))
         result[places] = np.abs(one - two).sum(axis=1, dtype=np.int64) <= 4 * most[places]
+    unsure = [i for i in np.flatnonzero(result).tolist() if words_apart(left[i], right[i], int(most[i])) > most[i]]
+    unsure = np.array(unsure, dtype=np.int64)
+    part = np.cumsum(sizes[unsure].sum(axis=1)) // (2 * _MAX_LETTERS)
+    for places in np.split(unsure, np.flatnonzero(np.diff(part)) + 1):
+        result[places] = least_edits([left[i] for i in places], [right[i] for i in places], most[places]) <= most[places]
         for i in places[result[places]].tolist():
             result[i] = edit_distance(left[i], right[i], int(most[i])) <= most[i]
     return result
@@ -370,40 +502,81 @@ def _ordered(rows: DataFrame) -> DataFrame:
     return rows.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), *rows.columns[2:])
 
 
+class _Tile:
+    """Members of a tile by length, with what rules pairs out: letters, pairs of letters, slots and known groups.
+
+    With ``across``, only members of different slots are held against each other.
+    """
+
+    def __init__(self, roots: list[int], texts: list[str], slots: list[int], across: bool, similarity: float):
+        lengths = np.array([len(text) for text in texts])
+        self.order = np.argsort(lengths, kind="stable")
+        self.texts = [texts[i] for i in self.order.tolist()]
+        self.lengths, self.slots, self.across = lengths[self.order], np.array(slots)[self.order], across
+        self.group = np.unique(np.array(roots)[self.order], return_inverse=True)[1]
+        self.most = ((1 - similarity) * self.lengths + 1e-9).astype(np.int64)
+        self.letters = np.zeros((len(texts), 64), dtype=np.int32)
+        for i, text in enumerate(self.texts):
+            points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+            self.letters[i] = np.bincount(points & 63, minlength=64)
+        self.pairs = pairs_of_letters(self.texts)
+        # The shortest line that a line can be similar to stands at this place.
+        self.begins = np.searchsorted(self.lengths, self.lengths - self.most)
+
+    def candidates(self, i: int) -> np.ndarray:
+        """The members before ``i`` that may be similar to it and are not connected to it yet."""
+        others = np.arange(self.begins[i], i)
+        others = others[(self.group[others] != self.group[i]) & ((self.slots[others] != self.slots[i]) | (not self.across))]
+        if len(others):
+            apart = np.abs(self.letters[others] - self.letters[i]).sum(axis=1) + self.lengths[i] - self.lengths[others]
+            others = others[apart <= 2 * self.most[i]]
+            apart = np.abs(self.pairs[others] - self.pairs[i]).sum(axis=1, dtype=np.int64)
+            others = others[apart <= 4 * self.most[i]]
+        return others
+
+    def link(self, i: int, j: int) -> tuple[int, int] | None:
+        """The two members' places if they are similar and not connected; they are from then on."""
+        if self.group[j] == self.group[i] or not within(self.texts[i], self.texts[j], int(self.most[i])):
+            return None
+        self.group[self.group == self.group[j]] = self.group[i]
+        return int(self.order[i]), int(self.order[j])
+
+
+def similar_in_tiles(tiles: Iterator[_Tile]) -> Iterator[tuple[int, int, int]]:
+    """Numbers of tiles, and pairs of places in them with similar texts, enough to connect all that are similar or have one root.
+
+    Pairs are ruled out by their lengths, by the letters that one has more often than the other, each of which takes an
+    edit, by pairs of letters, and, many pairs of one or several tiles at once, by :func:`least_edits`.
+    """
+
+    def links(met: list[tuple[int, _Tile, int, int]]) -> Iterator[tuple[int, int, int]]:
+        least = least_edits(
+            [tile.texts[i] for _, tile, i, _ in met],
+            [tile.texts[j] for _, tile, _, j in met],
+            np.array([tile.most[i] for _, tile, i, _ in met], dtype=np.int64),
+        )
+        for (no, tile, i, j), edits in zip(met, least.tolist()):
+            if edits <= tile.most[i] and (found := tile.link(i, j)):
+                yield no, *found
+
+    met, letters = [], 0
+    for no, tile in enumerate(tiles):
+        for i in range(len(tile.texts)):
+            others = tile.candidates(i).tolist()
+            met += [(no, tile, i, j) for j in others]
+            letters += len(others) * len(tile.texts[i])
+            if letters > _MAX_LETTERS:
+                yield from links(met)
+                met, letters = [], 0
+    yield from links(met)
+
+
 def similar_in_tile(
     roots: list[int], texts: list[str], slots: list[int], across: bool, similarity: float
 ) -> Iterator[tuple[int, int]]:
-    """Pairs of places in a tile with similar texts, enough to connect all that are similar or have one root.
-
-    With ``across``, only members of different slots are held against each other. Pairs are ruled out by their
-    lengths, by the letters that one has more often than the other, each of which takes an edit, and by pairs of letters.
-    """
-    lengths = np.array([len(text) for text in texts])
-    order = np.argsort(lengths, kind="stable")
-    lengths, slot = lengths[order], np.array(slots)[order]
-    group = np.unique(np.array(roots)[order], return_inverse=True)[1]
-    letters = np.zeros((len(texts), 64), dtype=np.int32)
-    for i, at in enumerate(order.tolist()):
-        points = np.frombuffer(texts[at].encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        letters[i] = np.bincount(points & 63, minlength=64)
-    pairs = pairs_of_letters([texts[i] for i in order.tolist()])
-    most = ((1 - similarity) * lengths + 1e-9).astype(np.int64)
-    # The shortest line that a line can be similar to stands at this place.
-    begins = np.searchsorted(lengths, lengths - most)
-    for i in range(len(order)):
-        others = np.arange(begins[i], i)
-        others = others[(group[others] != group[i]) & ((slot[others] != slot[i]) | (not across))]
-        if not len(others):
-            continue
-        apart = np.abs(letters[others] - letters[i]).sum(axis=1) + lengths[i] - lengths[others]
-        others = others[apart <= 2 * most[i]]
-        others = others[np.abs(pairs[others] - pairs[i]).sum(axis=1, dtype=np.int64) <= 4 * most[i]]
-        for j in others.tolist():
-            if group[j] != group[i]:
-                a, b = int(order[i]), int(order[j])
-                if edit_distance(texts[a], texts[b], int(most[i])) <= most[i]:
-                    group[group == group[j]] = group[i]
-                    yield a, b
+    """The pairs of places of :func:`similar_in_tiles` for one tile."""
+    for _, i, j in similar_in_tiles([_Tile(roots, texts, slots, across, similarity)]):
+        yield i, j
 
 
 def _tile_links(crowd: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -421,63 +594,231 @@ def _tile_links(crowd: DataFrame, roots: DataFrame, texts: DataFrame, similarity
     placed = placed.select("key", F.col("tile.col1").alias("one"), F.col("tile.col2").alias("two"), "line", "root", "text", "slot")
 
     def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def found(tile, rows):
-            names, roots, texts, slots = zip(*rows)
-            pairs = similar_in_tile(roots, texts, slots, tile[1] != tile[2], similarity)
-            return [(names[i], names[j]) for i, j in pairs]
+        def found(held):
+            names, tiles = zip(*held)
+            return pd.DataFrame([(names[no][i], names[no][j]) for no, i, j in similar_in_tiles(tiles)], columns=["a", "b"], dtype="int64")
+
+        def tile_of(tile, rows):
+            names, *given = zip(*rows)
+            return names, _Tile(*given, tile[1] != tile[2], similarity)
 
-        now, held = None, []
+        now, rows, held, members = None, [], [], 0
         for batch in batches:
-            result = []
             for key, one, two, *row in batch.itertuples(index=False, name=None):
                 if (key, one, two) != now:
-                    if len(held) > 1:
-                        result += found(now, held)
-                    now, held = (key, one, two), []
-                held.append(row)
-            yield pd.DataFrame(result, columns=["a", "b"], dtype="int64")
-        if len(held) > 1:
-            yield pd.DataFrame(found(now, held), columns=["a", "b"], dtype="int64")
+                    if len(rows) > 1:
+                        held.append(tile_of(now, rows))
+                        members += len(rows)
+                    now, rows = (key, one, two), []
+                    if members > _MAX_MEMBERS:
+                        yield found(held)
+                        held, members = [], 0
+                rows.append(row)
+        if len(rows) > 1:
+            held.append(tile_of(now, rows))
+        if held:
+            yield found(held)
 
     by = ["key", "one", "two"]
     dealt = placed.repartition(*by).sortWithinPartitions(*by)
     return materialise(dealt.mapInPandas(links, "a bigint, b bigint"), "tile-links")
 
 
+def _dealt(rows: np.ndarray, by: int) -> pa.RecordBatch:
+    """Rows of numbers as bytes, a row ``part, rows`` for each part by the first bits of column ``by``.
+
+    So few rows are moved, and the bytes as they are.
+    """
+    part = (rows[:, by].view(np.uint64) >> np.uint64(64 - _PART_BITS)).astype(np.uint16)
+    rows, counts = rows[np.argsort(part, kind="stable")], np.bincount(part, minlength=1 << _PART_BITS)
+    parts, ends = np.flatnonzero(counts), np.cumsum(counts)
+    pieces = [rows[end - n : end].tobytes() for n, end in zip(counts[parts].tolist(), ends[parts].tolist())]
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(pieces, pa.binary())], ["part", "rows"])
+
+
+def _whole_parts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[np.ndarray]:
+    """The rows of numbers of one or several parts at a time, from all batches of :func:`_dealt`."""
+    parts: dict[int, list[bytes]] = {}
+    for batch in batches:
+        for part, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            parts.setdefault(part, []).append(rows)
+    while parts:
+        pieces, size = [], 0
+        while parts and size < 8 * _MAX_KEYS:
+            some = parts.popitem()[1]
+            pieces += some
+            size += sum(map(len, some))
+        yield np.frombuffer(b"".join(pieces), dtype=np.int64).reshape(-1, width)
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the one before it."""
+    first = np.zeros(len(columns[0]), dtype=bool)
+    first[:1] = True
+    for column in columns:
+        first[1:] |= column[1:] != column[:-1]
+    return first
+
+
+def dealt_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``line, keys`` as lines and keys side by side, dealt by key."""
+    held, count = [], 0
+    for batch in batches:
+        lists = batch.column(1)
+        keys = lists.flatten().to_numpy()
+        lines = np.repeat(batch.column(0).to_numpy(), pc.list_value_length(lists).to_numpy())
+        held.append(np.stack([lines, keys], axis=1))
+        count += len(keys)
+        if count > _MAX_KEYS:
+            yield _dealt(np.concatenate(held), 1)
+            held, count = [], 0
+    if count:
+        yield _dealt(np.concatenate(held), 1)
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Of lines and keys dealt by key: rows ``line, key, n, end`` of keys that ``n > 1`` lines have, ``end`` the lowest.
+
+    What a line gives more than once counts once.
+    """
+    for rows in _whole_parts(batches, 2):
+        line, key = rows.T
+        order = np.argsort(key)
+        line, key = line[order], key[order]
+        first = _starts(key)
+        several = ~(first & np.append(first[1:], True))
+        line, key = line[several], key[several]
+        order = np.lexsort((line, key))
+        line, key = line[order], key[order]
+        once = _starts(line, key)
+        line, key = line[once], key[once]
+        starts = np.flatnonzero(_starts(key))
+        counts = np.diff(starts, append=len(key))
+        n, end = np.repeat(counts, counts), np.repeat(line[starts], counts)
+        yield np.stack([line, key, n, end], axis=1)[n > 1]
+
+
+def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of :func:`_shared`."""
+    for rows in _shared(batches):
+        for at in range(0, len(rows), _MAX_ROWS):
+            columns = [pa.array(np.ascontiguousarray(column)) for column in rows[at : at + _MAX_ROWS].T]
+            yield pa.RecordBatch.from_arrays(columns, ["line", "key", "n", "end"])
+
+
+def shared_by_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of :func:`_shared`, dealt by line."""
+    for rows in _shared(batches):
+        if len(rows):
+            yield _dealt(rows[:, :3], 0)
+
+
+def keys_by_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of :func:`shared_by_line`: each line's keys of at most ``SMALL`` lines, and its others in order.
+
+    Lines with one key alone are left out.
+    """
+    for rows in _whole_parts(batches, 3):
+        line, key, n = rows.T
+        order = np.lexsort((key, line))
+        line, key, large = line[order], key[order], n[order] > SMALL
+        starts = np.flatnonzero(_starts(line))
+        counts = np.diff(starts, append=len(line))
+        stays = np.repeat(counts > 1, counts)
+        key, large, starts, counts = key[stays], large[stays], starts[counts > 1], counts[counts > 1]
+        lists = []
+        for chosen in (~large, large):
+            ends = np.append(0, np.cumsum(chosen))[np.append(0, np.cumsum(counts))]
+            lists.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(key[chosen])))
+        yield from pa.table([pa.array(line[starts]), *lists], ["line", "small", "large"]).to_batches(_MAX_ROWS)
+
+
+def _places(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places ``start, start + 1, ...`` of stretches of so many, one after the other."""
+    return np.arange(counts.sum()) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
+
+
+def dealt_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of :func:`keys_by_line`: rows of numbers ``key, line, count`` of small keys, dealt by key, and ``count`` large keys for each."""
+    for batch in batches:
+        small, large = batch.column(1), batch.column(2)
+        sizes, counts = (pc.list_value_length(lists).to_numpy().astype(np.int64) for lists in (small, large))
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        key = small.flatten().to_numpy()
+        order = np.argsort((key.view(np.uint64) >> np.uint64(64 - _PART_BITS)).astype(np.uint16), kind="stable")
+        key, of = key[order], of[order]
+        dealt = _dealt(np.stack([key, batch.column(0).to_numpy()[of], counts[of]], axis=1), 0)
+        others = large.flatten().to_numpy()[_places((np.cumsum(counts) - counts)[of], counts[of])]
+        held = [np.frombuffer(rows, dtype=np.int64).reshape(-1, 3)[:, 2].sum() for rows in dealt.column(1).to_pylist()]
+        pieces = [piece.tobytes() for piece in np.split(others, np.cumsum(held)[:-1])] if held else []
+        yield dealt.append_column("large", pa.array(pieces, pa.binary()))
+
+
+def small_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``a, b, weight`` of the pairs of lines of each small key: weight 2 if they share a large key too, or else 1."""
+    parts: dict[int, list[tuple[bytes, bytes]]] = {}
+    for batch in batches:
+        for part, *pieces in zip(*(column.to_pylist() for column in batch.columns)):
+            parts.setdefault(part, []).append(tuple(pieces))
+    while parts:
+        pieces, size = [], 0
+        while parts and size < 2 * _MAX_KEYS:
+            some = parts.popitem()[1]
+            pieces += some
+            size += sum(len(rows) + len(large) for rows, large in some)
+        rows, large = (np.frombuffer(b"".join(column), dtype=np.int64) for column in zip(*pieces))
+        key, line, count = rows.reshape(-1, 3).T
+        order = np.lexsort((line, key))
+        key, line, start, count = key[order], line[order], (np.cumsum(count) - count)[order], count[order]
+        met = [np.flatnonzero(key[apart:] == key[: len(key) - apart]) for apart in range(1, min(SMALL, len(key)))]
+        one = np.concatenate([np.zeros(0, dtype=np.int64), *met])
+        two = np.concatenate([np.zeros(0, dtype=np.int64), *(places + apart for apart, places in enumerate(met, 1))])
+        # A large key that comes twice for a pair is one of both lines.
+        pair = np.concatenate([np.repeat(np.arange(len(one)), count[side]) for side in (one, two)])
+        other = np.concatenate([large[_places(start[side], count[side])] for side in (one, two)])
+        order = np.lexsort((other, pair))
+        pair, other = pair[order], other[order]
+        weight = np.ones(len(one), dtype=np.int32)
+        weight[pair[~_starts(pair, other)]] = 2
+        for at in range(0, len(one), _MAX_ROWS):
+            part = slice(at, at + _MAX_ROWS)
+            columns = [pa.array(line[one[part]]), pa.array(line[two[part]]), pa.array(weight[part])]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "weight"])
+
+
+def _met_lines(nodes: DataFrame) -> DataFrame:
+    """From rows ``line, blocks``, of which some come repeatedly, the columns of :func:`keys_by_line`.
+
+    A task sorts its share of the keys as plain numbers, part by part, and then its share of the lines.
+    """
+    dealt = nodes.mapInArrow(dealt_keys, _PIECES).repartition("part")
+    return dealt.mapInArrow(shared_by_line, _PIECES).repartition("part").mapInArrow(
+        keys_by_line, "line bigint, small array<bigint>, large array<bigint>"
+    )
+
+
 def line_roots(nodes: DataFrame, lines: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """The components ``node, root`` of all links between lines (``line, blocks``), of which some may come repeatedly.
 
     ``lines`` has the place ``id, key, no`` of each one at least once.
     """
-    rows = nodes.select("line", F.explode("blocks").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high")).filter("low < high")
-    shared = materialise(shared.select("key"), "shared-keys")
-    rows = materialise(rows.join(shared.hint("shuffle_hash"), "key").distinct(), "shared-blocks")
-    discard(shared)
-    buckets = rows.groupBy("key").agg(F.count("*").alias("n"))
+    met = materialise(_met_lines(nodes), "met-lines")
     small = F.col("n") <= SMALL
-    met = rows.join(buckets, "key").groupBy("line").agg(
-        F.collect_list(F.when(small, F.col("key"))).alias("small"),
-        F.sort_array(F.collect_list(F.when(~small, F.col("key")))).alias("large"),
-    )
-    met = materialise(met.filter("size(small) + size(large) > 1"), "met-lines")
-    discard(rows)
-    few = met.select("line", "large", F.explode("small").alias("key")).groupBy("key")
-    few = few.agg(F.collect_list(F.struct("line", "large")).alias("all"))
-    few = few.select(_among("all", "x.line AS x, y.line AS y, arrays_overlap(x.large, y.large) AS also"))
-    few = _ordered(few).groupBy("a", "b").agg(F.count("*").alias("times"), F.max("also").alias("also"))
-    few = few.filter("times > 1 OR also").select("a", "b")
+    few = met.mapInArrow(dealt_small, f"{_PIECES}, large binary").repartition("part")
+    few = few.mapInArrow(small_pairs, "a bigint, b bigint, weight int")
 
     twice = "flatten(transform(large, (x, i) -> transform(slice(large, i + 2, size(large)), y -> xxhash64(x, y))))"
-    both = met.filter("size(large) > 1").select("line", F.explode(F.expr(twice)).alias("key"))
-    ends = both.groupBy("key").agg(F.count("*").alias("n"), F.min("line").alias("end"))
-    crowd = materialise(both.join(ends.filter("n > 1"), "key").select("key", "line", "n", "end"), "crowd")
+    both = met.filter("size(large) > 1").select("line", F.expr(twice).alias("keys")).mapInArrow(dealt_keys, _PIECES)
+    both = both.repartition("part").mapInArrow(shared_keys, "line bigint, key bigint, n bigint, end bigint")
+    crowd = materialise(both, "crowd")
     members = crowd.filter(small & (F.col("n") > 2)).groupBy("key").agg(F.collect_list(F.struct("line")).alias("all"))
-    several = members.select(_among("all", "x.line AS x, y.line AS y"))
-    spokes = crowd.filter(~small | (F.col("n") == 2)).select(F.col("line").alias("x"), F.col("end").alias("y"))
+    several = members.select(_among("all", "x.line AS x, y.line AS y, 2 AS weight"))
+    spokes = crowd.filter(~small | (F.col("n") == 2)).select(F.col("line").alias("x"), F.col("end").alias("y"), F.lit(2).alias("weight"))
     large = crowd.filter(~small).select("key", "line", "n")
 
-    tested = materialise(few.union(_ordered(several)).union(_ordered(spokes)).distinct(), "tried")
+    # A bucket of one block counts once, with a larger one too, or of two blocks, twice.
+    pairs = few.union(_ordered(several)).union(_ordered(spokes)).groupBy("a", "b").agg(F.sum("weight").alias("weight"))
+    tested = materialise(pairs.filter("weight > 1").select("a", "b"), "tried")
     discard(met)
     wanted = tested.select(F.explode(F.array("a", "b")).alias("line")).union(large.select("line")).distinct()
     wanted = materialise(wanted, "wanted-lines")
@@ -486,6 +827,8 @@ def line_roots(nodes: DataFrame, lines: DataFrame, docs: DataFrame, similarity:
     def linked(pairs: DataFrame, label: str) -> DataFrame:
         known = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("ta")), "a")
         known = known.join(texts.select(F.col("line").alias("b"), F.col("text").alias("tb")), "b")
+        sizes = F.length("ta"), F.length("tb")
+        known = known.filter(F.abs(sizes[0] - sizes[1]) <= (1 - similarity) * F.greatest(*sizes) + 1e-9)
         return materialise(known.filter(_similar("ta", "tb", similarity)).select("a", "b"), label)
 
     links = linked(tested, "line-links")
@@ -511,14 +854,17 @@ def line_roots(nodes: DataFrame, lines: DataFrame, docs: DataFrame, similarity:
         more = linked(tried, "line-links-more")
         new = more.count()
         if new:
-            links, tested = links.union(more), tested.union(tried)
-            roots = connected_components(links, "a", "b")
+            tested = tested.union(tried)
+            roots = connected_components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(more), "a", "b")
         if new < max(1, SETTLED * count):
             break
         count += new
     rest = _tile_links(large, roots, texts, similarity)
     discard(crowd, wanted, texts, tested)
-    return connected_components(links.union(rest), "a", "b") if not rest.isEmpty() else roots
+    if rest.isEmpty():
+        return roots
+    # Roots connect the same lines as all links before, and are fewer.
+    return connected_components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(rest), "a", "b")
 
 
 def _dropped_lines(docs: DataFrame, similarity: float) -> DataFrame:
@@ -529,18 +875,20 @@ def _dropped_lines(docs: DataFrame, similarity: float) -> DataFrame:
     # Rows that repeat id and text are one document, so their lines are one occurrence.
     lines = materialise(_line_rows(docs), "lines")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key", "no")).alias("first")
-    groups = materialise(lines.groupBy("line").agg(first), "line-groups")
+    groups = materialise(lines.groupBy("line").agg(first, F.count("*").alias("times")), "line-groups")
     places = groups.select("line", "first.id", "first.key", "first.no")
     # The blocks, most of the bytes, stay where they were written.
     roots = line_roots(lines.select("line", "blocks").filter("blocks IS NOT NULL"), places, docs, similarity)
     rooted = materialise(
         groups.join(roots, groups["line"] == roots["node"], "left").select(
-            "line", "first", F.coalesce("root", "line").alias("root")
+            "line", "first", "times", F.coalesce("root", "line").alias("root")
         ),
         "rooted-lines",
     )
     discard(groups)
-    kept = materialise(rooted.groupBy("root").agg(F.min("first").alias("kept")), "kept-lines")
+    # A line that comes once and has no other like it stays without being looked at again.
+    kept = rooted.groupBy("root").agg(F.min("first").alias("kept"), F.sum("times").alias("times")).filter("times > 1")
+    kept = materialise(kept.select("root", "kept"), "kept-lines")
     decided = materialise(rooted.join(kept, "root").select("line", "kept"), "decided-lines")
     discard(rooted, kept)
     here = F.struct(F.col("id").isNull().alias("none"), "id", "key", "no")
