@@ -608,6 +608,32 @@ def test_lines_meet_by_their_keys(spark, monkeypatch):
     crowd = crowd.mapInArrow(lines.shared_keys, "line bigint, key bigint, n bigint, end bigint").collect()
     assert sorted(map(tuple, crowd)) == sorted((line, k, len(own), min(own)) for k, own in members.items() if len(own) > 1 for line in own)
     assert lines._met_lines(rows.limit(0)).count() == 0
+    two = rows.filter("size(blocks) > 1").mapInArrow(lines.dealt_twice, "part int, rows binary").repartition("part")
+    two = two.mapInArrow(lines.shared_keys, "line bigint, key bigint, n bigint, end bigint").collect()
+    pairs = defaultdict(set)
+    for line, keys in nodes:
+        for n, b in enumerate(keys):
+            for a in keys[:n]:
+                pairs[a, b].add(line)
+    met = [own for own in pairs.values() if len(own) > 1]
+    assert len(met) > 10 and Counter((r["line"], r["n"], r["end"]) for r in two) == Counter((x, len(own), min(own)) for own in met for x in own)
+
+
+def test_blocks_as_bytes_are_those_as_numbers(spark, odd):
+    docs = lines.id_and_text(odd).withColumn("key", lines.text_key(lines.F.col("__text")))
+    plain = {(r["key"], r["no"], r["line"]): r["blocks"] for r in lines._line_rows(docs).collect()}
+    packed = {(r["key"], r["no"], r["line"]): r["blocks"] for r in lines._line_rows(docs, packed=True).collect()}
+    assert {k: None if x is None else np.frombuffer(bytes(x), np.int64).tolist() for k, x in packed.items()} == plain and plain
+    met = lines._met_lines(lines._line_rows(docs, packed=True).filter("blocks IS NOT NULL").select("line", "blocks"))
+    assert sorted(met.collect()) == sorted(lines._met_lines(lines._line_rows(docs).filter("blocks IS NOT NULL").select("line", "blocks")).collect())
+
+
+def test_texts_without_lines_need_no_worker(spark):
+    rows = [(0, "a\nb\n\nc\n", [1, 3]), (1, "a\nb", None), (2, "a", [0]), (3, "\n\n", [0, 2]), (4, "x\r\ny\\n", [])]
+    frame = spark.createDataFrame(rows, "id int, text string, drop array<bigint>")
+    frame = frame.withColumn("text", lines._without(lines.F.col("text"), lines.F.col("drop")))
+    assert [r["text"] for r in frame.sort("id").collect()] == ["a\n\n", "a\nb", "", "", "x\r\ny\\n"]
+    assert "Python" not in frame._jdf.queryExecution().executedPlan().toString()
 
 
 def test_blocks_of_a_line_do_not_depend_on_the_lines_beside_it():

@@ -67,7 +67,7 @@ _PART_BITS, _MAX_KEYS = 12, 1 << 19
 _MAX_ROWS = 10_000
 _PIECES = "part int, rows binary"
 # Features, and fingerprints, that are worked on at once; so few fingerprints have group numbers of 16 bits.
-_MAX_FEATURES, _MAX_VIEWS = 1 << 17, 4096
+_MAX_FEATURES, _MAX_VIEWS = 1 << 15, 4096
 # Classes that pairs of neighbouring letters fall in.
 _CLASSES = 512
 # Classes of letters, and letters and members of tiles that are worked on at once, when distances are found from below.
@@ -309,13 +309,19 @@ def edit_distance(a: str, b: str, most: int | None = None) -> int:
     return distance
 
 
-def _line_rows(docs: DataFrame) -> DataFrame:
-    """A row ``id, key, no, line, blocks`` per line with a word character; a task gives the blocks of a line once."""
+def _line_rows(docs: DataFrame, packed: bool = False) -> DataFrame:
+    """A row ``id, key, no, line, blocks`` per line with a word character; a task gives the blocks of a line once.
+
+    With ``packed``, blocks are bytes, eight a block, which are faster to write and to read.
+    """
     given = docs.select(F.col(ID).alias("id"), "key", TEXT)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
+        def bits(flags: np.ndarray) -> pa.Buffer:
+            return pa.py_buffer(np.packbits(flags, bitorder="little"))
+
         prints, seen = BlockPrints(), set()
         for batch in batches:
             # Texts and rows are held in small numbers.
@@ -338,8 +344,11 @@ def _line_rows(docs: DataFrame) -> DataFrame:
                 keys, ends = prints.flat(plain)
                 sizes, known = np.zeros(len(names), dtype=np.int32), np.zeros(len(names), dtype=bool)
                 sizes[fresh_at], known[fresh_at] = np.diff(ends, prepend=0), True
-                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes, dtype=np.int32)]), pa.int32())
-                blocks = pa.ListArray.from_arrays(offsets, pa.array(keys), mask=pa.array(~known))
+                offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+                if packed:
+                    blocks = pa.Array.from_buffers(pa.binary(), len(known), [bits(known), pa.py_buffer(8 * offsets), pa.py_buffer(keys)])
+                else:
+                    blocks = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys), mask=pa.array(~known))
                 owner, line = pa.array(owners, pa.int64()), pa.array(np.array(names, dtype=np.uint64).view(np.int64))
                 columns = [some.column(0).take(owner), some.column(1).take(owner), pa.array(numbers, pa.int64()), line, blocks]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "key", "no", "line", "blocks"])
@@ -347,7 +356,7 @@ def _line_rows(docs: DataFrame) -> DataFrame:
                 seen.clear()
 
     kinds = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in given.schema.fields[:2])
-    return given.mapInArrow(rows, f"{kinds}, no bigint, line bigint, blocks array<bigint>")
+    return given.mapInArrow(rows, f"{kinds}, no bigint, line bigint, blocks {'binary' if packed else 'array<bigint>'}")
 
 
 def pairs_of_letters(texts: list[str]) -> np.ndarray:
@@ -651,6 +660,11 @@ def _whole_parts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[np.n
         yield np.frombuffer(b"".join(pieces), dtype=np.int64).reshape(-1, width)
 
 
+def _places(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places ``start, start + 1, ...`` of stretches of so many, one after the other."""
+    return np.arange(counts.sum()) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
+
+
 def _starts(*columns: np.ndarray) -> np.ndarray:
     """Whether a row differs from the one before it."""
     first = np.zeros(len(columns[0]), dtype=bool)
@@ -660,15 +674,19 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
     return first
 
 
-def dealt_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``line, keys`` as lines and keys side by side, dealt by key."""
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all lists, or of bytes that hold eight for each, and how many each one has."""
+    if pa.types.is_binary(column.type):
+        return np.frombuffer(b"".join(column.to_pylist()), dtype=np.int64), pc.binary_length(column).to_numpy() // 8
+    return column.flatten().to_numpy(), pc.list_value_length(column).to_numpy()
+
+
+def _dealt_portions(portions: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Rows ``line, key`` dealt by key, many at once."""
     held, count = [], 0
-    for batch in batches:
-        lists = batch.column(1)
-        keys = lists.flatten().to_numpy()
-        lines = np.repeat(batch.column(0).to_numpy(), pc.list_value_length(lists).to_numpy())
-        held.append(np.stack([lines, keys], axis=1))
-        count += len(keys)
+    for rows in portions:
+        held.append(rows)
+        count += len(rows)
         if count > _MAX_KEYS:
             yield _dealt(np.concatenate(held), 1)
             held, count = [], 0
@@ -676,6 +694,35 @@ def dealt_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _dealt(np.concatenate(held), 1)
 
 
+def dealt_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``line, keys`` as lines and keys side by side, dealt by key."""
+
+    def rows() -> Iterator[np.ndarray]:
+        for batch in batches:
+            keys, sizes = _lists(batch.column(1))
+            yield np.stack([np.repeat(batch.column(0).to_numpy(), sizes), keys], axis=1)
+
+    return _dealt_portions(rows())
+
+
+def dealt_twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``line, keys`` as lines and hashes of each two of their keys, dealt by hash."""
+
+    def rows() -> Iterator[np.ndarray]:
+        for batch in batches:
+            keys, sizes = _lists(batch.column(1))
+            place = np.arange(len(keys))
+            later = np.repeat(np.cumsum(sizes), sizes) - 1 - place
+            line = np.repeat(np.repeat(batch.column(0).to_numpy(), sizes), later)
+            one, two = np.repeat(keys, later).view(np.uint64), keys[_places(place + 1, later)].view(np.uint64)
+            both = (one ^ one >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15) + two
+            both = (both ^ both >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+            both = (both ^ both >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+            yield np.stack([line, both.view(np.int64)], axis=1)
+
+    return _dealt_portions(rows())
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     """Of lines and keys dealt by key: rows ``line, key, n, end`` of keys that ``n > 1`` lines have, ``end`` the lowest.
 
@@ -733,22 +780,28 @@ def keys_by_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pa.table([pa.array(line[starts]), *lists], ["line", "small", "large"]).to_batches(_MAX_ROWS)
 
 
-def _places(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The places ``start, start + 1, ...`` of stretches of so many, one after the other."""
-    return np.arange(counts.sum()) + np.repeat(starts - (np.cumsum(counts) - counts), counts)
-
-
 def dealt_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of :func:`keys_by_line`: rows of numbers ``key, line, count`` of small keys, dealt by key, and ``count`` large keys for each."""
-    for batch in batches:
-        small, large = batch.column(1), batch.column(2)
-        sizes, counts = (pc.list_value_length(lists).to_numpy().astype(np.int64) for lists in (small, large))
+
+
+    def portions() -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            held.append(batch)
+            count += batch.num_rows
+            if count > _MAX_KEYS // 8:
+                yield pa.concat_batches(held)
+                held, count = [], 0
+        if held:
+            yield pa.concat_batches(held)
+
+    for batch in portions():
+        (key, sizes), (large, counts) = map(_lists, batch.columns[1:])
         of = np.repeat(np.arange(len(sizes)), sizes)
-        key = small.flatten().to_numpy()
         order = np.argsort((key.view(np.uint64) >> np.uint64(64 - _PART_BITS)).astype(np.uint16), kind="stable")
         key, of = key[order], of[order]
         dealt = _dealt(np.stack([key, batch.column(0).to_numpy()[of], counts[of]], axis=1), 0)
-        others = large.flatten().to_numpy()[_places((np.cumsum(counts) - counts)[of], counts[of])]
+        others = large[_places((np.cumsum(counts) - counts)[of], counts[of])]
         held = [np.frombuffer(rows, dtype=np.int64).reshape(-1, 3)[:, 2].sum() for rows in dealt.column(1).to_pylist()]
         pieces = [piece.tobytes() for piece in np.split(others, np.cumsum(held)[:-1])] if held else []
         yield dealt.append_column("large", pa.array(pieces, pa.binary()))
@@ -807,8 +860,7 @@ def line_roots(nodes: DataFrame, lines: DataFrame, docs: DataFrame, similarity:
     few = met.mapInArrow(dealt_small, f"{_PIECES}, large binary").repartition("part")
     few = few.mapInArrow(small_pairs, "a bigint, b bigint, weight int")
 
-    twice = "flatten(transform(large, (x, i) -> transform(slice(large, i + 2, size(large)), y -> xxhash64(x, y))))"
-    both = met.filter("size(large) > 1").select("line", F.expr(twice).alias("keys")).mapInArrow(dealt_keys, _PIECES)
+    both = met.filter("size(large) > 1").select("line", "large").mapInArrow(dealt_twice, _PIECES)
     both = both.repartition("part").mapInArrow(shared_keys, "line bigint, key bigint, n bigint, end bigint")
     crowd = materialise(both, "crowd")
     members = crowd.filter(small & (F.col("n") > 2)).groupBy("key").agg(F.collect_list(F.struct("line")).alias("all"))
@@ -873,7 +925,7 @@ def _dropped_lines(docs: DataFrame, similarity: float) -> DataFrame:
     It is written; the tables that lead to it, which hold more than the documents, are deleted.
     """
     # Rows that repeat id and text are one document, so their lines are one occurrence.
-    lines = materialise(_line_rows(docs), "lines")
+    lines = materialise(_line_rows(docs, packed=True), "lines")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key", "no")).alias("first")
     groups = materialise(lines.groupBy("line").agg(first, F.count("*").alias("times")), "line-groups")
     places = groups.select("line", "first.id", "first.key", "first.no")
@@ -899,17 +951,9 @@ def _dropped_lines(docs: DataFrame, similarity: float) -> DataFrame:
 
 
 def _without(text: Column, drop: Column) -> Column:
-    @F.pandas_udf("string")
-    def rest(texts: pd.Series, drops: pd.Series) -> pd.Series:
-        result = []
-        for text, numbers in zip(texts, drops):
-            if numbers is not None and len(numbers):
-                gone = set(numbers.tolist())
-                text = "\n".join([line for no, line in enumerate(text.split("\n")) if no not in gone])
-            result.append(text)
-        return pd.Series(result, dtype=object)
-
-    return rest(text, drop)
+    """The text without the lines of these numbers; null: with all."""
+    left = F.filter(F.split(text, "\n", -1), lambda line, no: ~F.array_contains(drop, no.cast("bigint")))
+    return F.when(drop.isNull(), text).otherwise(F.array_join(left, "\n"))
 
 
 def dedup_lines(
