@@ -21,6 +21,9 @@ all their pairs. In the others each member first meets the lowest one, and in th
 also two others chosen by a hash that changes from round to round, as long as a round adds ``SETTLED`` of the links. That saves
 work only: afterwards, in each bucket whose members are not all connected, all pairs of members that are not are tried,
 in tiles of ``TILE`` by ``TILE`` lines.
+
+Whether texts are similar is mostly seen from bounds: words that differ show that the edits are few enough, and pieces of one
+text that are far from every stretch of the other that they are not. The others take their edit distance.
 """
 
 from __future__ import annotations
